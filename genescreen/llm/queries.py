@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from genescreen.llm import line_dedup as _op4
+from genescreen.llm import simhash as _op2
 
 QUERIES = {
+    "op2_simhash_near_dedup": _op2.op2_simhash_near_dedup,
     "op4_line_dedup": _op4.op4_line_dedup,
 }
 
