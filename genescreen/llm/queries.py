@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from genescreen.llm import decontaminate as _op5
 from genescreen.llm import line_dedup as _op4
+from genescreen.llm import packing as _op10
 from genescreen.llm import simhash as _op2
 
 QUERIES = {
     "op2_simhash_near_dedup": _op2.op2_simhash_near_dedup,
     "op4_line_dedup": _op4.op4_line_dedup,
     "op5_benchmark_decontamination": _op5.op5_benchmark_decontamination,
+    "op10_packing": _op10.op10_packing,
 }
 
 ORACLES = {
