@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from genescreen.llm import decontaminate as _op5
+from genescreen.llm import licenses as _op9
 from genescreen.llm import line_dedup as _op4
 from genescreen.llm import packing as _op10
 from genescreen.llm import simhash as _op2
@@ -11,10 +12,12 @@ QUERIES = {
     "op2_simhash_near_dedup": _op2.op2_simhash_near_dedup,
     "op4_line_dedup": _op4.op4_line_dedup,
     "op5_benchmark_decontamination": _op5.op5_benchmark_decontamination,
+    "op9_license_scan": _op9.op9_license_scan,
     "op10_packing": _op10.op10_packing,
 }
 
 ORACLES = {
     "op4_line_dedup": _op4.OP4_SQL,
     "op5_benchmark_decontamination": _op5.OP5_SQL,
+    "op9_license_scan": _op9.OP9_SQL,
 }
