@@ -68,3 +68,34 @@ def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dic
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray | pa.Array]]:
+    """Columns of one group after the other from batches that are sorted by integer keys; holds one group at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def last_key(batch: pa.RecordBatch) -> tuple:
+        return tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in keys)
+
+    def joined() -> dict:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return {c: table.column(c).chunk(0) for c in table.column_names}
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(max(0, batch.num_rows - 1), bool)
+        for c in columns:
+            changed |= c[1:] != c[:-1]
+        starts = [0, *(np.flatnonzero(changed) + 1).tolist()]
+        if held and last_key(held[-1]) != tuple(c[0].item() for c in columns):
+            yield joined()
+            held = []
+        for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+            held.append(batch.slice(s, e - s))
+            if e < batch.num_rows:
+                yield joined()
+                held = []
+    if held:
+        yield joined()

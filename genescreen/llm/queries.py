@@ -7,11 +7,13 @@ from genescreen.llm import licenses as _op9
 from genescreen.llm import line_dedup as _op4
 from genescreen.llm import packing as _op10
 from genescreen.llm import simhash as _op2
+from genescreen.llm import vectors as _op8
 
 QUERIES = {
     "op2_simhash_near_dedup": _op2.op2_simhash_near_dedup,
     "op4_line_dedup": _op4.op4_line_dedup,
     "op5_benchmark_decontamination": _op5.op5_benchmark_decontamination,
+    "op8_embedding_near_dedup": _op8.op8_embedding_near_dedup,
     "op9_license_scan": _op9.op9_license_scan,
     "op10_packing": _op10.op10_packing,
 }
@@ -19,5 +21,6 @@ QUERIES = {
 ORACLES = {
     "op4_line_dedup": _op4.OP4_SQL,
     "op5_benchmark_decontamination": _op5.OP5_SQL,
+    "op8_embedding_near_dedup": _op8.OP8_SQL,
     "op9_license_scan": _op9.OP9_SQL,
 }
