@@ -6,12 +6,14 @@ from genescreen.llm import decontaminate as _op5
 from genescreen.llm import language as _op3
 from genescreen.llm import licenses as _op9
 from genescreen.llm import line_dedup as _op4
+from genescreen.llm import lm_score as _op1
 from genescreen.llm import packing as _op10
 from genescreen.llm import simhash as _op2
 from genescreen.llm import toxicity as _op7
 from genescreen.llm import vectors as _op8
 
 QUERIES = {
+    "op1_lm_scoring": _op1.op1_lm_scoring,
     "op2_simhash_near_dedup": _op2.op2_simhash_near_dedup,
     "op3_language_id": _op3.op3_language_id,
     "op4_line_dedup": _op4.op4_line_dedup,
