@@ -9,6 +9,7 @@ from genescreen.llm import line_dedup as _op4
 from genescreen.llm import lm_score as _op1
 from genescreen.llm import packing as _op10
 from genescreen.llm import simhash as _op2
+from genescreen.llm import substrings as _op6
 from genescreen.llm import toxicity as _op7
 from genescreen.llm import vectors as _op8
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_id": _op3.op3_language_id,
     "op4_line_dedup": _op4.op4_line_dedup,
     "op5_benchmark_decontamination": _op5.op5_benchmark_decontamination,
+    "op6_substring_dedup": _op6.op6_substring_dedup,
     "op7_toxicity": _op7.op7_toxicity,
     "op8_embedding_near_dedup": _op8.op8_embedding_near_dedup,
     "op9_license_scan": _op9.op9_license_scan,
@@ -27,6 +29,7 @@ QUERIES = {
 ORACLES = {
     "op4_line_dedup": _op4.OP4_SQL,
     "op5_benchmark_decontamination": _op5.OP5_SQL,
+    "op6_substring_dedup": _op6.OP6_SQL,
     "op8_embedding_near_dedup": _op8.OP8_SQL,
     "op9_license_scan": _op9.OP9_SQL,
 }
