@@ -83,15 +83,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-
     return w
 
 
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Model from (doc_id, text, toxic) rows with 0 or 1; about `sample_docs` of them, by hashed doc_id. None if a label has no rows."""
-    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    rows = stored(rows)
-    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
+    """Model from (doc_id, text) and (doc_id, toxic) rows with 0 or 1; about `sample_docs` labels, by hashed doc_id. None if a label has no rows.
+
+    The labels are sampled before they meet the texts, so what is broadcast is bounded by the parameter; where a label's rows repeat,
+    the largest counts.
+    """
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sizes = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
     if sum(sizes.values()) > sample_docs:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample_docs / sum(sizes.values())) + 1)
+        labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample_docs / sum(sizes.values())) + 1)
+    if labels.count() <= 2 * sample_docs:
+        labels = F.broadcast(labels)
+    rows = stored(documents(docs).join(labels, "doc_id").select("text", "toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,6 +177,5 @@ def held_out() -> F.Column:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     docs = read(spark, sf_dir, "documents")
-    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic is not null").dropDuplicates(["doc_id"])
-    model = fit(docs.select("doc_id", "text").join(labels.where(~held_out()), "doc_id"))
+    model = fit(docs, read(spark, sf_dir, "labels").where(~held_out()))
     return score(docs, model, passages=False).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
