@@ -59,8 +59,8 @@ class LineRuns:
         return stored(df.select("key", "first_doc").repartition("key").sortWithinPartitions("key"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in: int = 3) -> DataFrame:
-    """Drop lines whose key stands in a document of smaller doc_id: doc_id, n_lines, n_dropped, kept (text).
+def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Drop lines whose key stands in a document of smaller doc_id: doc_id, n_lines, n_dropped, kept (text), and the columns to carry along.
 
     A key is the line stripped of blanks at both ends with A-Z lower-cased; keys under `min_chars` code points are never dropped.
     All lines of a key in the smallest doc_id that holds it stay. Documents are taken in `batches` ranges of doc_id in ascending
@@ -69,7 +69,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
     whose hot key Spark splits. Null or empty text: one empty line, which stays. An empty table gives an empty one. Rows that
     repeat a doc_id each keep their own lines and count as one document.
     """
-    spark, docs = docs.sparkSession, documents(docs)
+    spark, whole, docs = docs.sparkSession, docs, documents(docs)
+    carried = whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)])
 
     def keys(ids, texts):
         out_ids, out_keys = [], []
@@ -102,7 +103,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
         gone = mine.join(repeated, "key").where("old or doc_id > first_doc").select("doc_id", "key")
         drops = gone if drops is None else drops.unionByName(gone)
     drops = drops.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    joined = docs.join(drops, "doc_id", "left")
+    joined = carried.join(drops, "doc_id", "left")
+    kinds = "".join(f", carried_{k} {carried.schema[f'carried_{k}'].dataType.simpleString()}" for k in range(len(carry)))
+
+    names = [f"carried_{k}" for k in range(len(carry))]
 
     def keep(batches_):
         for batch_ in batches_:
@@ -117,9 +121,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
                 else:
                     rows.append((i, len(lines), 0, text))
             columns = list(zip(*rows)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()).cast(pa.string())], ["doc_id", "n_lines", "n_dropped", "kept"])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()).cast(pa.string()), *[batch_.column(c) for c in names]], ["doc_id", "n_lines", "n_dropped", "kept", *names])
 
-    return joined.mapInArrow(keep, "doc_id long, n_lines long, n_dropped long, kept string")
+    out = joined.mapInArrow(keep, "doc_id long, n_lines long, n_dropped long, kept string" + kinds)
+    return out.withColumnsRenamed({f"carried_{k}": c for k, c in enumerate(carry)})
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
