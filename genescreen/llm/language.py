@@ -29,6 +29,8 @@ SCRIPTS = [
     (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"),
     (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "other"), (0x20000, "han"),
 ]
+#: Words whose scores a worker keeps.
+CACHED = 200_000
 _WORDS = re.compile(r"[^\W\d_]+")
 _STARTS = np.array([s for s, _ in SCRIPTS])
 
@@ -74,10 +76,10 @@ class Model:
         return out
 
     def places(self, words: list[str]) -> np.ndarray:
-        """Row of each word in the table of scores, which holds half a million words at most."""
+        """Row of each word in the table of scores, which is begun anew beyond CACHED words."""
         fresh = set(words).difference(self.cache)
-        if len(self.cache) + len(fresh) > 500_000:
-            self.cache, fresh = {}, set(words)
+        if len(self.cache) + len(fresh) > CACHED:
+            self.cache, self.table, fresh = {}, self.table[:0], set(words)
         if fresh:
             n = len(self.cache)
             if n + len(fresh) > len(self.table):
@@ -176,7 +178,7 @@ def identify(docs: DataFrame, model: Model | None, switch: float = SWITCH, spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        for ids, texts in doc_batches(batches, 1 << 23):
+        for ids, texts in doc_batches(batches, 1 << 22):
             lists = [words_of(t) for t in texts] if own else [[] for _ in texts]
             lengths = np.array([len(x) for x in lists])
             flat = [w for x in lists for w in x]
