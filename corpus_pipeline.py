@@ -23,8 +23,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents that aren't rejected, in the columns of `documents`; rows that repeat a doc_id stay or go together, null ones stay."""
-    return docs.select(*COLUMNS).join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """The documents that aren't rejected, in the columns of `documents`; rows that repeat a doc_id stay or go together, null ones stay.
+
+    The rejected ids are written first, so Spark knows their size and shuffles the texts only where it is above its broadcast threshold.
+    """
+    return docs.select(*COLUMNS).join(stored(rejected.select("doc_id").distinct()), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
