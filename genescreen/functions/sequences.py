@@ -31,8 +31,7 @@ def matches(q: Column, t: Column) -> Column:
 
 def positional_identity(q: Column, t: Column) -> Column:
     """Equal characters at equal places over the shorter length; 0.0 if either is empty or missing."""
-    shorter = F.least(F.length(q), F.length(t))
-    return F.when(F.coalesce(shorter, F.lit(0)) > 0, matches(q, t) / shorter).otherwise(F.lit(0.0))
+    return F.when((F.length(q) > 0) & (F.length(t) > 0), matches(q, t) / F.least(F.length(q), F.length(t))).otherwise(F.lit(0.0))
 
 
 def report_identity(q: Column, t: Column) -> Column:

@@ -32,7 +32,8 @@ def extract_alignment(blocks: DataFrame, keep: str = "pipeline") -> DataFrame:
     line one below where there is none two below. A terminated block has its // line as its last. Parts are joined in order.
     """
     report = keep == "report"
-    text = F.col("text") if report else F.when(F.coalesce(F.col("terminated"), F.lit(True)), F.concat("text", F.lit("\n//"))).otherwise(F.col("text"))
+    lines_of = F.regexp_replace("text", r"\n\z", "")
+    text = F.col("text") if report else F.when(F.coalesce(F.col("terminated"), F.lit(True)), F.concat(lines_of, F.lit("\n//"))).otherwise(lines_of)
     tid = query_id(F.col("text")) if report else F.regexp_extract("text", r"(?m)^Query protein:\s*(\S+)", 1)
     clean = lambda x: F.regexp_replace(x, r"[^\p{L}!*-]" if report else r"[^\p{L}!]", "")
     tokens = lambda line: F.split(F.trim(line), r"\s+")
