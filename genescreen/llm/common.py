@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch of documents.
+ROWS = 1000
 #: Byte table: A-Z to a-z, everything else unchanged.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Byte table: letters lower-cased, digits and bytes of non-ASCII characters kept, the rest blank.
@@ -39,7 +41,14 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def documents(df: DataFrame) -> DataFrame:
-    """doc_id and text alone, as long and string; other columns, whatever their names, don't matter."""
+    """doc_id and text alone, as long and string; other columns, whatever their names, don't matter.
+
+    Where the session leaves the rows of an Arrow batch at Spark's default, they are set to ROWS: texts are long, and a batch is held
+    several times over on its way between an executor and its Python workers.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

@@ -90,41 +90,70 @@ class Model:
         return np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
 
 
-def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
-    """Best language of each word of documents whose words stand one after the other; one step a word over all documents at once."""
-    order = np.argsort(-lengths, kind="stable")
-    starts = (np.cumsum(lengths) - lengths)[order]
-    sizes = lengths[order]
-    longest = int(sizes[0]) if len(sizes) else 0
-    n_at = np.searchsorted(-sizes, -np.arange(longest), side="left")
-    n_langs = scores.shape[1]
-    stay = np.zeros((len(places), n_langs), bool)
-    best = np.zeros(len(places), np.int8)
-    value = np.zeros((len(sizes), n_langs), np.float32)
-    for t in range(longest):
-        n = n_at[t]
-        at = starts[:n] + t
+def _steps(value: np.ndarray, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: float, back: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Run word after word over all chunks (the longest first) at once; `value` has states last. back: where to note who stays, and the best state before each word."""
+    n_at = np.searchsorted(-sizes, -np.arange(int(sizes[0])), side="left")
+    for t, n in enumerate(n_at.tolist()):
         v = value[:n]
-        if t:
-            top = v.argmax(axis=1)
-            change = v[np.arange(n), top][:, None] - switch
-            keep = v >= change
-            stay[at], best[at] = keep, top
-            v = np.where(keep, v, change)
-            v = v - v.max(axis=1, keepdims=True)
-        value[:n] = v + scores[places[at]]
-    out = np.zeros(len(places), np.int8)
-    state = np.zeros(len(sizes), np.int64)
-    for t in range(longest - 1, -1, -1):
+        change = v.max(axis=-1, keepdims=True) - switch
+        if back is not None:
+            back[0][starts[:n] + t], back[1][starts[:n] + t] = v >= change, v.argmax(axis=-1)
+        own = scores[starts[:n] + t]
+        value[:n] = np.maximum(v, change) + (own if v.ndim == 2 else own[:, None, :])
+    return n_at
+
+
+def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch: float, chunk: int = 256) -> np.ndarray:
+    """Best language of each word of documents whose words stand one after the other; exact, with `chunk` steps however long they are.
+
+    Documents are cut to chunks. For every chunk and every state before it the best score of each state at its end is found, all chunks
+    at once; these are put together chunk by chunk, which gives the states at the borders; with those known, all chunks are traced back.
+    """
+    own, n_langs = scores[places], scores.shape[1]
+    n_chunks = -(-lengths // chunk)
+    doc = np.repeat(np.arange(len(lengths)), n_chunks)
+    first = np.cumsum(n_chunks) - n_chunks
+    number = np.arange(len(doc)) - first[doc]
+    starts = (np.cumsum(lengths) - lengths)[doc] + number * chunk
+    sizes = np.minimum(chunk, lengths[doc] - number * chunk)
+    if not len(doc):
+        return np.empty(0, np.int8)
+    order = np.argsort(-sizes, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    begins = number[order] == 0
+    value = np.full((len(order), n_langs, n_langs), -1e9, np.float32)
+    value[:, np.arange(n_langs), np.arange(n_langs)] = 0
+    value[begins] = 0
+    _steps(value, own, starts[order], sizes[order], switch)
+    # documents by number of chunks, and chunk after chunk of each
+    docs = np.argsort(-n_chunks, kind="stable")
+    reached = np.zeros((len(docs), n_langs), np.float32)
+    before = np.zeros((len(doc), n_langs), np.int8)
+    n_docs = np.searchsorted(-n_chunks[docs], -np.arange(int(n_chunks.max())), side="left").tolist()
+    for k, n in enumerate(n_docs):
+        at = first[docs[:n]] + k
+        whole = reached[:n, :, None] + value[rank[at]]
+        before[at] = whole.argmax(axis=1)
+        reached[:n] = whole.max(axis=1) if k else value[rank[at], 0]
+        reached[:n] -= reached[:n].max(axis=1, keepdims=True)
+    entry, exits = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+    state = reached.argmax(axis=1)
+    for k in range(len(n_docs) - 1, -1, -1):
+        at = first[docs[: n_docs[k]]] + k
+        exits[at] = state[: n_docs[k]]
+        entry[at] = state[: n_docs[k]] = before[at, state[: n_docs[k]]]
+    value = np.full((len(order), n_langs), -1e9, np.float32)
+    value[np.arange(len(order)), entry[order]] = 0
+    value[begins] = 0
+    stay, best = np.zeros((len(own), n_langs), bool), np.zeros(len(own), np.int8)
+    n_at = _steps(value, own, starts[order], sizes[order], switch, (stay, best))
+    out, state, ends = np.zeros(len(own), np.int8), exits[order], starts[order]
+    for t in range(len(n_at) - 1, -1, -1):
         n = n_at[t]
-        further = n_at[t + 1] if t + 1 < longest else 0
-        if n > further:
-            state[further:n] = value[further:n].argmax(axis=1)
-        at = starts[:n] + t
+        at = ends[:n] + t
         out[at] = state[:n]
-        if t:
-            kept = stay[at, state[:n]]
-            state[:n] = np.where(kept, state[:n], best[at])
+        state[:n] = np.where(stay[at, state[:n]], state[:n], best[at])
     return out
 
 
@@ -147,6 +176,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
                     found[lang, "#" + script_of(w)] += n
                     for g in grams_of(w):
                         found[lang, g] += n
+            del held
             keys = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["lang", "gram", "n"])
 
