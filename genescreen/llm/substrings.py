@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import complete_groups, documents, read
+from genescreen.llm.common import complete_groups, documents, read, stored
 from genescreen.llm.decontaminate import gram_hashes, word_hashes
 
 #: Word hashes that a worker has met.
@@ -236,7 +236,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     spark, docs, block = docs.sparkSession, documents(docs), window // 2
     n_parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.where("doc_id is not null and text is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
-    firsts = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").drop("last_doc")
+    # written first, so that the join shuffles both sides as they are and Spark can split a digest that very many rows have
+    firsts = stored(keyed.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").drop("last_doc"))
     copies = keyed.join(firsts, "digest").where("first_doc < doc_id").groupBy("doc_id").agg(F.min("first_doc").alias("first_doc"))
     based = docs.join(copies.hint("shuffle_hash"), "doc_id", "left")
 
