@@ -91,7 +91,10 @@ class Model:
 
 
 def _steps(value: np.ndarray, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, switch: float, back: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """Run word after word over all chunks (the longest first) at once; `value` has states last. back: where to note who stays, and the best state before each word."""
+    """Run `value` (states last) word after word over all chunks (the longest first) at once; returns how many chunks have each word.
+
+    back: where to note which states stay at a word, and the best state before it.
+    """
     n_at = np.searchsorted(-sizes, -np.arange(int(sizes[0])), side="left")
     for t, n in enumerate(n_at.tolist()):
         v = value[:n]
