@@ -11,6 +11,7 @@ from genescreen.operators import blocks as B
 from genescreen.operators import hits as H
 from genescreen.operators import quality as Q
 from genescreen.operators import select as S
+from genescreen.sources.sinks import stored
 
 
 @dataclass(frozen=True)
@@ -75,9 +76,11 @@ def _merged(rows: DataFrame, start: Column, base: Column, removed: list[str], na
 def run_funnel(x: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
     """One row per id that is putative or listed, with flags; `unitary` and `high_confidence` are the lists that the funnel ends in.
 
-    All tables are reduced to (tid, numbers) before they are joined, and all joins are on tid.
+    All tables are reduced to (tid, numbers) before they are joined, and all joins are on tid. The table of flags is written after each
+    part of the funnel, since the lists of the next part are taken from it several times.
     """
-    loads = B.classify_mutation_load(B.count_mutations(x.blocks))
+    all_counts = stored(B.count_mutations(x.blocks))
+    loads = B.classify_mutation_load(all_counts)
     flags = loads.groupBy("tid").agg(*[F.max(F.col("load") == k).alias(k) for k in ("putative", "single", "multi")])
     listed = x.whitelist.select("tid").distinct().withColumn("listed", F.lit(True))
     valid = S.longest_per_symbol_whitelist(x.proteins, x.whitelist).where("status = 'kept'") if t.prefilter else x.proteins
@@ -95,7 +98,7 @@ def run_funnel(x: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
         rows = rows.withColumn(c, F.coalesce(F.col(c), F.lit(False)) if c in rows.columns else F.lit(False))
     # after each filter the listed ids come back, unless nothing is left of the list by then
     start = F.col("listed") | (F.col("putative") & F.col("valid"))
-    rows = _merged(rows, start, F.col("putative") & F.col("valid"), ["family", "redundant"], "unitary")
+    rows = stored(_merged(stored(rows), start, F.col("putative") & F.col("valid"), ["family", "redundant"], "unitary"))
     single = rows.where("unitary and single").select("tid")
     multi = rows.where("unitary and multi").select("tid")
     if t.false_positive:
@@ -105,7 +108,7 @@ def run_funnel(x: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
         )
         rows = flagged(rows, found, "false_positive")
     if t.multi_quality:
-        counts = B.count_mutations(x.blocks).groupBy("tid").agg(F.max_by(F.struct("stop", "shift"), "line_no").alias("x")).select("tid", "x.*")
+        counts = all_counts.groupBy("tid").agg(F.max_by(F.struct("stop", "shift"), "line_no").alias("x")).select("tid", "x.*")
         low = Q.multi_disruption_quality(multi, counts, x.alignments, x.proteins, t.multi_min_cov, t.multi_min_id, t.multi_min_aln_len)
         rows = flagged(rows, low.where("reason <> 'pass'"), "low_multi")
     if t.global_quality:
@@ -113,4 +116,4 @@ def run_funnel(x: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
         rows = flagged(rows, good.where("status = 'fail'"), "low_global")
     for c in ("false_positive", "low_multi", "low_global"):
         rows = rows.withColumn(c, F.coalesce(F.col(c), F.lit(False)) if c in rows.columns else F.lit(False))
-    return _merged(rows, F.col("unitary"), F.col("unitary") & ~F.col("listed"), ["false_positive", "low_multi", "low_global"], "high_confidence")
+    return _merged(stored(rows), F.col("unitary"), F.col("unitary") & ~F.col("listed"), ["false_positive", "low_multi", "low_global"], "high_confidence")

@@ -18,6 +18,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write rows as a Parquet table in the shared folder and read them again, so that what uses them several times computes them once."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_lines(df: DataFrame, path: str) -> str:
     """Write the column `value`, one line a row."""
     df.select("value").write.text(path)
