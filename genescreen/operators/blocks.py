@@ -101,37 +101,52 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
 # predicates of ids with one disruption
 
 
-def _of_single(blocks: DataFrame, single: DataFrame) -> DataFrame:
-    return blocks.withColumn("tid", query_id(F.col("text"))).join(single.select("tid"), "tid", "left_semi")
+def block_signs(blocks: DataFrame, max_tail: int = 50, id_rule: str = "as_coded") -> DataFrame:
+    """tid and kind of every sign of a false positive in a block, in one pass over the texts.
+
+    splicing_stop: the block holds :X[. splicing_shift: a ! touches three blanks, directly or with a letter between. ending_stop: the
+    translation (`.sp.tr`), white space removed, has fewer than max_tail characters, but some, after its first *. ending_shift: it has
+    as many after its last `tr`; no ! is needed. The first two are of the block's query. The last two are of the id before `.sp.tr` if
+    id_rule is `documented`; `as_coded` takes that id's first character alone, so only ids of one character are ever found.
+    """
+    text, tid = F.col("text"), query_id(F.col("text"))
+    translated = F.regexp_extract(text, r">(\S+?)\.sp\.tr" if id_rule == "documented" else r">(\S)", 1)
+    squeezed = F.regexp_replace(text, r"\s+", "")
+    short = lambda pattern, group: F.length(F.regexp_extract(squeezed, pattern, group)).between(1, max_tail - 1)
+    found = text.contains(".sp.tr")
+    sign = lambda own, kind, where: F.when(where, F.struct(own.alias("tid"), F.lit(kind).alias("kind")))
+    signs = F.array(
+        sign(tid, "splicing_stop", text.contains(":X[")),
+        sign(tid, "splicing_shift", text.rlike(r"![A-Z]?\s{3}|\s{3}[A-Z]?!")),
+        sign(translated, "ending_stop", found & short(r"^[^*]*\*(\S+)$", 1)),
+        sign(translated, "ending_shift", found & short(r"(.*)tr(\S+)$", 2)),
+    )
+    return blocks.select(F.explode(F.array_compact(signs)).alias("x")).select("x.*").where("tid <> ''")
+
+
+def _signed(blocks: DataFrame, single: DataFrame, kind: str, *options) -> DataFrame:
+    rows = block_signs(blocks, *options).where(F.col("kind") == kind)
+    return rows.join(single.select("tid"), "tid", "left_semi").select("tid").distinct()
 
 
 def splicing_stop(blocks: DataFrame, single: DataFrame) -> DataFrame:
-    """Ids with a block that holds :X[."""
-    return _of_single(blocks, single).where(F.col("text").contains(":X[")).select("tid").distinct()
+    """Single ids with a splicing_stop sign."""
+    return _signed(blocks, single, "splicing_stop")
 
 
 def splicing_shift(blocks: DataFrame, single: DataFrame) -> DataFrame:
-    """Ids with a block in which a ! touches three blanks, directly or after a letter."""
-    return _of_single(blocks, single).where(F.col("text").rlike(r"![A-Z]?\s{3}|\s{3}[A-Z]?!")).select("tid").distinct()
-
-
-def _translated(blocks: DataFrame, single: DataFrame, id_rule: str) -> DataFrame:
-    """Blocks with a translation, white space removed, whose tid is single. id_rule: `documented` takes the id that `.sp.tr` follows; `as_coded` its first character alone, which is the id only of ids of one character."""
-    tid = F.regexp_extract("text", r">(\S+?)\.sp\.tr", 1) if id_rule == "documented" else F.regexp_extract("text", r">(\S)", 1)
-    rows = blocks.where(F.col("text").contains(".sp.tr")).select(tid.alias("tid"), F.regexp_replace("text", r"\s+", "").alias("squeezed"))
-    return rows.where("tid <> ''").join(single.select("tid"), "tid", "left_semi")
+    """Single ids with a splicing_shift sign."""
+    return _signed(blocks, single, "splicing_shift")
 
 
 def ending_stop(blocks: DataFrame, single: DataFrame, max_tail: int = 50, id_rule: str = "as_coded") -> DataFrame:
-    """Ids whose translation has a * with fewer than max_tail characters, but some, after its first."""
-    tail = F.length(F.regexp_extract("squeezed", r"^[^*]*\*(\S+)$", 1))
-    return _translated(blocks, single, id_rule).where((tail > 0) & (tail < max_tail)).select("tid").distinct()
+    """Single ids with an ending_stop sign."""
+    return _signed(blocks, single, "ending_stop", max_tail, id_rule)
 
 
 def ending_shift(blocks: DataFrame, single: DataFrame, max_tail: int = 50, id_rule: str = "as_coded") -> DataFrame:
-    """Ids with fewer than max_tail characters, but some, after the last `tr` of the squeezed text."""
-    tail = F.length(F.regexp_extract("squeezed", r"(.*)tr(\S+)$", 2))
-    return _translated(blocks, single, id_rule).where((tail > 0) & (tail < max_tail)).select("tid").distinct()
+    """Single ids with an ending_shift sign."""
+    return _signed(blocks, single, "ending_shift", max_tail, id_rule)
 
 
 def low_identity_flanks(alignments: DataFrame, single: DataFrame, flank: int = 30, flank_th: float = 0.2, overall_th: float = 0.1, mode: str = "and") -> DataFrame:

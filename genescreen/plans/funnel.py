@@ -103,7 +103,7 @@ def run_funnel(x: Inputs, t: Thresholds = Thresholds()) -> DataFrame:
     multi = rows.where("unitary and multi").select("tid")
     if t.false_positive:
         found = S.union_ids(
-            B.splicing_stop(x.blocks, single), B.ending_stop(x.blocks, single, id_rule=t.id_rule), B.splicing_shift(x.blocks, single), B.ending_shift(x.blocks, single, id_rule=t.id_rule),
+            S.keep_listed(B.block_signs(x.blocks, id_rule=t.id_rule), single),  # all four lists of single ids
             B.low_identity_flanks(x.alignments, single, t.flank_size, t.flank_th, t.overall_th, t.flank_mode), B.end_mutation(x.alignments, t.end_frac),
         )
         rows = flagged(rows, found, "false_positive")
