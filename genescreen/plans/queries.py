@@ -297,9 +297,9 @@ def _(e: Entities) -> DataFrame:
     return B.ending_shift(e.blocks, _single(e), id_rule="documented")
 
 
-@query("fp5_low_identity_flanks", f"{_MUT} SELECT tid, mut_type FROM (SELECT *, {_IDENT} AS identity FROM flanks) WHERE doc_id % 2 = 0 AND (flank_before < 0.9 OR flank_after < 0.9) AND identity < 0.95", "alignments")
+@query("fp5_low_identity_flanks", f"{_MUT} SELECT tid, mut_type FROM (SELECT *, {_IDENT} AS identity FROM flanks) WHERE tid IN (FROM truth) AND (flank_before < 0.9 OR flank_after < 0.9) AND identity < 0.95", "alignments", "truth")
 def _(e: Entities) -> DataFrame:
-    return B.low_identity_flanks(e.alignments, e.alignments.where("doc_id % 2 = 0"), 30, 0.9, 0.95, "or")
+    return B.low_identity_flanks(e.alignments, e.truth, 30, 0.9, 0.95, "or")
 
 
 @query("fp6_end_mutation", f"{_MUT} SELECT tid, mut_pos, length(qseq) AS query_len, (mut_pos + 1) / length(qseq) AS fraction FROM typed WHERE mut_pos IS NOT NULL AND (mut_pos + 1) / length(qseq) >= 0.5", "alignments")
