@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +56,10 @@ class Model:
 
     def __init__(self, langs: list[str], grams: dict[str, list[float]], unseen: list[float], scripts: dict[str, list[bool]]) -> None:
         self.langs = langs
-        self.places_of_grams = {g: k for k, g in enumerate(grams)}
+        short = sorted((sum(ord(c) << (42 - 21 * k) for k, c in enumerate(g)), row) for row, g in enumerate(grams) if len(g) == 3)
+        self.codes = np.array([code for code, _ in short], np.uint64)
+        self.rows = np.array([row for _, row in short], np.int64)
+        self.whole = {g[1:-1]: row for row, g in enumerate(grams) if len(g) > 3}
         self.logs = np.array([*grams.values(), unseen], np.float32)
         self.candidates = np.array([scripts.get(name, [False] * len(langs)) for _, name in SCRIPTS], bool)
         self.cache: dict[str, int] = {}
@@ -65,12 +67,25 @@ class Model:
 
     def score(self, words: list[str]) -> np.ndarray:
         """Per word and language the log-probability of the word's sequences over the root of their number; -1e4 outside its script."""
-        get, none = self.places_of_grams.get, len(self.logs) - 1
-        lists = [[get(g, none) for g in grams_of(w)] for w in words]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        out = np.add.reduceat(self.logs[np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))], np.cumsum(sizes) - sizes, axis=0)
+        none = len(self.logs) - 1
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        # all words between marks, one after the other; three letters are a sequence unless they reach into the next word
+        letters = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+        ends = np.cumsum(sizes + 2)
+        first_letters = ends - sizes - 1
+        own = np.ones(len(letters), bool)
+        own[ends - 1] = own[ends - 2] = False
+        at = np.flatnonzero(own)
+        codes = (letters[at] << np.uint64(42)) | (letters[at + 1] << np.uint64(21)) | letters[at + 2]
+        near = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
+        known = self.codes[near] == codes if len(self.codes) else np.zeros(len(codes), bool)
+        rows = np.where(known, self.rows[near] if len(self.codes) else 0, none)
+        out = np.add.reduceat(self.logs[rows], np.cumsum(sizes) - sizes, axis=0)
+        get = self.whole.get
+        out += np.where(sizes[:, None] > 1, self.logs[np.fromiter((get(w, none) for w in words), np.int64, len(words))], 0)
+        sizes = sizes + (sizes > 1)
         out = (out - out.max(axis=1, keepdims=True)) / np.sqrt(sizes)[:, None]
-        script = np.searchsorted(_STARTS, np.array([ord(w[0]) for w in words]), side="right") - 1
+        script = np.searchsorted(_STARTS, letters[first_letters], side="right") - 1
         out = np.where(self.candidates[script], out, -1e4)
         out[~self.candidates[script].any(axis=1)] = 0
         return out
