@@ -11,13 +11,15 @@ from genescreen.llm.common import read, stored
 from genescreen.llm.decontaminate import contaminated, hits
 from genescreen.llm.language import fit_on, identify
 from genescreen.llm.line_dedup import dedup_lines
+from genescreen.llm.minhash import near_copies
 from genescreen.llm.packing import default_tokenizer, pack
-from genescreen.llm.simhash import near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Least share of its letters that a document's language must have.
 LEAST_SHARE = 0.35
+#: Words of a shingle, and Jaccard similarity of shingle sets from which documents are near copies.
+SHINGLE, SIMILARITY = 5, 0.8
 #: Columns of `documents`.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -43,8 +45,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document of the smallest doc_id stays."""
-    return without(docs, near_duplicates(docs).where("doc_id <> component_id"))
+    """Of each component of documents with similarity SIMILARITY or more the one of the smallest doc_id stays."""
+    return without(docs, near_copies(docs, SHINGLE, SIMILARITY).where("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,112 @@
+"""Near copies by word shingles: MinHash bands find pairs, exact Jaccard similarity decides."""
+
+from __future__ import annotations
+
+import numpy as np
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from genescreen.llm.common import LOWER, documents, map_docs, stored
+from genescreen.llm.graph import components
+
+#: Bands and minima a band: a pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^24 = 0.99993, a more similar one with more.
+BANDS, MINIMA = 24, 5
+#: Rounds in which each bucket's members are compared with one of them, before all pairs that are still apart are.
+ROUNDS = 3
+_DRAWS = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * MINIMA, 1), np.uint64)
+_XOR, _FACTOR = _DRAWS[0], _DRAWS[1] * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: bytes | None, width: int) -> np.ndarray:
+    """Sorted distinct XXH64 (seed 42) of the shingles of `width` words; fewer words are one shingle, no words none."""
+    words = (text or b"").translate(LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: len(words) - width + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends[width - 1 :].tolist())], np.uint64))
+
+
+def bands(grams: np.ndarray) -> list[int]:
+    """One signed 64-bit key a band, from the minima of the shingles; no shingles: no keys."""
+    if not len(grams):
+        return []
+    least = np.full((BANDS * MINIMA, 1), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(grams), 4096):
+        least = np.minimum(least, ((grams[None, at : at + 4096] ^ _XOR) * _FACTOR).min(axis=1, keepdims=True))
+    parts = least.reshape(BANDS, MINIMA)
+    return np.array([xxhash.xxh64_intdigest(parts[k].tobytes(), k) for k in range(BANDS)], np.uint64).view(np.int64).tolist()
+
+
+def _node(grams: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), 7)).view(np.int64))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The (a, b) pairs whose shingle sets have an exact Jaccard similarity of `least` or more."""
+    left, right = (sets.select(F.col("node").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
+    # sets of too different sizes can't reach it, whatever they share
+    sizes = sets.select("node", F.size("grams").alias("n"))
+    pairs = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").where(F.least("n_a", "n_b") / F.greatest("n_a", "n_b") >= least)
+    both = F.size(F.array_intersect("grams_a", "grams_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", both.alias("both")).where(F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both")) >= least).select("a", "b")
+
+
+def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
+    """doc_id and component_id: the smallest doc_id reachable over pairs of texts whose sets of `width`-word shingles have Jaccard similarity `least` or more.
+
+    Texts of equal sets are one node, however many they are; texts without words (null, empty, blank) have the empty set and are
+    equal to each other alone. Nodes meet in MinHash bands. Each bucket's members are first compared with one of them, several times
+    over, so a dense group of any size is joined by as many comparisons as it has members; then all pairs of a bucket that no link
+    has joined so far are. Every comparison is exact. A repeated doc_id is one node of its text each time; rows of null doc_id are
+    in no component and not in the result. An empty table gives an empty one.
+    """
+    docs = documents(docs).where("doc_id is not null")
+
+    def make(ids, texts):
+        sets = [shingles(t, width) for t in texts]
+        return {"doc_id": ids, "node": [_node(s) for s in sets], "keys": [bands(s) for s in sets]}
+
+    held = stored(map_docs(docs, make, "doc_id long, node long, keys array<long>"))
+    nodes = stored(held.groupBy("node").agg(F.min("doc_id").alias("first_doc")))
+    met = held.select("node", F.explode("keys").alias("key")).distinct()
+    shared = met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = stored(met.join(shared, "key"))
+
+    firsts = met.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"))
+
+    def sets_of(ids, texts):
+        sets = [shingles(t, width) for t in texts]
+        return {"doc_id": ids, "node": [_node(s) for s in sets], "grams": [s.view(np.int64) for s in sets]}
+
+    texts = docs.join(firsts.select("doc_id").distinct(), "doc_id")
+    made = map_docs(documents(texts), sets_of, "doc_id long, node long, grams array<long>")
+    sets = stored(made.join(firsts, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "grams"))
+
+    found = None
+    roots = nodes.select("node", F.col("node").alias("root"))
+    for k in range(ROUNDS + 1):
+        named = met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        # buckets of one component are settled
+        apart = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        open_ = stored(named.join(apart, "key"))
+        if open_.isEmpty():
+            break
+        if k < ROUNDS:
+            chosen = open_.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(k))).alias("c"))
+            pairs = open_.join(chosen, "key").where("root <> c.root").select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b"))
+        else:
+            other = open_.toDF("key", "other", "other_root")
+            pairs = open_.join(other, "key").where("root < other_root").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
+        new = stored(similar(pairs.distinct(), sets, least))
+        found = new if found is None else found.unionByName(new)
+        roots = stored(components(found))
+    named = nodes.join(roots, "node", "left").select("node", "first_doc", F.coalesce("root", "node").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    return held.select("doc_id", "node").join(named.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
