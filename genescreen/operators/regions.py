@@ -19,11 +19,12 @@ def extract_regions(jobs: DataFrame, tiles: DataFrame, proteins: DataFrame, size
     the region before anything is shuffled again, and the cuts are put together by tile number. Not reverse-complemented.
     """
     first, last = F.floor((F.col("start1") - 1) / size), F.floor((F.col("end1") - 1) / size)
-    touched = jobs.withColumn("tile_no", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    key = ["gene", "tname", "start1", "end1"]
+    # a job that repeats is cut once; its copies get the sequence in the join below
+    touched = jobs.select(*key).distinct().withColumn("tile_no", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
     start = F.greatest(F.col("start1") - F.col("tile_no") * size, F.lit(1))
     end = F.least(F.col("end1") - F.col("tile_no") * size, F.lit(size))
     cut = touched.join(tiles, ["tname", "tile_no"]).select("gene", "tname", "start1", "end1", "tile_no", F.substring("seq", start.cast("int"), (end - start + 1).cast("int")).alias("cut"))
-    key = ["gene", "tname", "start1", "end1"]
     dna = cut.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tile_no", "cut"))), lambda x: x.cut), "").alias("dna"))
     rows = jobs.join(dna, key, "left").join(proteins.select(F.col("tid").alias("gene"), F.col("seq").alias("protein")), "gene", "left")
     reason = F.when(F.col("protein").isNull(), "pep_missing").when(F.coalesce("dna", F.lit("")) == "", "dna_missing")
