@@ -53,13 +53,14 @@ def documents(df: DataFrame) -> DataFrame:
 
 
 def doc_batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[tuple[np.ndarray, list[bytes | None]]]:
-    """doc ids and texts as bytes of (doc_id, text, ...) batches, in pieces of about `most` bytes of text."""
+    """doc ids and texts as bytes of (doc_id, text, ...) batches, in pieces of about `most` bytes of text; null ids are None."""
     for batch in batches:
         size = max(1, batch.column("text").nbytes)
         step = max(1, batch.num_rows * most // size)
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
-            yield part.column("doc_id").to_numpy(zero_copy_only=False), part.column("text").cast(pa.binary()).to_pylist()
+            ids = part.column("doc_id")
+            yield np.array(ids.to_pylist(), object) if ids.null_count else ids.to_numpy(zero_copy_only=False), part.column("text").cast(pa.binary()).to_pylist()
 
 
 def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dict | None], schema: str, extra: Callable | None = None) -> DataFrame:

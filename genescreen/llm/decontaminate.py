@@ -137,7 +137,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 5) -> D
     in it. Document fingerprints pass a bit map of fixed size over the benchmark's, meet the benchmark's in an equality join with
     their neighbouring words, and are extended word by word. A document sends a fingerprint with one context once, with all its places.
     Only Spark's own size threshold decides whether the benchmark side is broadcast. Null has no words. A document is a doc_id with
-    one text: repeated rows each get the same result. Empty tables give no hits.
+    one text: repeated rows each get the same result, and null is a doc_id. Empty tables give no hits.
     """
     docs = documents(docs)
     index, short = item_prints(benchmark, span, k)
@@ -193,7 +193,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 5) -> D
     totals = spans.mapInArrow(union, "doc_id long, text_hash long, n_hit long, items array<string>")
     base = held.where("fp is null").select("doc_id", "text_hash", "n_words")
     empty = F.array().cast("array<string>")
-    return base.join(totals, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", empty).alias("items"))
+    totals = totals.withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
+    return base.join(totals, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left").select("doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", empty).alias("items"))
 
 
 def contaminated() -> F.Column:

@@ -218,7 +218,8 @@ def identify(docs: DataFrame, model: Model | None, switch: float = SWITCH, spans
 
     Per word, the scripts leave some languages as candidates; Viterbi over the words with a cost for each change labels stretches. The
     prediction is the language with the most letters (ties: the first by name), its share of them the score. A null text, one without
-    a letter, and every text where no model could be fitted are `und` with score 0 and no stretch. Repeated rows are each predicted.
+    a letter, and every text where no model could be fitted are `und` with score 0 and no stretch. Repeated rows and
+    rows of null doc_id are each predicted.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", "lang_pred", "score"] + ["spans"] * spans

@@ -112,7 +112,7 @@ def fit(docs: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> Model
 def score(docs: DataFrame, models: Models) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score: mean losses per token and target minus background (lower: more like the target).
 
-    A text without tokens (null, empty) has losses and score 0. Repeated rows are each scored. An empty table gives an empty one.
+    A text without tokens (null, empty) has losses and score 0. Repeated rows and rows of null doc_id are each scored. An empty table gives an empty one.
     """
     held = docs.sparkSession.sparkContext.broadcast(models)
 

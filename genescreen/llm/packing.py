@@ -188,7 +188,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, with
     own, a fixed number of pieces each, without looking at any other. What is left over in a group is fewer pieces than one sequence
     holds; those of all groups fill a class's sequences together, and what is left of a class, fewer than one sequence again, is packed
     by best fit in one task. That is at most one sequence's worth a class, so its size depends on the capacity alone.
-    A null or empty text is end_id alone. Repeated rows are packed each for itself. An empty table gives no pieces.
+    A null or empty text is end_id alone. Repeated rows and rows of null doc_id are packed each for itself. An empty table gives no pieces.
     """
     held = stored(pieces(docs, path, capacity, end_id, with_ids).withColumn("worker", F.spark_partition_id()).withColumn("n", F.monotonically_increasing_id()))
     fill = F.floor(F.lit(capacity) / F.col("length")).cast("long")

@@ -154,6 +154,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
 
     Equal fingerprints meet first in a map-side minimum, so exact copies are one node however many they are. Texts without words
     (null, empty, blank) have fingerprint zero and link like any other. A repeated doc_id is one node of its fingerprint each time.
+    A row of null doc_id stays and links like any other, but names no component: one of such rows alone has a null component_id.
     An empty table gives an empty one.
     """
     held = stored(fingerprints(docs, width))

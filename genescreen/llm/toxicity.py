@@ -146,7 +146,8 @@ def score(docs: DataFrame, model: Model | None, passages: bool = True) -> DataFr
 
     Every maximal segment of the token scores is found; those better than chance after Karlin and Altschul's correction for the
     document's length are its passages, and the best and the sum of them are calibrated to a probability. Texts without a token
-    (null, empty) get what the calibration says of no segment; without a model every score is 0. Repeated rows are each scored.
+    (null, empty) get what the calibration says of no segment; without a model every score is 0. Repeated rows and rows of null doc_id
+    are each scored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", "score"] + ["passages"] * passages
@@ -166,7 +167,7 @@ def score(docs: DataFrame, model: Model | None, passages: bool = True) -> DataFr
                 columns.append(pa.array([[{"first_token": a, "end_token": b, "excess": own.rate * s - f[3]} for a, b, s in f[0] if own.rate * s > f[3]] for f in found], types[2]))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, score double" + ", passages array<struct<first_token:int,end_token:int,excess:double>>" * passages)
+    return documents(docs).mapInArrow(run, "doc_id long, score double" + ", passages array<struct<first_token:int,end_token:int,excess:double>>" * passages)
 
 
 def held_out() -> F.Column:
