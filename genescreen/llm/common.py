@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +25,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as spark.checkpoint.dir names it; a temporary one where it is unset."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Where it is unset it is a folder of the warehouse, which Spark writes tables to and so shares too; never a machine's own
+    temporary folder.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="genescreen-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    return path or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/genescreen-intermediate"
 
 
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -63,6 +64,40 @@ def doc_batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Itera
             yield np.array(ids.to_pylist(), object) if ids.null_count else ids.to_numpy(zero_copy_only=False), part.column("text").cast(pa.binary()).to_pylist()
 
 
+def text_pieces(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Pieces of about `most` bytes of text of (text, ...) batches, and their texts with nulls as empty ones."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.column("text").nbytes))
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            yield part, pc.fill_null(part.column("text").cast(pa.string()), "")
+
+
+def translated(texts: pa.Array, table: bytes) -> pa.Array:
+    """Texts with every byte replaced as a table of 256 bytes says."""
+    whole = pa.concat_arrays([texts])  # offsets from zero
+    offsets, data = whole.buffers()[1:]
+    new = np.frombuffer(table, np.uint8)[np.frombuffer(data, np.uint8)] if data is not None and data.size else np.empty(0, np.uint8)
+    return pa.StringArray.from_buffers(len(whole), offsets, pa.py_buffer(new))
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of words of each text, the place of each word, text after text, among the distinct ones, and these. ASCII white space separates words."""
+    parts = pc.ascii_split_whitespace(texts)
+    offsets = parts.offsets.to_numpy().astype(np.int64)
+    flat = parts.values.slice(offsets[0], offsets[-1] - offsets[0])
+    some = pc.not_equal(pc.binary_length(flat), 0)
+    ends = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    coded = flat.filter(some).dictionary_encode()
+    return np.diff(ends[offsets - offsets[0]]), coded.indices.to_numpy(), coded.dictionary
+
+
+def taken(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` that begin at `starts` and have `sizes` entries, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
+
+
 def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dict | None], schema: str, extra: Callable | None = None) -> DataFrame:
     """Apply `make` to pieces of (doc_id, text) and return its columns (a dict of arrays or lists) as rows."""
     from pyspark.sql.types import StructType

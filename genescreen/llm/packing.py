@@ -5,38 +5,38 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import doc_batches, documents, read, stored
+from genescreen.llm.common import documents, read, split_words, stored, taken, text_pieces
 
-#: For each tokenizer file what a worker has loaded and met: token ids (little-endian unsigned 32 bits) of chunks and of their parts.
+#: For each tokenizer file what a worker has loaded and met: token ids (little-endian unsigned 32 bits) of parts of chunks.
 _CACHES: dict[str, tuple] = {}
-#: Entries beyond which a cache is emptied but for what the batch at hand needs.
-CACHED = 400_000
-_BLANKS = bytes(32 if c in b" \t\n\r" else c for c in range(256))
-_PUNCTUATION = b".,;:!?)(\"-|"
+#: Parts beyond which a cache is emptied but for what the batch at hand needs.
+CACHED = 800_000
+#: ASCII punctuation but for what may begin or end a special token or a contraction.
+_PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
 
 def tokenizer(path: str) -> tuple:
-    """The tokenizer of a file, one with its merges alone, the ids that end a word, and two caches; loaded once a worker."""
+    """The tokenizer of a file, one with its merges alone, the ids that end a word, and a cache; loaded once a worker."""
     if path not in _CACHES:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
         merges = Tokenizer(whole.model)
         merges.pre_tokenizer = WhitespaceSplit()
         vocabulary = whole.get_vocab()
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        _CACHES[path] = (whole, merges, ends, {}, {})
+        _CACHES[path] = (whole, merges, ends, {})
     return _CACHES[path]
 
 
@@ -84,49 +84,64 @@ def _encode_parts(parts: list[bytes], loaded: tuple) -> dict[bytes, bytes]:
     return out
 
 
-def encode(texts: list[bytes | None], path: str) -> list[bytes]:
-    """Token ids of whole texts as little-endian unsigned 32 bits, without special tokens.
+def part_ids(parts: pa.Array, path: str) -> list[bytes]:
+    """Token ids of parts of chunks as little-endian unsigned 32 bits, each encoded once a worker while the cache holds."""
+    loaded, names = tokenizer(path), parts.cast(pa.binary()).to_pylist()
+    cache = loaded[3]
+    cache[b""] = b""
+    missing = [x for x in names if x not in cache]
+    if missing:
+        if len(cache) + len(missing) > CACHED:
+            keep = {x: cache[x] for x in names if x in cache}
+            cache.clear()
+            cache.update(keep)
+        cache.update(_encode_parts(missing, loaded))
+    return list(map(cache.__getitem__, names))
 
-    For tokenizers that drop white space and end every word with an id of its own (byte-level merges with word ends, lower case): a
-    text's ids are those of its blank-separated chunks, each encoded once. A chunk of letters between ASCII punctuation splits
-    further, as the tokenizer itself splits it.
-    """
-    loaded = tokenizer(path)
-    chunks, parts = loaded[3:]
-    split = [(t or b"").translate(_BLANKS).split(b" ") for t in texts]
-    missing = set(chain.from_iterable(split)).difference(chunks)
-    stems: dict[bytes, bytes] = {}
-    for w in missing:
-        stem = w.strip(_PUNCTUATION)
-        # ASCII letters are lower-cased here; other letters are, where they are encoded
-        stems[w] = stem.lower() if stem.isalpha() else stem if not stem.isascii() and stem.decode("utf-8", "replace").isalpha() else w
-    wanted = set(stems.values())
-    for w, stem in stems.items():
-        if len(stem) != len(w):
-            at = w.lower().index(stem) if stem.isascii() else w.index(stem)
-            wanted.add(w[:at])
-            wanted.add(w[at + len(stem) :])
-    wanted.discard(b"")
-    fresh = _encode_parts(list(wanted.difference(parts)), loaded)
-    if len(parts) + len(fresh) > CACHED:
-        keep = {x: parts[x] for x in wanted if x in parts}
-        parts.clear()
-        parts.update(keep)
-    parts.update(fresh)
-    parts[b""] = b""
-    if len(chunks) + len(stems) > CACHED:
-        keep = {x: chunks[x] for x in set(chain.from_iterable(split)).difference(missing)}
-        chunks.clear()
-        chunks.update(keep)
-    for w, stem in stems.items():
-        if len(stem) == len(w):
-            chunks[w] = parts[stem]
-        else:
-            at = w.lower().index(stem) if stem.isascii() else w.index(stem)
-            chunks[w] = parts[w[:at]] + parts[stem] + parts[w[at + len(stem) :]]
-    return [b"".join([*map(chunks.__getitem__, words)]) for words in split]
+
+def _cut(words: pa.Array, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Bytes `starts` to `starts + sizes` of each word."""
+    whole = pa.concat_arrays([words])
+    offsets, data = whole.buffers()[1:]
+    first = np.frombuffer(offsets, np.int32)[: len(whole)] + starts
+    found = taken(np.frombuffer(data, np.uint8), first, sizes) if data is not None else np.empty(0, np.uint8)
+    return pa.StringArray.from_buffers(len(whole), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.py_buffer(found))
 
 
+def encode(texts: pa.Array, path: str, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of whole texts one after the other, each followed by `end`, and how many each text has with that.
+
+    For tokenizers that drop white space and end every word with an id of its own (byte-level merges with word ends, lower case): a
+    text's ids are those of its blank-separated chunks. A chunk of letters between ASCII punctuation splits further, as the tokenizer
+    itself splits it; any other chunk, and so one that holds a special token, goes through the tokenizer whole. Distinct chunks are
+    split and distinct parts encoded, then all ids are taken from them at once.
+    """
+    counts, at, words = split_words(texts)
+    size = lambda x: pc.binary_length(x).to_numpy().astype(np.int64)
+    left = pc.utf8_ltrim(words, characters=_PUNCTUATION)
+    stems = pc.utf8_rtrim(left, characters=_PUNCTUATION)
+    letters = pc.utf8_is_alpha(stems)
+    # ASCII letters are lower-cased here; other letters are, where they are encoded
+    own = pc.if_else(letters, pc.ascii_lower(stems), words).dictionary_encode()
+    plain, sizes = letters.to_numpy(zero_copy_only=False), size(words)
+    before = np.where(plain, sizes - size(left), 0)
+    after = np.where(plain, size(left) - size(stems), 0)
+    marks = pa.concat_arrays([_cut(words, np.zeros(len(words), np.int64), before), _cut(words, sizes - after, after)]).dictionary_encode()
+    parts = pa.concat_arrays([own.dictionary, marks.dictionary, pa.array([""])])
+    found = [*part_ids(parts, path), end.tobytes()]
+    ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+    starts = np.cumsum(sizes) - sizes
+    # parts of each distinct chunk, and `end` as one more chunk
+    mark = marks.indices.to_numpy().reshape(2, -1) + len(own.dictionary)
+    three = np.concatenate([np.stack([mark[0], own.indices.to_numpy(), mark[1]], axis=1), [[len(parts) - 1, len(parts), len(parts) - 1]]])
+    ids, sizes = taken(ids, starts[three].reshape(-1), sizes[three].reshape(-1)), sizes[three].sum(axis=1)
+    starts = np.cumsum(sizes) - sizes
+    at = np.insert(at, np.cumsum(counts), len(words))
+    lengths = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], np.cumsum(counts + 1)])]
+    return taken(ids, starts[at], sizes[at]), np.diff(lengths)
+
+
+@lru_cache(1 << 14)
 def cuts(tokens: int, capacity: int) -> list[int]:
     """Sizes that a document of `tokens` ids is cut into: whole sequences, then the largest capacity // k that fits, again and again.
 
@@ -145,20 +160,20 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, with_ids: boo
     """doc_id, row, start, length, ids_crc32, doc_tokens (and ids): the pieces of every document, its ids followed by end_id."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     types = [pa.int64()] * 5 + [pa.binary()] * with_ids
-    end = int(end_id).to_bytes(4, "little")
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in doc_batches(batches):
-            rows = []
-            for i, tokens in zip(ids.tolist(), encode(texts, path)):
-                tokens += end
-                at = 0
-                for size in cuts(len(tokens) // 4, capacity):
-                    own = tokens[4 * at : 4 * (at + size)]
-                    rows.append((i, at, size, zlib.crc32(own), len(tokens) // 4, own)[: len(names)])
-                    at += size
-            columns = list(zip(*rows)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        for part, texts in text_pieces(batches):
+            tokens, sizes = encode(texts, path, end)
+            own = [cuts(n, capacity) for n in sizes.tolist()]
+            doc = np.repeat(np.arange(len(own)), np.fromiter(map(len, own), np.int64, len(own)))
+            length = np.array([n for x in own for n in x], np.int64)
+            ends = np.cumsum(length)
+            raw = memoryview(tokens.tobytes())
+            cut = [raw[4 * a : 4 * b] for a, b in zip((ends - length).tolist(), ends.tolist())]
+            columns = [part.column("doc_id").take(pa.array(doc)), ends - length - (np.cumsum(sizes) - sizes)[doc], length, [zlib.crc32(x) for x in cut], sizes[doc]]
+            columns += [[bytes(x) for x in cut]] * with_ids
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names)
 
     return documents(docs).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids)
 

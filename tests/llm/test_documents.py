@@ -12,6 +12,7 @@ from genescreen.llm import decontaminate, language, licenses, line_dedup, lm_sco
 from genescreen.llm.graph import components
 from genescreen.llm.queries import ORACLES, QUERIES
 from oracle import differences
+from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, fp long, key string, places string, first_doc string"
@@ -181,17 +182,16 @@ def test_toxicity_of_held_out_documents(spark):
 
 def test_tokens_and_sequences(spark):
     path = packing.default_tokenizer()
-    whole = packing.tokenizer(path)[0]
-    odd = ["It's Don't a.b 'S ''s x--y İstanbul ΣΑΣ.  nb sp é Å ﬁ 12ab a'veb <|endoftext|> \x0b\x0c \x85 -́- .́ ª º ŉ ĿA", "", " \n", "Ça ira, Ñandú! «ÉTÉ» …"]
-    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    for text in odd + docs:
-        assert np.frombuffer(packing.encode([text.encode()], path)[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    whole = Tokenizer.from_file(path)  # fresh, special tokens as the file has them
+    odd = ["It's Don't a.b 'S ''s x--y İstanbul ΣΑΣ.  nb sp é Å ﬁ 12ab a'veb \x0b\x0c \x85 -́- .́ ª º ŉ ĿA", "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|> (<|endoftext|>), <|end oftext|>\x1c\x1f a　c", "", " \n", "Ça ira, Ñandú! «ÉTÉ» …", None]
+    docs = odd + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = packing.pack(table(spark, docs), path, with_ids=True).toPandas()
     for k, own in got.sort_values("start").groupby("doc_id"):
-        ids = whole.encode(docs[k], add_special_tokens=False).ids + [2]
+        ids = whole.encode(docs[k] or "", add_special_tokens=False).ids + [2]
         assert np.frombuffer(b"".join(own.ids), "<u4").tolist() == ids and set(own.doc_tokens) == {len(ids)}
         assert own.start.tolist() == [0, *own.length.cumsum().tolist()[:-1]]
         assert all(zlib.crc32(x) == c for x, c in zip(own.ids, own.ids_crc32))
+    assert got.doc_id.nunique() == len(docs)
     sizes = []
     for _, own in got.sort_values("offset").groupby("sequence_id"):
         assert own.offset.tolist() == [0, *own.length.cumsum().tolist()[:-1]]
