@@ -91,8 +91,8 @@ def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.R
 
 def item_prints(benchmark: DataFrame, span: int, k: int) -> tuple[DataFrame, list[int]]:
     """Fingerprints of all items with their contexts, one row each with the items that have it; and the lengths under a span that items have."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    count = F.size(F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), ""))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    count = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), ""))
     short = sorted(r.n for r in items.select(count.alias("n")).where(F.col("n").between(1, span - 1)).distinct().collect())
 
     def make(batches):
@@ -129,7 +129,7 @@ def _common(a: bytes, b: bytes) -> int:
     return n
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 5) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 9) -> DataFrame:
     """doc_id, text_hash, n_words, n_hit, items: words of each document inside shared spans, and the sorted ids of the items with such a span.
 
     A span is `span` consecutive words that an item and the document share, or a whole item of fewer words. Both sides keep the
@@ -137,7 +137,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 5) -> D
     in it. Document fingerprints pass a bit map of fixed size over the benchmark's, meet the benchmark's in an equality join with
     their neighbouring words, and are extended word by word. A document sends a fingerprint with one context once, with all its places.
     Only Spark's own size threshold decides whether the benchmark side is broadcast. Null has no words. A document is a doc_id with
-    one text: repeated rows each get the same result, and null is a doc_id. Empty tables give no hits.
+    one text: repeated rows each get the same result, and null is a doc_id. An item of null item_id hits as any other and is not
+    listed; items that repeat an item_id are listed once. Empty tables give no hits.
     """
     docs = documents(docs)
     index, short = item_prints(benchmark, span, k)

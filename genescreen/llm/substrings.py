@@ -18,9 +18,9 @@ _KNOWN: dict[bytes, int] = {}
 MANY = 64
 #: Words of text that are compared with each other before they are sent.
 BATCH = 1_500_000
-_COLUMNS = "part int, sent boolean, code binary, check binary, doc binary, n binary, at binary"
-_NAMES = ["part", "sent", "code", "check", "doc", "n", "at"]
-_TYPES = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
+_COLUMNS = "part int, sent boolean, code binary, check binary, doc binary, alt binary, n binary, at binary"
+_NAMES = ["part", "sent", "code", "check", "doc", "alt", "n", "at"]
+_TYPES = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -38,27 +38,27 @@ def _unplaned(b: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
 
 
-def _packed(part: np.ndarray, code: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray, sent: bool) -> Iterator[list]:
+def _packed(part: np.ndarray, code: np.ndarray, check: np.ndarray, doc: np.ndarray, alt: np.ndarray, at: np.ndarray, sent: bool) -> Iterator[list]:
     """One row for each part: codes, and places as documents with counts and steps; rows come ordered by document and place."""
     if not len(part):
         return
     order = np.argsort(part, kind="stable")
-    part, code, check, doc, at = part[order], code[order], check[order], doc[order], at[order]
+    part, code, check, doc, alt, at = part[order], code[order], check[order], doc[order], alt[order], at[order]
     new_part = np.concatenate([[True], part[1:] != part[:-1]])
-    new_run = new_part | np.concatenate([[True], doc[1:] != doc[:-1]])
+    new_run = new_part | np.concatenate([[True], (doc[1:] != doc[:-1]) | (alt[1:] != alt[:-1])])
     step = at.copy()
     step[1:] = np.where(new_run[1:], at[1:], at[1:] - at[:-1])
     starts = np.flatnonzero(new_part)
     for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
         runs = np.flatnonzero(new_run[s:e])
         docs = doc[s:e][runs]
-        yield [int(part[s]), sent, code[s:e].tobytes(), check[s:e].tobytes(), _planes(np.diff(docs, prepend=np.int64(0))), _planes(np.diff(np.append(runs, e - s)).astype("<u4")), _planes(step[s:e].astype("<u4"))]
+        yield [int(part[s]), sent, code[s:e].tobytes(), check[s:e].tobytes(), _planes(np.diff(docs, prepend=np.int64(0))), _planes(alt[s:e][runs]), _planes(np.diff(np.append(runs, e - s)).astype("<u4")), _planes(step[s:e].astype("<u4"))]
 
 
 def _unpacked(group: dict, sent: bool, code: str, check: str) -> tuple[np.ndarray, ...]:
-    """code, check, doc and place of all entries of a part's rows."""
+    """code, check, doc, alt and place of all entries of a part's rows."""
     keep = group["sent"].to_numpy(zero_copy_only=False) == sent
-    out: list[list[np.ndarray]] = [[], [], [], []]
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
     for k in np.flatnonzero(keep).tolist():
         docs = np.cumsum(_unplaned(group["doc"][k].as_py(), "<i8"))
         n = _unplaned(group["n"][k].as_py(), "<u4").astype(np.int64)
@@ -69,9 +69,10 @@ def _unpacked(group: dict, sent: bool, code: str, check: str) -> tuple[np.ndarra
         out[0].append(np.frombuffer(group["code"][k].as_py(), code) if sent else np.empty(0, code))
         out[1].append(np.frombuffer(group["check"][k].as_py(), check) if sent else np.empty(0, check))
         out[2].append(np.repeat(docs, n))
-        out[3].append(sums - np.repeat(base, n))
+        out[3].append(np.repeat(_unplaned(group["alt"][k].as_py(), "<i8"), n))
+        out[4].append(sums - np.repeat(base, n))
     if not out[2]:
-        return np.empty(0, code), np.empty(0, check), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, code), np.empty(0, check), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in out)
 
 
@@ -79,28 +80,28 @@ def _batch(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_TYPES)], _NAMES)
 
 
-def _places(doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _places(doc: np.ndarray, alt: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(doc), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(doc[k : k + 100_000], pa.int64()), pa.array(at[k : k + 100_000].astype(np.int32), pa.int32())], ["doc_id", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[k : k + 100_000], pa.int64()), pa.array(alt[k : k + 100_000], pa.int64()), pa.array(at[k : k + 100_000].astype(np.int32), pa.int32())], ["doc_id", "alt", "at"])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes | None, np.ndarray | None]]]:
-    """Documents (doc_id, text, places) in ascending doc_id, about BATCH words at a time; those that copy an earlier one are left out."""
-    held: list[tuple] = []
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, bytes, np.ndarray | None]]]:
+    """Documents (doc_id, alt, text, places) in ascending order, each once, about BATCH words at a time; those that copy an earlier one are left out."""
+    held: dict[tuple[int, int], tuple] = {}
     size = 0
     for batch in batches:
         with_places = "places" in batch.schema.names
         places = batch.column("places") if with_places else [None] * batch.num_rows
-        for i, text, first, at in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("first_doc").to_pylist(), places):
-            if i is None or text is None or first is not None or (with_places and not at.is_valid):
+        for i, alt, text, first, at in zip(batch.column("doc_id").to_pylist(), batch.column("alt").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("first_doc").to_pylist(), places):
+            if i is None or text is None or first is not None or (with_places and not at.is_valid) or (i, alt) in held:
                 continue
-            held.append((i, text, np.array(at.values) if with_places else None))
+            held[i, alt] = (i, alt, text, np.array(at.values) if with_places else None)
             size += len(text) // 6
             if size >= BATCH:
-                yield sorted(held, key=lambda x: x[0])
-                held, size = [], 0
+                yield [held[k] for k in sorted(held)]
+                held, size = {}, 0
     if held:
-        yield sorted(held, key=lambda x: x[0])
+        yield [held[k] for k in sorted(held)]
 
 
 def _anchors(n_parts: int, block: int):
@@ -108,12 +109,12 @@ def _anchors(n_parts: int, block: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _gathered(batches):
-            grams = [gram_hashes(word_hashes(words, _KNOWN), block) if len(words := words_of(text)) >= block else np.empty(0, np.uint64) for _, text, _ in docs]
+            grams = [gram_hashes(word_hashes(words, _KNOWN), block) if len(words := words_of(text)) >= block else np.empty(0, np.uint64) for _, _, text, _ in docs]
             sizes = np.array([len(g) for g in grams])
             h = np.concatenate(grams)
             if not len(h):
                 continue
-            doc = np.repeat(np.array([i for i, _, _ in docs], np.int64), sizes)
+            doc, alt = (np.repeat(np.array([d[k] for d in docs], np.int64), sizes) for k in (0, 1))
             at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             order = np.argsort(h, kind="stable")
             new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
@@ -133,11 +134,11 @@ def _anchors(n_parts: int, block: int):
             sent[order[first]] = True
             part = ((h >> np.uint64(34)) % np.uint64(n_parts)).astype(np.uint32)
             none = np.zeros(len(h), np.uint8)
-            rows = [[p, s, c, b"", d, k, a] for p, s, c, _, d, k, a in _packed(part[sent], (h[sent] & np.uint64(0xFFFFFFFF)).astype("<u4"), none[sent], doc[sent], at[sent], True)]
+            rows = [[p, s, c, b"", *rest] for p, s, c, _, *rest in _packed(part[sent], (h[sent] & np.uint64(0xFFFFFFFF)).astype("<u4"), none[sent], doc[sent], alt[sent], at[sent], True)]
             if mine.any():
                 # places need no code; they travel to the part that their document falls to
                 part = ((doc[mine].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)) % np.uint64(n_parts)).astype(np.uint32)
-                rows += [[p, s, b"", b"", d, k, a] for p, s, _, _, d, k, a in _packed(part, none[mine], none[mine], doc[mine], at[mine], False)]
+                rows += [[p, s, b"", b"", *rest] for p, s, _, _, *rest in _packed(part, none[mine], none[mine], doc[mine], alt[mine], at[mine], False)]
             yield _batch(rows)
 
     return run
@@ -148,15 +149,14 @@ def _matched(block: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in complete_groups(batches, ["part"]):
-            _, _, doc, at = _unpacked(group, False, "u1", "u1")
-            yield from _places(doc, at)
-            code, _, doc, at = _unpacked(group, True, "<u4", "u1")
+            yield from _places(*_unpacked(group, False, "u1", "u1")[2:])
+            code, _, doc, alt, at = _unpacked(group, True, "<u4", "u1")
             if len(code):
                 order = np.argsort(code, kind="stable")
                 starts = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
                 n = np.diff(np.append(starts, len(code)))
                 found = np.repeat((n > 1) & np.maximum.reduceat(at[order] % block == 0, starts), n)
-                yield from _places(doc[order[found]], at[order[found]])
+                yield from _places(doc[order[found]], alt[order[found]], at[order[found]])
 
     return run
 
@@ -167,7 +167,7 @@ def _extended(n_parts: int, block: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _gathered(batches):
             found: list[tuple[np.ndarray, ...]] = []
-            for i, text, places in docs:
+            for i, other, text, places in docs:
                 hashes = word_hashes(words_of(text), _KNOWN)
                 last = len(hashes) - window
                 if last < 0:
@@ -177,10 +177,10 @@ def _extended(n_parts: int, block: int, window: int):
                 np.add.at(edges, np.minimum(places, last) + 1, -1)
                 at = np.flatnonzero(np.cumsum(edges)[:-1] > 0)
                 mixed = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-                found.append((gram_hashes(hashes, window)[at], gram_hashes(mixed, window)[at], np.full(len(at), i, np.int64), at))
+                found.append((gram_hashes(hashes, window)[at], gram_hashes(mixed, window)[at], np.full(len(at), i, np.int64), np.full(len(at), other, np.int64), at))
             if not found:
                 continue
-            h, check, doc, at = (np.concatenate(x) for x in zip(*found))
+            h, check, doc, alt, at = (np.concatenate(x) for x in zip(*found))
             if not len(h):
                 continue
             order = np.argsort(h, kind="stable")
@@ -188,17 +188,13 @@ def _extended(n_parts: int, block: int, window: int):
             f = order[:-1]
             later = np.zeros(len(h), bool)
             later[s] = (h[s] == h[f]) & (check[s] == check[f])
-            # a repeated row's places equal those of the row before it
-            same_place = np.zeros(len(h), bool)
-            same_place[s] = later[s] & (doc[s] == doc[f]) & (at[s] == at[f])
-            later &= ~same_place
-            rest = ~later & ~same_place
+            rest = ~later
             part = ((h >> np.uint64(34)) % np.uint64(n_parts)).astype(np.uint32)
-            rows = list(_packed(part[rest], h[rest], check[rest].astype("<u4"), doc[rest], at[rest], True))
+            rows = list(_packed(part[rest], h[rest], check[rest].astype("<u4"), doc[rest], alt[rest], at[rest], True))
             if later.any():
                 part = ((doc[later].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(34)) % np.uint64(n_parts)).astype(np.uint32)
                 none = np.zeros(int(later.sum()), np.uint8)
-                rows += [[p, sent, b"", b"", d, n, a] for p, sent, _, _, d, n, a in _packed(part, none, none, doc[later], at[later], False)]
+                rows += [[p, sent, b"", b"", *others] for p, sent, _, _, *others in _packed(part, none, none, doc[later], alt[later], at[later], False)]
             yield _batch(rows)
 
     return run
@@ -207,16 +203,15 @@ def _extended(n_parts: int, block: int, window: int):
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places of the windows that an earlier place has too."""
     for group in complete_groups(batches, ["part"]):
-        _, _, doc, at = _unpacked(group, False, "u1", "u1")
-        yield from _places(doc, at)
-        code, check, doc, at = _unpacked(group, True, "<u8", "<u4")
+        yield from _places(*_unpacked(group, False, "u1", "u1")[2:])
+        code, check, doc, alt, at = _unpacked(group, True, "<u8", "<u4")
         if len(code):
-            order = np.lexsort((at, doc, check, code))
-            code, check, doc, at = code[order], check[order], doc[order], at[order]
+            order = np.lexsort((at, alt, doc, check, code))
+            code, check, doc, alt, at = code[order], check[order], doc[order], alt[order], at[order]
             start = np.concatenate([[True], (code[1:] != code[:-1]) | (check[1:] != check[:-1])])
             first = np.maximum.accumulate(np.where(start, np.arange(len(code)), 0))
-            later = (doc != doc[first]) | (at != at[first])
-            yield from _places(doc[later], at[later])
+            later = (doc != doc[first]) | (alt != alt[first]) | (at != at[first])
+            yield from _places(doc[later], alt[later], at[later])
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -230,24 +225,33 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     third of all rows being copies, put no weight on one task; whole copies of an earlier text are settled beforehand by its digest.
     The texts are shuffled once, by doc_id, for all passes.
 
-    Null and empty texts have no words. Rows of one doc_id are taken as one document, each with its own text. An empty table gives an
-    empty one. Kept words are joined by one space.
+    Null and empty texts have no words. A document is a doc_id with one text: rows that repeat it each get the same result, and texts of
+    one doc_id that differ are documents of their own, ordered by a hash. Rows of null doc_id keep all their words and take none from
+    others. An empty table gives an empty one. Kept words are joined by one space. Windows are matched by 128 bits of hashes of their
+    words, not word by word.
     """
     spark, docs, block = docs.sparkSession, documents(docs), window // 2
     n_parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.where("doc_id is not null and text is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+    known = docs.where("doc_id is not null and text is not null")
+    hashes = known.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most"))
+    several = stored(hashes.where("least < most").select("doc_id", F.lit(True).alias("several")))
+    if several.isEmpty():
+        docs = docs.withColumn("alt", F.lit(0).cast("long"))
+    else:
+        docs = docs.join(several, "doc_id", "left").select("doc_id", "text", F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("alt"))
+    keyed = docs.where("doc_id is not null and text is not null").select("doc_id", "alt", F.unhex(F.sha2("text", 256)).alias("digest"))
     # written first, so that the join shuffles both sides as they are and Spark can split a digest that very many rows have
     firsts = stored(keyed.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").drop("last_doc"))
-    copies = keyed.join(firsts, "digest").where("first_doc < doc_id").groupBy("doc_id").agg(F.min("first_doc").alias("first_doc"))
-    based = docs.join(copies.hint("shuffle_hash"), "doc_id", "left")
+    copies = keyed.join(firsts, "digest").where("first_doc < doc_id").groupBy("doc_id", "alt").agg(F.min("first_doc").alias("first_doc"))
+    based = docs.join(copies.hint("shuffle_hash"), ["doc_id", "alt"], "left")
 
     def exchanged(df: DataFrame) -> DataFrame:
         return df.repartition("part").sortWithinPartitions("part")
 
-    hits = exchanged(based.mapInArrow(_anchors(n_parts, block), _COLUMNS)).mapInArrow(_matched(block), "doc_id long, at int")
-    hits = hits.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
-    windows = based.join(hits.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_extended(n_parts, block, window), _COLUMNS)
-    removed = exchanged(windows).mapInArrow(_repeated, "doc_id long, at int").groupBy("doc_id").agg(F.collect_list("at").alias("places"))
+    hits = exchanged(based.mapInArrow(_anchors(n_parts, block), _COLUMNS)).mapInArrow(_matched(block), "doc_id long, alt long, at int")
+    hits = hits.groupBy("doc_id", "alt").agg(F.collect_list("at").alias("places"))
+    windows = based.join(hits.hint("shuffle_hash"), ["doc_id", "alt"], "left").mapInArrow(_extended(n_parts, block, window), _COLUMNS)
+    removed = exchanged(windows).mapInArrow(_repeated, "doc_id long, alt long, at int").groupBy("doc_id", "alt").agg(F.collect_list("at").alias("places"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +271,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             columns = list(zip(*rows)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return based.join(removed.hint("shuffle_hash"), "doc_id", "left").mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string")
+    return based.join(removed.hint("shuffle_hash"), ["doc_id", "alt"], "left").mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,17 @@ def test_repeated_rows(spark):
     assert simhash.near_duplicates(twice).count() == 4
 
 
+def test_texts_of_one_id_that_differ(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    again = " ".join([a, "between", a])
+    rows = [(1, a), (2, a), (2, b), (3, again), (3, again), (None, a), (4, "x " + b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect())
+    assert got == [(0, 30, 0), (1, 30, 0), (2, 30, 0), (2, 30, 30), (3, 61, 60), (3, 61, 60), (4, 31, 30)]
+    alone = spark.createDataFrame([(3, again), (3, again)], "doc_id long, text string").coalesce(1)
+    assert [(r.n_words, r.n_removed) for r in substrings.remove_repeats(alone).collect()] == [(61, 30)] * 2
+
+
 def test_simhash_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     words = [f"w{k}" for k in range(400)]
@@ -110,13 +121,22 @@ def test_components(spark):
     assert got == {5: 1, 4: 1, 3: 1, 1: 1, 9: 8, 8: 8} | {k: 100 for k in range(100, 140)}
 
 
-def test_winnowing_finds_every_span():
+@pytest.mark.parametrize("k", [5, 9])
+def test_winnowing_finds_every_span(k):
     rng = np.random.default_rng(0)
     for _ in range(200):
-        span = [b"s%d" % k for k in range(13)]
-        text = [b"a%d" % k for k in rng.integers(0, 9, 20)] + span + [b"b%d" % k for k in rng.integers(0, 9, 20)]
-        mine = set(decontaminate.prints(span, 13, 5, [])[0].tolist())
-        assert mine & set(decontaminate.prints(text, 13, 5, [])[0].tolist())
+        span = [b"s%d" % n for n in range(13)]
+        text = [b"a%d" % n for n in rng.integers(0, 9, 20)] + span + [b"b%d" % n for n in rng.integers(0, 9, 20)]
+        mine = set(decontaminate.prints(span, 13, k, [])[0].tolist())
+        assert mine & set(decontaminate.prints(text, 13, k, [])[0].tolist())
+
+
+def test_items_of_null_and_repeated_ids(spark):
+    long, short = " ".join(f"w{k}" for k in range(15)), "four words Ärger stand"
+    items = spark.createDataFrame([(None, long, 1), (7, short, 2), (7, short, 3), (8, None, 4), (9, "", 5)], "item_id long, text string, doc_id long")
+    docs = table(spark, [f"x {long.upper()} y", "some FOUR words Ärger stand here", "four words ärger stand", None])
+    got = [(r.n_hit, r.items) for r in decontaminate.hits(docs, items).orderBy("doc_id").collect()]
+    assert got == [(15, []), (4, ["7"]), (0, []), (0, [])]
 
 
 def test_line_runs_are_compacted(spark):
