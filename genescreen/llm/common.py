@@ -98,6 +98,17 @@ def taken(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of all numbers by significance, so that a general codec shrinks small numbers."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if len(x) else b""
+
+
+def unplaned(b: bytes, dtype: str) -> np.ndarray:
+    """The numbers that planes() wrote."""
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
+
+
 def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dict | None], schema: str, extra: Callable | None = None) -> DataFrame:
     """Apply `make` to pieces of (doc_id, text) and return its columns (a dict of arrays or lists) as rows."""
     from pyspark.sql.types import StructType

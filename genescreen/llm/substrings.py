@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import complete_groups, documents, read, stored
+from genescreen.llm.common import complete_groups, documents, planes, read, stored, unplaned
 from genescreen.llm.decontaminate import gram_hashes, word_hashes
 
 #: Word hashes that a worker has met.
@@ -28,16 +28,6 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of all numbers by significance, so that a general codec shrinks small numbers."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if len(x) else b""
-
-
-def _unplaned(b: bytes, dtype: str) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
-
-
 def _packed(part: np.ndarray, code: np.ndarray, check: np.ndarray, doc: np.ndarray, alt: np.ndarray, at: np.ndarray, sent: bool) -> Iterator[list]:
     """One row for each part: codes, and places as documents with counts and steps; rows come ordered by document and place."""
     if not len(part):
@@ -52,7 +42,7 @@ def _packed(part: np.ndarray, code: np.ndarray, check: np.ndarray, doc: np.ndarr
     for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
         runs = np.flatnonzero(new_run[s:e])
         docs = doc[s:e][runs]
-        yield [int(part[s]), sent, code[s:e].tobytes(), check[s:e].tobytes(), _planes(np.diff(docs, prepend=np.int64(0))), _planes(alt[s:e][runs]), _planes(np.diff(np.append(runs, e - s)).astype("<u4")), _planes(step[s:e].astype("<u4"))]
+        yield [int(part[s]), sent, code[s:e].tobytes(), check[s:e].tobytes(), planes(np.diff(docs, prepend=np.int64(0))), planes(alt[s:e][runs]), planes(np.diff(np.append(runs, e - s)).astype("<u4")), planes(step[s:e].astype("<u4"))]
 
 
 def _unpacked(group: dict, sent: bool, code: str, check: str) -> tuple[np.ndarray, ...]:
@@ -60,16 +50,16 @@ def _unpacked(group: dict, sent: bool, code: str, check: str) -> tuple[np.ndarra
     keep = group["sent"].to_numpy(zero_copy_only=False) == sent
     out: list[list[np.ndarray]] = [[], [], [], [], []]
     for k in np.flatnonzero(keep).tolist():
-        docs = np.cumsum(_unplaned(group["doc"][k].as_py(), "<i8"))
-        n = _unplaned(group["n"][k].as_py(), "<u4").astype(np.int64)
-        steps = _unplaned(group["at"][k].as_py(), "<u4").astype(np.int64)
+        docs = np.cumsum(unplaned(group["doc"][k].as_py(), "<i8"))
+        n = unplaned(group["n"][k].as_py(), "<u4").astype(np.int64)
+        steps = unplaned(group["at"][k].as_py(), "<u4").astype(np.int64)
         sums = np.cumsum(steps)
         first = np.cumsum(n) - n
         base = sums[first] - steps[first]
         out[0].append(np.frombuffer(group["code"][k].as_py(), code) if sent else np.empty(0, code))
         out[1].append(np.frombuffer(group["check"][k].as_py(), check) if sent else np.empty(0, check))
         out[2].append(np.repeat(docs, n))
-        out[3].append(np.repeat(_unplaned(group["alt"][k].as_py(), "<i8"), n))
+        out[3].append(np.repeat(unplaned(group["alt"][k].as_py(), "<i8"), n))
         out[4].append(sums - np.repeat(base, n))
     if not out[2]:
         return np.empty(0, code), np.empty(0, check), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)

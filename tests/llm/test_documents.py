@@ -51,7 +51,7 @@ def test_no_operator_trips_over_odd_rows(spark, texts):
     assert toxicity.score(docs, toxicity.fit(docs, marks)).count() == n
     assert licenses.scan(docs).count() == n
     assert packing.pack(docs, packing.default_tokenizer()).select("doc_id").distinct().count() == n
-    assert lm_score.score(docs, lm_score.fit(docs, marks.where("quality = 1"))).count() == n
+    assert lm_score.score(docs, marks.where("quality = 1")).count() == n
 
 
 def test_repeated_rows(spark):
@@ -270,29 +270,36 @@ def test_repeats_equal_brute_force(spark):
     substrings.BATCH, substrings.MANY = 1_500_000, 64
 
 
-def test_lm_losses_equal_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
-    size = 60
-    got = by_id(lm_score.score(docs, lm_score.fit(docs, good, size)))
-    words = {r.doc_id: decontaminate.words_of((r.text or "").encode()) for r in docs.collect()}
-    target = {r.doc_id for r in good.collect()}
-    top = sorted(Counter(w for x in words.values() for w in x).items(), key=lambda x: (-x[1], x[0]))[:size]
-    ids = {w: k for k, (w, _) in enumerate(top, 2)}
-    pairs = {i: list(zip([0, *(ids.get(w, 1) for w in x)], [ids.get(w, 1) for w in x])) for i, x in words.items()}
-    t, b = Counter(p for i, x in pairs.items() if i in target for p in x), Counter(p for x in pairs.values() for p in x)
-    tokens, n = sum(t.values()), size + 2
-
-    def loss(counts, p):
-        f = tokens / sum(counts.values())
-        word = (f * sum(c for (_, y), c in counts.items() if y == p[1]) + 1) / (tokens + n)
-        return -math.log((f * counts[p] + lm_score.MIX * word) / (f * sum(c for (x, _), c in counts.items() if x == p[0]) + lm_score.MIX))
-
-    for i in sorted(words)[:5]:
-        k = max(1, len(pairs[i]))
-        cache = {p: (loss(t, p), loss(b, p)) for p in set(pairs[i])}
-        assert math.isclose(got[i].target_loss, sum(cache[p][0] for p in pairs[i]) / k, rel_tol=1e-5)
-        assert math.isclose(got[i].background_loss, sum(cache[p][1] for p in pairs[i]) / k, rel_tol=1e-5)
+@pytest.mark.parametrize("batch", [1 << 23, 5000])
+def test_lm_query_equals_brute_force(spark, batch):
+    docs = [(r.doc_id, decontaminate.words_of((r.text or "").encode())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    target = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    pairs = {i: Counter(zip([None, *w], w)) for i, w in docs}
+    words = {i: Counter(w) for i, w in docs}
+    lm_score.BATCH, before = batch, lm_score.BATCH
+    got = by_id(QUERIES["op1_lm_scoring"](spark, SF))
+    lm_score.BATCH = before
+    assert len(got) == len(docs)
+    vocabulary = len(set().union(*words.values()))
+    sides = {}
+    for side, of in (("target", target), ("background", words)):
+        sides[side] = [sum((x[i] for i in of), Counter()) for x in (pairs, words)], of
+    n_target, n_all = (sum(sides[x][0][1].values()) for x in ("target", "background"))
+    for i, w in docs:
+        losses = {}
+        for side, ((two, one), of) in sides.items():
+            f, own = (1.0 if side == "target" else n_target / n_all), i in of
+            starts, tokens = sum(bool(words[k]) for k in of), n_target if side == "target" else n_all
+            total = 0.0
+            for a, b in zip([None, *w], w):
+                n = tokens - own * len(w)
+                alone = (f * (one[b] - own * words[i][b]) + lm_score.ADD) / (f * n + lm_score.ADD * vocabulary)
+                before = starts - own if a is None else one[a] - own * words[i][a]
+                total -= math.log((f * (two[a, b] - own * pairs[i][a, b]) + lm_score.MIX * alone) / (f * before + lm_score.MIX))
+            losses[side] = total / max(1, len(w))
+        assert got[i].n_tokens == len(w)
+        assert math.isclose(got[i].target_loss, losses["target"], rel_tol=1e-9, abs_tol=1e-9) and math.isclose(got[i].background_loss, losses["background"], rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(got[i].score, losses["target"] - losses["background"], abs_tol=1e-8)
 
 
 def test_licences(spark):

@@ -18,7 +18,7 @@ def test_rows_of_null_id_stay(spark):
     assert {r.component_id for r in near if r.fp == next(x.fp for x in near if x.doc_id == 0)} == {0}
     found = toxicity.score(docs, toxicity.fit(docs, marks)).collect()
     assert len(found) == n and sum(r.doc_id is None and r.score is not None for r in found) == 3
-    scored = lm_score.score(docs, lm_score.fit(docs, marks.where("quality = 1"))).collect()
+    scored = lm_score.score(docs, marks.where("quality = 1")).collect()
     assert len(scored) == n and sorted(r.n_tokens for r in scored if r.doc_id is None) == [0, 19, 36]
     assert language.identify(docs, language.fit_on(docs)).where(nulls).count() == 3
     hits = decontaminate.hits(docs, items).where(nulls).collect()
