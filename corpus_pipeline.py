@@ -11,8 +11,8 @@ from genescreen.llm.common import read, stored
 from genescreen.llm.decontaminate import contaminated, hits
 from genescreen.llm.language import fit_on, identify
 from genescreen.llm.line_dedup import dedup_lines
-from genescreen.llm.minhash import near_copies
 from genescreen.llm.packing import default_tokenizer, pack
+from genescreen.llm.simhash import near_copies
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

@@ -109,8 +109,8 @@ def item_prints(benchmark: DataFrame, span: int, k: int) -> tuple[DataFrame, lis
     return stored(rows.groupBy("fp", "n", "left", "own", "right").agg(F.collect_set("item_id").alias("items"))), short
 
 
-def fingerprint_filter(index: DataFrame) -> np.ndarray:
-    """Bit map over the index's fingerprints: FILTER_BITS bits, so its size doesn't grow with the index."""
+def id_filter(index: DataFrame) -> np.ndarray:
+    """Bit map over the column fp (long): FILTER_BITS bits, so its size doesn't grow with the table."""
     place = (F.pmod(F.col("fp"), F.lit(FILTER_BITS)) + 1).alias("p")
     pieces = index.select(place).groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
     out = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
@@ -119,6 +119,12 @@ def fingerprint_filter(index: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def in_filter(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values (64-bit integers) the bit map may hold."""
+    p = values & (FILTER_BITS - 1)
+    return (table[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+
+
 def _common(a: bytes, b: bytes) -> int:
     """Words that two blank-joined lists begin with in common."""
     n = 0
@@ -142,7 +148,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 9) -> D
     """
     docs = documents(docs)
     index, short = item_prints(benchmark, span, k)
-    bits = docs.sparkSession.sparkContext.broadcast(fingerprint_filter(index))
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(index))
 
     def make(ids, texts):
         table = bits.value
@@ -155,8 +161,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 9) -> D
                 continue
             found: dict[tuple, list[int]] = {}
             all_prints = prints(words, span, k, short)
-            p = all_prints[0] & (FILTER_BITS - 1)
-            passed = (table[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+            passed = in_filter(table, all_prints[0])
             for f, at, n in all_prints[:, passed].T.tolist():
                 found.setdefault((f, n, *context(words, at, n, span, k)), []).append(at)
             rows.extend((i, h, None, *key, places) for key, places in found.items())

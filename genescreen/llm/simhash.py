@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,11 +11,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import LOWER, documents, map_docs, read, stored
+from genescreen.llm.common import LOWER, complete_groups, doc_batches, documents, map_docs, read, stored
+from genescreen.llm.decontaminate import gram_hashes, id_filter, in_filter, word_hashes
 from genescreen.llm.graph import components
 
-#: Buckets of more members than this are compared in blocks by several tasks.
+#: Groups of more members than this are compared in blocks by several tasks.
 BLOCK = 8192
+#: Buckets of up to so many members give all their links, larger ones a spanning forest.
+SMALL = 32
+#: Texts of a cluster whose shingles one task compares, and texts that every task of a larger cluster gets.
+SHARD, HUBS = 1024, 8
+#: Chance with which two texts at the least similarity meet.
+RECALL = 0.98
+#: Word hashes that a worker has met.
+_KNOWN: dict[bytes, int] = {}
 
 
 def fingerprint(text: bytes | None, width: int) -> int:
@@ -50,103 +60,108 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
-    """(lowest bit, size) of so few segments that max_bits differing bits leave one with at most one of them."""
+    """(lowest bit, size) of so few segments of 64 bits that max_bits differing bits leave one with at most one of them."""
     n = max_bits // 2 + 1
     edges = [64 * k // n for k in range(n + 1)]
     return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
 
 
-def variants(fps: DataFrame, max_bits: int) -> DataFrame:
-    """One row (key, fp) for each segment and wildcard place: the segment without that bit, with segment and place in the key's low bits."""
-    keys = []
-    for lo, size in segments(max_bits):
-        for place in range(size):
-            mask = ((1 << size) - 1) ^ (1 << place)
-            shift = F.shiftrightunsigned("fp", lo) if lo else F.col("fp")
-            keys.append(shift.bitwiseAND(F.lit(mask)) * 64 + (lo + place))
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
-
-
 def _spanning(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that join the same groups as all pairs within max_bits of left (or of left with right): each member is reached once.
+    """Links, as places in left and then right, that join the same groups as all pairs within max_bits of left (or of left with right).
 
     Breadth first; a member that has been reached is compared no more, so a dense group takes a pass or two over its members.
     """
-    waiting = left if right is None else np.concatenate([left, right])
-    side = None if right is None else np.concatenate([np.zeros(len(left), bool), np.ones(len(right), bool)])
+    rows = left if right is None else np.concatenate([left, right])
+    side = np.arange(len(rows)) >= len(left)
+    waiting = np.arange(len(rows))
     while len(waiting) > 1:
-        front, front_side = [waiting[0]], [None if side is None else side[0]]
-        waiting, side = waiting[1:], None if side is None else side[1:]
+        front, waiting = [waiting[0]], waiting[1:]
         while front and len(waiting):
-            x, xs = front.pop(), front_side.pop()
-            near = np.bitwise_count(waiting ^ x) <= max_bits
-            if side is not None:
-                near &= side != xs
+            x = front.pop()
+            near = np.bitwise_count(rows[waiting] ^ rows[x]).sum(axis=1) <= max_bits
+            if right is not None:
+                near &= side[waiting] != side[x]
             if near.any():
                 found = waiting[near]
                 yield np.full(len(found), x), found
                 front.extend(found)
-                front_side.extend([None] * len(found) if side is None else side[near])
-                waiting, side = waiting[~near], None if side is None else side[~near]
+                waiting = waiting[~near]
+
 
+def _meeting(fp: np.ndarray, wild: np.ndarray, size: int, second: np.ndarray | None, max_bits: int) -> np.ndarray:
+    """Places (a, b) of links among rows of segments `fp` that agree in `wild` but for one wildcard bit of `size`; second: only across both sides."""
+    found: list[np.ndarray] = [np.empty((2, 0), np.int64)]
+    for place in range(size):
+        variant = wild & ~np.uint32(1 << place)
+        order = np.argsort(variant, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], variant[order][1:] != variant[order][:-1]]))
+        n = np.diff(np.append(starts, len(order)))
+        small, ends = np.repeat(n <= SMALL, n), np.repeat(starts + n, n)
+        for step in range(1, int(n[n <= SMALL].max(initial=1))):
+            first = np.flatnonzero(small & (np.arange(len(order)) + step < ends))
+            a, b = order[first], order[first + step]
+            if second is not None:
+                a, b = a[second[a] != second[b]], b[second[a] != second[b]]
+            near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= max_bits
+            found.append(np.stack([a[near], b[near]]))
+        for s, e in zip(starts[n > SMALL].tolist(), (starts + n)[n > SMALL].tolist()):
+            own = order[s:e] if second is None else np.concatenate([order[s:e][~second[order[s:e]]], order[s:e][second[order[s:e]]]])
+            cut = None if second is None else int((~second[own]).sum())
+            for a, b in _spanning(fp[own[:cut]], None if cut is None else fp[own[cut:]], max_bits):
+                found.append(np.stack([own[a], own[b]]))
+    pairs = np.sort(np.concatenate(found, axis=1), axis=0)
+    return np.unique(pairs[0] * len(fp) + pairs[1])
 
-def links(fps: DataFrame, max_bits: int) -> DataFrame:
-    """Links (a, b) that connect the same fingerprints as all pairs of `fps` (distinct) within max_bits do.
 
-    Fingerprints meet where they share a variant. A bucket's task returns a spanning forest of its members' links, at most one link
-    a member. Members of a bucket with over BLOCK of them are dealt to blocks by hash, and each pair of blocks is a bucket of its own,
-    so a task never holds more than about two blocks of one bucket.
+def links(fps: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
+    """Links (a, b) that connect the same nodes as all pairs within max_bits, of which some segment differs in one bit at most, do.
+
+    fps: node (long, distinct) and fp, a fingerprint's segments of `sizes` bits as unsigned 32-bit numbers. Of two segments that differ in
+    one bit at most one half is the same in both, so a fingerprint is sent once for each half of each segment, keyed by that half; there
+    the other half's one-wildcard variants are indexed, joined by equality, and what meets is verified on all bits. Groups of over
+    BLOCK members are dealt to blocks by hash, each pair of blocks to one task, so no task holds more than about two blocks of a group.
     """
-    met = stored(variants(fps, max_bits))
-    large = met.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("n"))
-    met = met.join(large, "key", "left")
-    block = F.pmod(F.xxhash64("fp"), F.coalesce("n", F.lit(1))).cast("int")
-    met = met.withColumn("block", block).withColumn(
-        "pair",
-        F.explode(F.when(F.col("n").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j"))))),
-    )
-    met = met.select("key", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "fp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def done(columns: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            key, i, j, own, fp = columns
-            fp = fp.view(np.uint64)
-            cut = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
-            for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-                if i[s] == j[s]:
-                    yield from _spanning(fp[s:e], None, max_bits)
-                else:
-                    yield from _spanning(fp[s:e][own[s:e] == i[s]], fp[s:e][own[s:e] == j[s]], max_bits)
-
-        def out(found) -> Iterator[pa.RecordBatch]:
-            found = list(found)
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+    halves = [(s, low, size // 2 if low else size - size // 2, 0 if low else size // 2) for s, size in enumerate(sizes) for low in (1, 0)]  # segment, its low half?, bits, shift
+
+    def half(fp: np.ndarray, k: int) -> np.ndarray:
+        s, _, bits, shift = halves[k]
+        return (fp[:, s] >> np.uint32(shift)) & np.uint32((1 << bits) - 1)
+
+    def segments_of(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), len(sizes))
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "fp")]
-            held.append(columns)
-            key, i, j = columns[:3]
-            changed = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
-            if len(changed):  # all but the last bucket is complete
-                at = changed[-1] + 1
-                whole = [np.concatenate(x) for x in zip(*held[:-1], [c[:at] for c in columns])]
-                held = [[c[at:] for c in columns]]
-                yield from out(done(whole))
-            elif held[0][0][0] != key[0] or held[0][1][0] != i[0] or held[0][2][0] != j[0]:
-                whole = [np.concatenate(x) for x in zip(*held[:-1])]
-                held = [columns]
-                yield from out(done(whole))
-        if held:
-            yield from out(done([np.concatenate(x) for x in zip(*held)]))
-
-    return met.mapInArrow(forest, "a long, b long")
+            fp = segments_of(batch.column("fp"))
+            keys, n = np.unique(np.concatenate([half(fp, k).astype(np.int64) | (k << 32) for k in range(len(halves))]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = segments_of(batch.column("fp"))
+            for k in range(len(halves)):
+                yield pa.RecordBatch.from_arrays([pa.array(half(fp, k).astype(np.int64) | (k << 32)), batch.column("node"), batch.column("fp")], ["key", "node", "fp"])
+
+    large = stored(fps.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("n")))
+    met = fps.select("node", "fp").mapInArrow(sent, "key long, node long, fp binary").join(large, "key", "left")
+    met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.coalesce("n", F.lit(1))).cast("int"))
+    # a member of block b meets those of every block k in the task of the two
+    pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    met = met.withColumn("pair", F.explode(F.when(F.col("n").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)))
+    met = met.select("key", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "node", "fp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in complete_groups(batches, ["key", "i", "j"]):
+            if len(group["node"]) > 1:
+                fp, k = segments_of(group["fp"]), group["key"][0].as_py() >> 32
+                i, j = group["i"][0].as_py(), group["j"][0].as_py()
+                second = None if i == j else group["block"].to_numpy() == j
+                pairs = _meeting(fp, half(fp, k ^ 1), halves[k ^ 1][2], second, max_bits)
+                if len(pairs):
+                    node = group["node"].to_numpy()
+                    yield pa.RecordBatch.from_arrays([pa.array(node[pairs // len(fp)]), pa.array(node[pairs % len(fp)])], ["a", "b"])
+
+    return met.mapInArrow(near, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
@@ -159,12 +174,160 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     """
     held = stored(fingerprints(docs, width))
     nodes = held.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
-    roots = stored(components(links(nodes.select("fp"), max_bits)))
+    cut = segments(max_bits)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = batch.column("fp").to_numpy().view(np.uint64)
+            rows = np.stack([(fp >> np.uint64(lo)) & np.uint64((1 << size) - 1) for lo, size in cut], axis=1).astype("<u4")
+            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array([r.tobytes() for r in rows], pa.binary())], ["node", "fp"])
+
+    whole = stored(nodes.select("fp").mapInArrow(split, "node long, fp binary"))
+    roots = stored(components(links(whole, [size for _, size in cut], max_bits)))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     return held.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def parameters(n: int, least: float) -> tuple[int, int, int]:
+    """Number and bits of segments, and differing bits over all of them, for n texts at a similarity of `least` or more.
+
+    A bit of two such texts' fingerprints differs with a probability of at most angle / pi, the angle's cosine being 2 least / (1 +
+    least). Segments have so many bits that a text meets a bounded number of others by chance, and there are so many that two such
+    texts share a variant with a chance of RECALL.
+    """
+    p, bits = math.acos(2 * least / (1 + least)) / math.pi, min(32, max(16, math.ceil(math.log2(max(2, n))) - 2))
+    same = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
+    n_segments = math.ceil(math.log(1 - RECALL) / math.log(1 - same))
+    total = bits * n_segments
+    return n_segments, bits, math.floor(total * p + 4 * math.sqrt(total * p * (1 - p)))
+
+
+def shingles(text: bytes | None, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of `width` words; fewer words are one shingle, no words none."""
+    words = (text or b"").translate(LOWER).split()
+    return np.unique(gram_hashes(word_hashes(words, _KNOWN), min(width, len(words)))) if words else np.zeros(0, np.uint64)
+
+
+def set_fingerprint(grams: np.ndarray, n_segments: int, bits: int) -> bytes:
+    """SimHash over distinct shingles, as segments of `bits` bits in unsigned 32-bit numbers."""
+    votes = []
+    for k in range(-(-n_segments * bits // 64)):
+        mixed = (grams ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(29)
+        votes.append(sum(np.unpackbits(mixed[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64) for at in range(0, len(grams), 65_536)))
+    own = (2 * np.concatenate(votes) > len(grams))[: n_segments * bits].reshape(n_segments, bits)
+    return (own * (np.uint32(1) << np.arange(bits, dtype=np.uint32))).sum(axis=1).astype("<u4").tobytes()
+
+
+def _similar(nodes: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], label: np.ndarray, apart: np.ndarray | None, max_bits: int, least: float) -> list[tuple[int, int]]:
+    """Links that join what pairs of exact similarity `least` or more join; pairs of one label are joined already. apart: only across both sides."""
+    sizes, label, out = np.array([len(x) for x in sets]), np.unique(label, return_inverse=True)[1], []
+    own = [None] * len(sets)
+    for x in range(len(sets)):
+        rest = np.arange(x + 1, len(sets))
+        rest = rest[(label[rest] != label[x]) & (np.minimum(sizes[rest], sizes[x]) >= least * np.maximum(sizes[rest], sizes[x]))]
+        if apart is not None:
+            rest = rest[apart[rest] != apart[x]]
+        bits = np.bitwise_count(fp[rest] ^ fp[x]).sum(axis=1)
+        for y in rest[bits <= max_bits][np.argsort(bits[bits <= max_bits], kind="stable")].tolist():
+            if label[x] == label[y]:
+                continue
+            for k in (x, y):
+                if own[k] is None:
+                    own[k] = frozenset(sets[k].tolist())
+            both = len(own[x] & own[y])
+            if both >= least * (sizes[x] + sizes[y] - both):
+                out.append((int(nodes[x]), int(nodes[y])))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
+    """doc_id and component_id: the smallest doc_id reachable over pairs of texts whose sets of `width`-word shingles have a Jaccard similarity of `least` or more.
+
+    Texts of equal sets are one node, however many they are; texts without words (null, empty, blank) have the empty set and are
+    equal to each other alone. SimHash fingerprints of the sets, as long as parameters() says, meet by one-wildcard variants of
+    their segments (see links()), which gathers nodes into clusters. Within a cluster exact similarity decides. Its nodes are
+    dealt to shards; each shard's task links its nodes with each other and with a few hubs that all shards get, and a second round
+    compares what that has left apart with all the cluster, in blocks. Pairs that links already join are not compared, so a dense group
+    costs little more than its members; texts of one cluster that are alike but under `least` are compared pair by pair.
+
+    A repeated doc_id is one node of its text each time; rows of null doc_id are in no component and not in the result. An empty table
+    gives an empty one.
+    """
+    docs = documents(docs).where("doc_id is not null")
+    n_segments, bits, max_bits = parameters(docs.count(), least)
+
+    def node_of(grams: np.ndarray) -> int:
+        return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), 7)).view(np.int64))
+
+    def make(ids, texts):
+        sets = [shingles(t, width) for t in texts]
+        return {"doc_id": ids, "node": [node_of(s) for s in sets], "fp": [set_fingerprint(s, n_segments, bits) if len(s) else None for s in sets]}
+
+    held = stored(map_docs(docs, make, "doc_id long, node long, fp binary"))
+    nodes = stored(held.groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("fp").alias("fp")))
+    clusters = components(links(nodes.where("fp is not null").select("node", "fp"), [bits] * n_segments, max_bits)).withColumnRenamed("root", "cluster")
+    sized = clusters.join(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n_shards")), "cluster")
+    members = stored(sized.join(nodes, "node"))
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(members.select(F.xxhash64("first_doc").alias("fp"))))
+
+    # the shingles of one document a member are made anew; a bit map of fixed size spares the other texts
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.filter(pa.array(in_filter(wanted.value, batch.column("h").to_numpy())))
+            for ids, texts in doc_batches(iter([some] if some.num_rows else [])):
+                grams = [shingles(t, width) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([node_of(s) for s in grams], pa.int64()), pa.array([s.view(np.int64) for s in grams], pa.list_(pa.int64()))], ["first_doc", "node", "grams"])
+
+    made = docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(again, "first_doc long, node long, grams array<long>")
+    sets = stored(members.join(made, ["first_doc", "node"]).dropDuplicates(["node"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("n_shards"))))
+
+    def compare(keys: list[str], across: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in complete_groups(batches, keys):
+                node = group["node"].to_numpy()
+                fp = np.frombuffer(b"".join(group["fp"].to_pylist()), "<u4").reshape(len(node), n_segments)
+                grams = [np.asarray(x.values) for x in group["grams"]]
+                side = group["side"].to_numpy(zero_copy_only=False) if across else None
+                found = _similar(node, fp, grams, group["label"].to_numpy(), side, max_bits, least)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+        return run
+
+    columns = ["cluster", "node", "fp", "grams"]
+    hubs = sets.where("n_shards > 1").groupBy("cluster", "n_shards").agg(*[F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"hub_{k}") for k in range(HUBS)])
+    hubs = hubs.select("n_shards", F.explode(F.array_distinct(F.array(*[f"hub_{k}" for k in range(HUBS)]))).alias("node"))
+    dealt = sets.select(*columns, "shard").unionByName(sets.join(hubs.select("node", F.col("n_shards").alias("n")), "node").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1).cast("array<long>"))).select(*columns, "shard")).dropDuplicates(["node", "shard"])
+    dealt = dealt.withColumn("label", F.col("node")).repartition("cluster", "shard").sortWithinPartitions("cluster", "shard")
+    found = stored(dealt.mapInArrow(compare(["cluster", "shard"], False), "a long, b long"))
+
+    # clusters of several shards: what isn't of the cluster's largest component meets all the rest of it
+    labels = sets.where("n_shards > 1").select("cluster", "node").join(stored(components(found)), "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("label"))
+    parts = stored(labels).groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("cluster").agg(F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("rest"), F.max("n").alias("most")).where("rest > 0")
+    shaped = labels.join(main, "cluster").withColumn("side", F.col("label") == F.col("main"))
+    n_rest, n_main = F.ceil(F.col("rest") / SHARD).cast("int"), F.ceil(F.col("most") / SHARD).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("side"), n_main).otherwise(n_rest)).cast("int")
+    # blocks of the rest are i, all blocks j: those of the rest first, then those of the main component
+    task = lambda i, j, second: F.struct(i.alias("i"), j.alias("j"), second.alias("second"))
+    with_rest = F.transform(F.sequence(F.lit(0), n_rest - 1), lambda k: task(F.least(k, own), F.greatest(k, own), k < own))
+    with_main = F.transform(F.sequence(F.lit(0), n_main - 1), lambda k: task(own, n_rest + k, F.lit(False)))
+    from_main = F.transform(F.sequence(F.lit(0), n_rest - 1), lambda k: task(k, n_rest + own, F.lit(True)))
+    shaped = shaped.withColumn("task", F.explode(F.when(F.col("side"), from_main).otherwise(F.concat(with_rest, with_main)))).select("node", "label", "task.*")
+    shaped = sets.select(*columns).join(shaped, "node").withColumnRenamed("second", "side").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    same, other = shaped.where("i = j"), shaped.where("i <> j")
+    again_found = same.mapInArrow(compare(["cluster", "i", "j"], False), "a long, b long").unionByName(other.mapInArrow(compare(["cluster", "i", "j"], True), "a long, b long"))
+
+    roots = stored(components(found.unionByName(again_found)))
+    named = nodes.join(roots, "node", "left").select("node", "first_doc", F.coalesce("root", "node").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    return held.select("doc_id", "node").join(named.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -31,7 +31,7 @@ def kept_by_brute_force(texts):
 
 def test_stage_equals_brute_force_pairs(spark):
     import corpus_pipeline
-    from genescreen.llm import minhash
+    from genescreen.llm import simhash
 
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(900)]
@@ -52,22 +52,23 @@ def test_stage_equals_brute_force_pairs(spark):
     n_pairs, want = kept_by_brute_force(texts)
     assert n_pairs > 300
     rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)] + [(None, texts[0], "en", "s", 1)]
-    for rounds in (minhash.ROUNDS, 0):
-        minhash.ROUNDS, before = rounds, minhash.ROUNDS
+    for shard, block, small in ((simhash.SHARD, simhash.BLOCK, simhash.SMALL), (16, 40, 4)):
+        before = simhash.SHARD, simhash.BLOCK, simhash.SMALL
+        simhash.SHARD, simhash.BLOCK, simhash.SMALL = shard, block, small
         got = [r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").collect()]
-        minhash.ROUNDS = before
+        simhash.SHARD, simhash.BLOCK, simhash.SMALL = before
         assert got.count(None) == 1
         assert {k for k in got if k is not None} == want and len(got) == len(want) + 1
 
 
-def test_bands_find_pairs_at_the_threshold():
-    from genescreen.llm import minhash
+def test_segments_meet_at_the_threshold():
+    from genescreen.llm import simhash
 
-    rng = np.random.default_rng(6)
-    found = 0
-    for _ in range(400):  # 80 of 100 shingles shared: similarity 0.8 exactly
-        all_ = rng.integers(0, 1 << 63, 100, np.uint64)
-        a, b = minhash.bands(all_[:90]), minhash.bands(all_[10:])
-        found += bool(set(a) & set(b))
-    assert found >= 399
-    assert minhash.bands(np.zeros(0, np.uint64)) == []
+    rng, met = np.random.default_rng(6), 0
+    n_segments, bits, max_bits = simhash.parameters(250_000, 0.8)
+    for _ in range(500):  # 160 of 200 shingles shared: similarity 0.8 exactly
+        all_ = rng.integers(0, 1 << 63, 200, np.uint64)
+        a, b = (np.frombuffer(simhash.set_fingerprint(x, n_segments, bits), "<u4") for x in (all_[:180], all_[20:]))
+        differ = np.bitwise_count(a ^ b)
+        met += bool((differ <= 1).any()) and differ.sum() <= max_bits
+    assert met >= 0.96 * 500
