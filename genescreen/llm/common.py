@@ -126,6 +126,29 @@ def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dic
     return df.mapInArrow(run, schema)
 
 
+def complete_tables(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 100_000) -> Iterator[dict[str, pa.Array]]:
+    """Columns of some whole groups at a time, of at least `least` rows together but at the end, from batches that are sorted by integer keys."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> dict[str, pa.Array]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return {c: table.column(c).chunk(0) for c in table.column_names}
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if sum(b.num_rows for b in held) >= least:
+            columns = [(batch.column(k).to_numpy(zero_copy_only=False), held[-1].column(k)[held[-1].num_rows - 1].as_py()) for k in keys]
+            other = np.flatnonzero(np.logical_or.reduce([c != last for c, last in columns]))
+            if len(other):  # the last group held ends here
+                held.append(batch.slice(0, other[0]))
+                yield joined()
+                held, batch = [], batch.slice(other[0])
+        held.append(batch)
+    if held:
+        yield joined()
+
+
 def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray | pa.Array]]:
     """Columns of one group after the other from batches that are sorted by integer keys; holds one group at a time."""
     held: list[pa.RecordBatch] = []

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import LOWER, documents, map_docs, read, stored
+from genescreen.llm.common import LOWER, documents, map_docs, read, shared_dir, stored
 
+#: Documents of a batch at most, about.
+BATCH = 50_000_000
 BLANK = b" \t\n\x0b\x0c\r"
 
 
@@ -23,51 +28,92 @@ def line_keys(text: bytes | None, min_chars: int) -> list[bytes | None]:
 
 
 class LineRuns:
-    """Sorted runs of (key, first_doc), one row per key over all runs, in levels.
+    """Sorted runs of (key, first_doc) in levels under a folder, one row per key over all runs.
 
-    A batch adds the keys that no run has (a merge anti-join) as one run of level 0. As soon as a level holds `fan_in` runs they are
-    merged into one run of the next level, so a batch probes at most fan_in - 1 runs a level and a key is rewritten once a level.
+    A run is a table in buckets by key, sorted within them, one file a bucket. A batch is put into the same buckets once; it then
+    meets each run bucket by bucket in a merge anti-join, without a shuffle of either side, and what no run has becomes a run of level
+    0. As soon as a level holds `fan_in` runs they are merged, bucket by bucket too, into one run of the next level, so a batch probes
+    at most fan_in - 1 runs a level and a key is rewritten once a level. The folder's log says which runs there are, so a later job
+    that opens the folder goes on where an earlier one ended.
     """
 
-    def __init__(self, spark: SparkSession, fan_in: int = 3) -> None:
-        self.spark, self.fan_in, self.levels = spark, fan_in, [[]]
-
-    def table(self) -> DataFrame | None:
-        """All runs as one table."""
-        out = None
-        for run in (run for level in self.levels for run in level):
-            out = run if out is None else out.unionByName(run)
-        return out
-
-    def add(self, new: DataFrame) -> None:
-        """Store the rows as a run sorted by key, then compact."""
-        run = self._sorted(new)
-        for level in range(len(self.levels) + 1):
-            if level == len(self.levels):
-                self.levels.append([])
-            self.levels[level].append(run)
-            if len(self.levels[level]) < self.fan_in:
-                return
-            merged, self.levels[level] = self.levels[level], []
-            whole = merged[0]
-            for other in merged[1:]:
-                whole = whole.unionByName(other)
-            run = self._sorted(whole)
-
-    @staticmethod
-    def _sorted(df: DataFrame) -> DataFrame:
-        return stored(df.select("key", "first_doc").repartition("key").sortWithinPartitions("key"))
-
-
-def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, fan_in: int = 3) -> None:
+        self.spark, self.path, self.fan_in = spark, path, fan_in
+        self.levels: list[list[str]] = [[]]
+        try:
+            log = spark.read.parquet(f"{path}/log").orderBy("step").collect()  # a row a run that was ever written
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            log = []
+        self.step = len(log)
+        self.buckets = log[0].buckets if log else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for row in log:
+            self._placed(row.name, row.level)
+
+    def _placed(self, name: str, level: int) -> None:
+        """A run of level k > 0 takes the place of all runs of level k - 1."""
+        while len(self.levels) <= level:
+            self.levels.append([])
+        if level:
+            self.levels[level - 1] = []
+        self.levels[level].append(name)
+
+    def _written(self, df: DataFrame) -> str:
+        name = f"genescreen_lines_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.path}/{name}").saveAsTable(name)
+        return name
+
+    def _logged(self, name: str, level: int) -> None:
+        self.spark.createDataFrame([(self.step, name, level, self.buckets)], "step long, name string, level int, buckets int").coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        self.step += 1
+        self._placed(name, level)
+
+    def run(self, name: str) -> DataFrame:
+        """One run; a run of an earlier job is made known to the session."""
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"CREATE TABLE {name} (key BINARY, first_doc BIGINT) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+        return self.spark.table(name)
+
+    def runs(self) -> list[DataFrame]:
+        """All runs."""
+        return [self.run(name) for level in self.levels for name in level]
+
+    def unseen(self, batch: DataFrame) -> DataFrame:
+        """Rows of a batch in buckets whose key no run has."""
+        for run in self.runs():
+            batch = batch.join(run.hint("merge"), "key", "left_anti")
+        return batch
+
+    def merged(self, runs: list[DataFrame]) -> DataFrame:
+        """Runs as one, bucket by bucket."""
+        whole = runs[0]
+        for other in runs[1:]:
+            whole = whole.unionByName(other)
+        return whole.groupBy("key").agg(F.min("first_doc").alias("first_doc"))
+
+    def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Add what is new of a batch (key, first_doc, further columns; one row a key) as a run, then compact. Its new rows, and those that some run had."""
+        batch = self.spark.table(self._written(batch.repartition(self.buckets, "key").sortWithinPartitions("key")))
+        name = self._written(self.unseen(batch).select("key", "first_doc"))
+        keys = self.run(name).select("key").hint("merge")
+        self._logged(name, 0)
+        for level in range(len(self.levels)):
+            if len(self.levels[level]) >= self.fan_in:
+                self._logged(self._written(self.merged([self.run(n) for n in self.levels[level]])), level + 1)
+        return batch.join(keys, "key", "left_semi"), batch.join(keys, "key", "left_anti")
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, carry: tuple[str, ...] = (), runs: LineRuns | None = None) -> DataFrame:
     """Drop lines whose key stands in a document of smaller doc_id: doc_id, n_lines, n_dropped, kept (text), and the columns to carry along.
 
     A key is the line stripped of blanks at both ends with A-Z lower-cased; keys under `min_chars` code points are never dropped.
-    All lines of a key in the smallest doc_id that holds it stay. Documents are taken in `batches` ranges of doc_id in ascending
-    order, so a key found in the runs was first seen in a smaller doc_id. Within a batch the first document comes from a map-side
+    All lines of a key in the smallest doc_id that holds it stay. Documents are taken in ranges of doc_id in ascending order, `batches`
+    of them or as many as hold BATCH documents each, so a key found in the runs was first seen in a smaller doc_id. With `runs` of an
+    earlier job, all its documents come before these. Within a batch the first document comes from a map-side
     minimum, so a line that most documents share is one row per task; the join that finds its documents is a sort-merge join
     whose hot key Spark splits. Null or empty text: one empty line, which stays. An empty table gives an empty one. Rows that
-    repeat a doc_id each keep their own lines and count as one document.
+    repeat a doc_id each keep their own lines and count as one document. Rows of null doc_id keep all their lines and take none from others.
     """
     spark, whole, docs = docs.sparkSession, docs, documents(docs)
     carried = whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)])
@@ -81,26 +127,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
             out_ids.extend([i] * len(mine))
         return {"doc_id": out_ids, "key": out_keys}
 
-    bounds = docs.where("doc_id is not null").approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.02) if batches > 1 else []
+    known = docs.where("doc_id is not null")
+    batches = max(batches, -(-known.count() // BATCH))
+    bounds = known.approxQuantile("doc_id", [k / batches for k in range(1, batches)], min(0.02, 0.2 / batches)) if batches > 1 else []
     bounds = sorted({int(b) for b in bounds})
     batch = F.lit(0)
     for b in bounds:
         batch = batch + (F.col("doc_id") > b).cast("int")
-    held = stored(map_docs(docs.where("doc_id is not null"), keys, "doc_id long, key binary").withColumn("batch", batch), partition_by="batch")
-    runs, drops = LineRuns(spark, fan_in), None
+    held = stored(map_docs(known, keys, "doc_id long, key binary").withColumn("batch", batch), partition_by="batch")
+    runs, drops = runs or LineRuns(spark, f"{shared_dir(spark)}/genescreen-lines-{uuid.uuid4().hex}"), None
     for k in range(len(bounds) + 1):
         mine = held.where(F.col("batch") == k).select("doc_id", "key")
-        own = mine.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-        known = runs.table()
-        if known is None:
-            own = stored(own.withColumn("old", F.lit(False)))
-        else:
-            own = stored(own.join(known.select("key", F.lit(True).alias("old")).hint("merge"), "key", "left").withColumn("old", F.coalesce("old", F.lit(False))))
-        if k < len(bounds):
-            runs.add(own.where("not old"))
+        new, old = runs.add(mine.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")))
         # only keys that some document of the batch must drop meet its lines
-        repeated = own.where("old or last_doc > first_doc").select("key", "first_doc", "old")
-        gone = mine.join(repeated, "key").where("old or doc_id > first_doc").select("doc_id", "key")
+        repeated = new.where("last_doc > first_doc").select("key", "first_doc").unionByName(old.select("key", F.lit(None).cast("long").alias("first_doc")))
+        gone = mine.join(stored(repeated), "key").where("first_doc is null or doc_id > first_doc").select("doc_id", "key")
         drops = gone if drops is None else drops.unionByName(gone)
     drops = drops.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     joined = carried.join(drops, "doc_id", "left")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import LOWER, complete_groups, doc_batches, documents, map_docs, read, stored
+from genescreen.llm.common import LOWER, complete_groups, complete_tables, doc_batches, documents, map_docs, read, stored
 from genescreen.llm.decontaminate import gram_hashes, id_filter, in_filter, word_hashes
 from genescreen.llm.graph import components
 
@@ -88,26 +88,29 @@ def _spanning(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> Iter
                 waiting = waiting[~near]
 
 
-def _meeting(fp: np.ndarray, wild: np.ndarray, size: int, second: np.ndarray | None, max_bits: int) -> np.ndarray:
-    """Places (a, b) of links among rows of segments `fp` that agree in `wild` but for one wildcard bit of `size`; second: only across both sides."""
+def _meeting(fp: np.ndarray, group: np.ndarray, wild: np.ndarray, size: int, across: np.ndarray, second: np.ndarray, max_bits: int) -> np.ndarray:
+    """Places (a, b) of links among rows of segments `fp` of one group that agree in `wild` but for one wildcard bit of `size`; where `across`, between both sides only."""
     found: list[np.ndarray] = [np.empty((2, 0), np.int64)]
     for place in range(size):
-        variant = wild & ~np.uint32(1 << place)
+        variant = group << np.int64(32) | (wild & ~np.uint32(1 << place))
         order = np.argsort(variant, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], variant[order][1:] != variant[order][:-1]]))
         n = np.diff(np.append(starts, len(order)))
-        small, ends = np.repeat(n <= SMALL, n), np.repeat(starts + n, n)
-        for step in range(1, int(n[n <= SMALL].max(initial=1))):
-            first = np.flatnonzero(small & (np.arange(len(order)) + step < ends))
+        left = np.repeat(np.where(n <= SMALL, starts + n, 0), n) - np.arange(len(order))  # members of a small bucket from each on
+        first = np.flatnonzero(left > 1)
+        for step in range(1, SMALL):
+            first = first[left[first] > step]
+            if not len(first):
+                break
             a, b = order[first], order[first + step]
-            if second is not None:
-                a, b = a[second[a] != second[b]], b[second[a] != second[b]]
-            near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= max_bits
+            near = (np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= max_bits) & (~across[a] | (second[a] != second[b]))
             found.append(np.stack([a[near], b[near]]))
         for s, e in zip(starts[n > SMALL].tolist(), (starts + n)[n > SMALL].tolist()):
-            own = order[s:e] if second is None else np.concatenate([order[s:e][~second[order[s:e]]], order[s:e][second[order[s:e]]]])
-            cut = None if second is None else int((~second[own]).sum())
-            for a, b in _spanning(fp[own[:cut]], None if cut is None else fp[own[cut:]], max_bits):
+            own = order[s:e]
+            left_side = own[~second[own]]
+            right_side = own[second[own]] if across[own[0]] else None
+            own = own if right_side is None else np.concatenate([left_side, right_side])
+            for a, b in _spanning(fp[own] if right_side is None else fp[left_side], None if right_side is None else fp[right_side], max_bits):
                 found.append(np.stack([own[a], own[b]]))
     pairs = np.sort(np.concatenate(found, axis=1), axis=0)
     return np.unique(pairs[0] * len(fp) + pairs[1])
@@ -151,15 +154,14 @@ def links(fps: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
     met = met.select("key", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "node", "fp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in complete_groups(batches, ["key", "i", "j"]):
-            if len(group["node"]) > 1:
-                fp, k = segments_of(group["fp"]), group["key"][0].as_py() >> 32
-                i, j = group["i"][0].as_py(), group["j"][0].as_py()
-                second = None if i == j else group["block"].to_numpy() == j
-                pairs = _meeting(fp, half(fp, k ^ 1), halves[k ^ 1][2], second, max_bits)
+        for table in complete_tables(batches, ["key", "i", "j"]):
+            key, i, j, block, node = (table[c].to_numpy() for c in ("key", "i", "j", "block", "node"))
+            fp, group = segments_of(table["fp"]), np.cumsum((np.diff(key, prepend=0) != 0) | (np.diff(i, prepend=0) != 0) | (np.diff(j, prepend=0) != 0))
+            for k in np.unique(key >> 32).tolist():  # rows of one half of one segment
+                own = np.flatnonzero(key >> 32 == k)
+                pairs = _meeting(fp[own], group[own], half(fp[own], k ^ 1), halves[k ^ 1][2], (i != j)[own], (i != j)[own] & (block == j)[own], max_bits)
                 if len(pairs):
-                    node = group["node"].to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(node[pairs // len(fp)]), pa.array(node[pairs % len(fp)])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(node[own][pairs // len(own)]), pa.array(node[own][pairs % len(own)])], ["a", "b"])
 
     return met.mapInArrow(near, "a long, b long")
 

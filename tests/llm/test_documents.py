@@ -139,12 +139,26 @@ def test_items_of_null_and_repeated_ids(spark):
     assert got == [(15, []), (4, ["7"]), (0, []), (0, [])]
 
 
-def test_line_runs_are_compacted(spark):
-    runs = line_dedup.LineRuns(spark, fan_in=2)
+def test_line_runs(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "runs"), buckets=3, fan_in=2)
     for k in range(5):
-        runs.add(spark.createDataFrame([(bytes([k]), k)], "key binary, first_doc long"))
+        new, old = runs.add(spark.createDataFrame([(bytes([k]), k, k), (bytes([0]), k, k)][: 1 + (k > 0)], "key binary, first_doc long, last_doc long"))
+        assert [bytes(r.key) for r in new.collect()] == [bytes([k])] and old.count() == (k > 0)
     assert [len(x) for x in runs.levels] == [1, 0, 1]
-    assert sorted(tuple(r) for r in runs.table().collect()) == [(bytes([k]), k) for k in range(5)]
+    # a later job, whose session doesn't know the tables
+    for name in (name for level in runs.levels for name in level):
+        spark.sql(f"DROP TABLE {name}")
+    again = line_dedup.LineRuns(spark, str(tmp_path / "runs"), fan_in=2)
+    assert (again.levels, again.buckets) == (runs.levels, 3)
+    assert sorted(tuple(r) for run in again.runs() for r in run.collect()) == [(bytes([k]), k) for k in range(5)]
+    batch = again.run(again.levels[0][0])
+    for df in (again.unseen(batch), again.merged(again.runs())):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    docs = table(spark, ["", "a line that is long enough"])
+    line_dedup.dedup_lines(docs, runs=again).collect()
+    later = line_dedup.dedup_lines(docs.selectExpr("doc_id + 10 as doc_id", "text"), runs=line_dedup.LineRuns(spark, str(tmp_path / "runs"), fan_in=2))
+    assert sorted(r.n_dropped for r in later.collect()) == [0, 1]
 
 
 def test_viterbi_equals_plain_recursion():
