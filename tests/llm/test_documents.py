@@ -317,9 +317,19 @@ def test_lm_query_equals_brute_force(spark, batch):
 
 
 def test_licences(spark):
-    got = by_id(licenses.scan(table(spark, ["Released under the MIT License. Under the MIT license", "This work is licensed under the GNU General Public License, version 3", "the apache", None])))
+    texts = ["Released under the MIT License. Under the MIT license", "This work is licensed under the GNU General Public License, version 3", "the apache", None, "cc by nc cc by nc", "X This work is, as said, licensed under a Creative Commons Attribution Share ShareAlike", "mit license mit"]
+    got = by_id(licenses.scan(table(spark, texts)))
     assert [(x.at, x.label) for x in got[0].base] == [(1, "mit"), (5, "mit")] and got[0].labels == ["mit"] and got[0].score == 1.0
     assert got[1].base == [] and got[1].labels == ["gpl-3"] and got[2].labels == [] and got[3].n_words == 0
+    assert [x.at for x in got[4].base] == [0, 3] and got[5].labels == [] and got[6].n_words == 3
+    permission = next(t for t in licenses.TEMPLATES if t[0] == "mit" and len(t[1]) > 99)[1]
+    words = permission.split()
+    words.insert(30, "inserted")
+    rows = [(None, permission), (None, "other"), (7, " ".join(words)), (7, " ".join(words)), (8, " ".join(words[:12]))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.labels, r.score) for r in got)[:2] == [(0, [], 0.0), (0, ["mit"], 1.0)]
+    assert [(r.labels, r.score > 0.95) for r in got if r.doc_id == 7] == [(["mit"], True)] * 2
+    assert [(r.labels, 0 < r.score < 0.6) for r in got if r.doc_id == 8] == [([], True)]
 
 
 def test_pipeline_stages(spark):
