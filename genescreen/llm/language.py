@@ -8,15 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import doc_batches, documents, read
+from genescreen.llm.common import doc_batches, documents, read, stored
 
-#: Labelled documents that a model is fitted on, in expectation: those whose hashed doc_id falls under a threshold.
-SAMPLE_DOCS = 20_000
-#: Letter sequences that a model keeps: the most frequent ones.
-GRAMS = 60_000
+#: Documents of each language that a model is fitted on, in expectation: those whose hashed doc_id falls under the language's threshold.
+SAMPLE_DOCS = 5_000
+#: Letter sequences that a model keeps for each language: its most frequent ones.
+GRAMS = 30_000
 #: Natural-log cost of changing the language between two words.
 SWITCH = 8.0
 #: Share of a language's training words that a script must have for the language to be a candidate for its words.
@@ -175,32 +175,43 @@ def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch:
     return out
 
 
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Model from (doc_id, text, lang) rows; about `sample_docs` of them, chosen by hashed doc_id. None without usable rows."""
+def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS) -> Model | None:
+    """Model from (doc_id, text, lang) rows; about `sample_docs` of each language, chosen by hashed doc_id. None without usable rows.
+
+    Languages are sampled, and their letter sequences chosen, each by itself, so a rare one is as well known as a frequent one.
+    """
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null")
-    total = rows.count()
-    if total > sample_docs:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample_docs / total) + 1)
+    # a row a language
+    parts = rows.groupBy("lang").agg(F.least(F.lit(1 << 20), F.floor(F.lit((1 << 20) * sample_docs) / F.count("*")) + 1).alias("part"))
+    rows = rows.join(F.broadcast(stored(parts)), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("part"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held: dict[str, Counter] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                held.setdefault(lang, Counter()).update(words_of(text))
+        held: dict[str, Counter] = {}
+
+        def out() -> pa.RecordBatch:
             found: Counter = Counter()
             for lang, words in held.items():
                 for w, n in words.items():
                     found[lang, "#" + script_of(w)] += n
                     for g in grams_of(w):
                         found[lang, g] += n
-            del held
             keys = list(found)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["lang", "gram", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["lang", "gram", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, gram string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n")).groupBy("gram").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    # scripts come first whatever their counts, then the most frequent sequences
-    top = counts.orderBy(F.col("gram").startswith("#").desc(), F.col("n").desc(), "gram").limit(GRAMS).collect()
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                held.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, held.values())) > CACHED:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    counts = stored(rows.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n")))
+    most = Window.partitionBy("lang").orderBy(F.col("gram").startswith("#").desc(), F.desc("n"), "gram")  # scripts come first whatever their counts
+    kept = counts.withColumn("place", F.row_number().over(most)).where(F.col("place") <= grams).select("gram").distinct()
+    top = counts.join(kept, "gram", "left_semi").groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy("gram").collect()
     langs = sorted({lang for r in top for lang in r.by})
     if not langs:
         return None
@@ -269,4 +280,4 @@ def fit_on(docs: DataFrame) -> Model | None:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = read(spark, sf_dir, "documents")
-    return identify(docs, fit_on(docs), spans=False).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return identify(docs, fit_on(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "spans")

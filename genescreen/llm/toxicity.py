@@ -13,23 +13,21 @@ from pyspark.sql import functions as F
 from genescreen.llm.common import doc_batches, documents, read, stored
 from genescreen.llm.decontaminate import words_of
 
-#: Labelled documents that a model is fitted on, in expectation: those whose hashed doc_id falls under a threshold.
-SAMPLE_DOCS = 40_000
-#: Tokens that a model scores by themselves: those that tell the labels apart with the largest z-scores.
-TOKENS = 20_000
+#: Documents of each label that a model is fitted on, in expectation: those whose hashed doc_id falls under the label's threshold.
+SAMPLE_DOCS = 20_000
 #: Dirichlet prior of each token: a weight of its own, and a total that is spread as the tokens are over both labels.
 FLAT, PRIOR = 0.5, 1000.0
-#: Least z-score of a token's log-odds for it to count towards toxicity.
+#: Least z-score of a token's log-odds for the token to be scored by itself.
 LEAST_Z = 3.0
 #: Score of tokens that tell nothing; that they lower a segment's score keeps segments short.
 DRIFT = -0.1
 
 
 class Model:
-    """Token scores, Karlin-Altschul parameters, and the calibration from a document's statistics to a probability."""
+    """Token scores, the extreme-value parameters rate and scale, and the calibration from a document's statistics to a probability."""
 
     def __init__(self, scores: dict[bytes, float], rate: float) -> None:
-        self.scores, self.rate = scores, rate
+        self.scores, self.rate, self.scale = scores, rate, 1.0
         self.weights = np.zeros(4)
 
 
@@ -58,8 +56,8 @@ def statistics(texts: list[bytes | None], model: Model) -> list[tuple[list[tuple
     for text in texts:
         words = words_of(text)
         found = segments(np.array([get(w, drift) for w in words])) if words else []
-        # a segment of score S among n tokens is as good by chance exp(-rate S) n times
-        size = np.log(len(words) + 1.0)
+        # n clean tokens have a segment of score S or more scale n exp(-rate S) times by chance
+        size = np.log(model.scale * max(1, len(words)))
         excess = sorted((model.rate * s - size for _, _, s in found), reverse=True)
         best = max(excess[0], -10.0) if excess else -10.0
         out.append((found, best, float(sum(x for x in excess if x > 0)), float(size)))
@@ -70,74 +68,104 @@ def _features(best: np.ndarray, total: np.ndarray, size: np.ndarray) -> np.ndarr
     return np.stack([np.ones_like(best), best, np.log1p(total), size], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a logistic regression by Newton's steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, by: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of a logistic regression by Newton's steps; by: how many rows each row stands for."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = x.T @ (x * (by * p * (1 - p))[:, None]) + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (by * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def positive_root(values: np.ndarray, share: np.ndarray) -> float:
+    """The rate > 0 at which scores with these shares have E[exp(rate score)] = 1; their mean is negative."""
+    low, high = 1e-3, 50.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.sum(share * np.exp(np.minimum(middle * values, 700))) < 1 else (low, middle)
+    return low
+
+
+def _token_model(counts: DataFrame, folds: tuple[int, ...]) -> Model | None:
+    """Token scores and rate from the counts of some folds."""
+    of = lambda kind: sum((F.col(f"{kind}_{k}") for k in folds[1:]), F.col(f"{kind}_{folds[0]}"))
+    counts = counts.select("word", of("clean").alias("clean"), of("toxic").alias("toxic"), of("tokens").alias("tokens")).where("clean + toxic > 0")
+    whole = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")).first()
+    if not whole.clean or not whole.toxic:
+        return None
+    prior = FLAT + PRIOR * (F.col("clean") + F.col("toxic")) / (whole.clean + whole.toxic)
+    all_prior = PRIOR + FLAT * whole.n
+    side = lambda n, own: F.log((n + prior) / (own + all_prior - n - prior))
+    odds = (side(F.col("toxic"), whole.toxic) - side(F.col("clean"), whole.clean)).alias("odds")
+    z = odds / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
+    top = counts.select("word", "tokens", odds, z.alias("z")).where(F.abs("z") >= LEAST_Z).orderBy("word").collect()
+    scores = {bytes(r.word): float(r.odds) if r.z > 0 else min(DRIFT, float(r.odds)) for r in top}
+    # shares of the tokens of clean texts, as often as they stand there
+    share = np.array([r.tokens for r in top] + [whole.tokens - sum(r.tokens for r in top)]) / max(1, whole.tokens)
+    return Model(scores, positive_root(np.array([scores[bytes(r.word)] for r in top] + [DRIFT]), share))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Model from (doc_id, text) and (doc_id, toxic) rows with 0 or 1; about `sample_docs` labels, by hashed doc_id. None if a label has no rows.
+    """Model from (doc_id, text) and (doc_id, toxic) rows with 0 or 1; about `sample_docs` of each label, by hashed doc_id. None if a label has no rows.
 
-    The labels are sampled before they meet the texts, so what is broadcast is bounded by the parameter; where a label's rows repeat,
-    the largest counts.
+    The labels are sampled before they meet the texts, each label by itself, so a rare one is whole and what is broadcast is bounded by
+    the parameter; where a label's rows repeat, the largest counts. Token scores are log-odds of the shares of documents with the token.
+    The rate of the extreme-value law comes from how often tokens stand in clean texts, its scale from the best segments of clean
+    texts, most likely under that law. Scale and calibration are fitted on texts scored by a model of the other half of the sample,
+    each row weighted by how many of its label it stands for.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    if sum(sizes.values()) > sample_docs:
-        labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample_docs / sum(sizes.values())) + 1)
-    if labels.count() <= 2 * sample_docs:
+    parts = [min(1 << 20, int((1 << 20) * sample_docs / sizes[k]) + 1) for k in (0, 1)]
+    labels = stored(labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0])).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int")))
+    if labels.count() <= 4 * sample_docs:
         labels = F.broadcast(labels)
-    rows = stored(documents(docs).join(labels, "doc_id").select("text", "toxic"))
+    rows = stored(documents(docs).join(labels, "doc_id").select("text", "toxic", "fold"))
+    kinds = [f"{kind}_{k}" for kind in ("clean", "toxic", "tokens") for k in (0, 1)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = (Counter(), Counter())
-            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                held[toxic].update(set(words_of(text)))  # a copied or repetitive passage counts once a document
-            keys = list(held[0].keys() | held[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([held[0][k] for k in keys], pa.int64()), pa.array([held[1][k] for k in keys], pa.int64())], ["word", "clean", "toxic"])
-
-    counts = rows.mapInArrow(count, "word binary, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+            held = {kind: Counter() for kind in kinds}
+            for toxic, fold, text in zip(batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                words = words_of(text)
+                held[f"{'toxic' if toxic else 'clean'}_{fold}"].update(set(words))  # a copied or repetitive passage counts once a document
+                if not toxic:
+                    held[f"tokens_{fold}"].update(words)
+            words = list(set().union(*held.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(pa.array([held[kind][w] for w in words], pa.int64()) for kind in kinds)], ["word", *kinds])
+
+    counts = rows.mapInArrow(count, "word binary, " + ", ".join(f"{kind} long" for kind in kinds)).groupBy("word").agg(*[F.sum(kind).alias(kind) for kind in kinds])
     counts = stored(counts)
-    whole = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.count("*").alias("tokens")).first()
-    if not whole.clean or not whole.toxic:
+    model, halves = _token_model(counts, (0, 1)), [_token_model(counts, (1,)), _token_model(counts, (0,))]
+    if model is None:
         return None
-    total = whole.clean + whole.toxic
-    prior = FLAT + PRIOR * (F.col("clean") + F.col("toxic")) / total
-    all_prior = PRIOR + FLAT * whole.tokens
-    side = lambda n, own: F.log((n + prior) / (own + all_prior - n - prior))
-    odds = (side(F.col("toxic"), whole.toxic) - side(F.col("clean"), whole.clean)).alias("odds")
-    z = odds / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    scored = counts.select("word", "clean", "toxic", odds, z.alias("z"))
-    top = scored.where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(TOKENS).collect()
-    scores = {bytes(r.word): float(r.odds) if r.z > 0 else min(DRIFT, float(r.odds)) for r in top}
-    # rate: the positive root of E[exp(rate s)] = 1 over the tokens of clean documents
-    share = np.array([r.clean / whole.clean for r in top] + [max(0.0, 1 - sum(r.clean for r in top) / whole.clean)])
-    values = np.array([scores[bytes(r.word)] for r in top] + [DRIFT])
-    low, high = 1e-3, 50.0
-    for _ in range(80):
-        middle = (low + high) / 2
-        low, high = (middle, high) if np.sum(share * np.exp(np.minimum(middle * values, 700))) < 1 else (low, middle)
-    model = Model(scores, low)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = statistics(batch.column("text").cast(pa.binary()).to_pylist(), model)
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array([x[k] for x in found], pa.float64()) for k in (1, 2, 3))], ["toxic", "best", "total", "size"])
-
-    table = rows.select("text", "toxic").mapInArrow(measure, "toxic int, best double, total double, size double").toPandas()
-    model.weights = _logistic(_features(table.best.to_numpy(), table.total.to_numpy(), table["size"].to_numpy()), table.toxic.to_numpy())
+    halves = [half or model for half in halves]
+
+    def measured():
+        """Statistics of the sample, each text's by the model of the other half."""
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                folds, texts = batch.column("fold").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
+                found = [statistics([t], halves[k])[0] for k, t in zip(folds, texts)]
+                yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("fold"), *(pa.array([x[k] for x in found], pa.float64()) for k in (1, 2, 3))], ["toxic", "fold", "best", "total", "size"])
+
+        return rows.mapInArrow(measure, "toxic int, fold int, best double, total double, size double").toPandas()
+
+    # with a scale of one a text's best excess is rate S - log n; the most likely scale of clean texts is one over the mean of n exp(-rate S)
+    table = measured()
+    for half in halves:
+        half.scale = model.scale = 1 / max(1e-9, float(np.exp(-np.maximum(table.best[table.toxic == 0], -10)).mean()))
+    table = measured()
+    by = np.where(table.toxic == 1, (1 << 20) / parts[1], (1 << 20) / parts[0])
+    model.weights = _logistic(_features(table.best.to_numpy(), table.total.to_numpy(), table["size"].to_numpy()), table.toxic.to_numpy(), by)
     return model
 
 

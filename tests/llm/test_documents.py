@@ -187,6 +187,45 @@ def test_language_of_held_out_documents(spark):
     assert (both.lang == both.lang_pred).mean() > 0.97 and both.score.between(0, 1).all()
 
 
+def test_language_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit_on(docs)
+    logs = {**{"".join(chr(int(c) >> k & 0x1FFFFF) for k in (42, 21, 0)): model.logs[row] for c, row in zip(model.codes, model.rows)}, **{f"^{w}$": model.logs[row] for w, row in model.whole.items()}}
+    got, same = by_id(QUERIES["op3_language_id"](spark, SF)), 0
+
+    def scores(word):
+        grams = language.grams_of(word)
+        s = sum(logs.get(g, model.logs[-1]).astype(float) for g in grams)
+        mine = model.candidates[[name for _, name in language.SCRIPTS].index(language.script_of(word))]
+        own = model.candidates[int(np.searchsorted(language._STARTS, ord(word[0]), side="right")) - 1]
+        assert mine.tolist() == own.tolist()
+        s = (s - s.max()) / math.sqrt(len(grams))
+        return np.where(own, s, -1e4) if own.any() else s * 0
+
+    rows = docs.collect()
+    for r in rows:
+        words = language.words_of((r.text or "").encode())
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not words:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            same += 1
+            continue
+        value, back = np.zeros(len(model.langs)), []
+        for w in words:
+            change = value.max() - language.SWITCH
+            back.append([k if value[k] >= change else int(value.argmax()) for k in range(len(value))])
+            value = np.maximum(value, change) + scores(w)
+        path = [int(value.argmax())]
+        for b in back[:0:-1]:
+            path.append(b[path[-1]])
+        letters = Counter()
+        for k, w in zip(path[::-1], words):
+            letters[k] += len(w)
+        top = max(sorted(letters), key=lambda k: letters[k])
+        same += got[r.doc_id].lang_pred == model.langs[top] and math.isclose(got[r.doc_id].score, letters[top] / sum(letters.values()), abs_tol=1e-9)
+    assert same >= 0.98 * len(rows)  # single precision may break a near tie the other way
+
+
 def test_spans_of_mixed_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit_on(docs)
@@ -196,14 +235,36 @@ def test_spans_of_mixed_text(spark):
     assert [r.lang_pred for r in row[1:3]] == ["und", "und"] and row[3].lang_pred in model.langs
 
 
+def maximal(s, lo, hi):
+    """The best stretch of s[lo:hi], then the same on both sides of it."""
+    best = max(((s[i:j].sum(), -i, -j) for i in range(lo, hi) for j in range(i + 1, hi + 1)), default=(0, 0, 0))
+    i, j = -best[1], -best[2]
+    return [*maximal(s, lo, i), (i, j, best[0]), *maximal(s, j, hi)] if best[0] > 0 else []
+
+
 def test_segments_equal_brute_force():
     rng = np.random.default_rng(1)
-    for _ in range(100):
-        s = rng.integers(-3, 4, 12).astype(float)
-        found = toxicity.segments(s)
-        best = max((s[i:j].sum() for i in range(12) for j in range(i + 1, 13)), default=0)
-        assert (max((x[2] for x in found), default=0) if best > 0 else 0) == max(best, 0)
-        assert all(math.isclose(s[a:b].sum(), x) for a, b, x in found)
+    for _ in range(200):
+        s = rng.normal(size=14)
+        found, want = toxicity.segments(s), maximal(s, 0, 14)
+        assert [x[:2] for x in found] == [x[:2] for x in want] and all(math.isclose(x[2], y[2]) for x, y in zip(found, want))
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet").where(~toxicity.held_out()))
+    got = by_id(QUERIES["op7_toxicity"](spark, SF))
+    assert 0 < model.rate <= 50 and model.scale > 0 and len(got) == docs.count()
+    for r in docs.collect():
+        words = decontaminate.words_of((r.text or "").encode())
+        if len(words) < 120:
+            s = np.array([model.scores.get(w, toxicity.DRIFT) for w in words])
+            size = math.log(model.scale * max(1, len(words)))
+            runs = [model.rate * x[2] - size for x in maximal(s, 0, len(s))]
+            x = [1, max(max(runs, default=-10.0), -10.0), math.log1p(sum(v for v in runs if v > 0)), size]
+            want = 1 / (1 + math.exp(-min(30, max(-30, float(np.dot(x, model.weights))))))
+            assert math.isclose(got[r.doc_id].score, want, rel_tol=1e-6) and got[r.doc_id].predicted == (want >= 0.5)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
 def test_toxicity_of_held_out_documents(spark):
