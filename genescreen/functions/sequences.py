@@ -73,10 +73,3 @@ def shift_count(text: Column) -> Column:
 def block_score(text: Column) -> Column:
     """First `Score ... bits` as a double; null if there is none."""
     return F.regexp_extract(text, r"Score\s+([0-9.]+)\s+bits", 1).try_cast("double")
-
-
-def interval_union(intervals: Column) -> Column:
-    """Length that an array of (s, e) structs covers together, each place once; touching intervals merge."""
-    start = F.struct(F.lit(0).cast("long").alias("covered"), F.lit(None).cast("long").alias("end"))
-    step = lambda acc, x: F.struct((acc.covered + F.greatest(F.lit(0), x.e - F.greatest(x.s, F.coalesce(acc.end, x.s)))).alias("covered"), F.greatest(acc.end, x.e).alias("end"))
-    return F.aggregate(F.array_sort(intervals), start, step, lambda acc: acc.covered)

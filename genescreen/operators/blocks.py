@@ -106,20 +106,21 @@ def block_signs(blocks: DataFrame, max_tail: int = 50, id_rule: str = "as_coded"
 
     splicing_stop: the block holds :X[. splicing_shift: a ! touches three blanks, directly or with a letter between. ending_stop: the
     translation (`.sp.tr`), white space removed, has fewer than max_tail characters, but some, after its first *. ending_shift: it has
-    as many after its last `tr`; no ! is needed. The first two are of the block's query. The last two are of the id before `.sp.tr` if
-    id_rule is `documented`; `as_coded` takes that id's first character alone, so only ids of one character are ever found.
+    as many after its last `tr`; no ! is needed. All are of the block's query. For the last two the id before `.sp.tr` must be the
+    query's too, if id_rule is `documented`; `as_coded` takes what follows the first > for one character alone, so only queries
+    of one character are ever found.
     """
     text, tid = F.col("text"), query_id(F.col("text"))
     translated = F.regexp_extract(text, r">(\S+?)\.sp\.tr" if id_rule == "documented" else r">(\S)", 1)
     squeezed = F.regexp_replace(text, r"\s+", "")
     short = lambda pattern, group: F.length(F.regexp_extract(squeezed, pattern, group)).between(1, max_tail - 1)
-    found = text.contains(".sp.tr")
+    found = text.contains(".sp.tr") & (translated == tid)
     sign = lambda own, kind, where: F.when(where, F.struct(own.alias("tid"), F.lit(kind).alias("kind")))
     signs = F.array(
         sign(tid, "splicing_stop", text.contains(":X[")),
         sign(tid, "splicing_shift", text.rlike(r"![A-Z]?\s{3}|\s{3}[A-Z]?!")),
-        sign(translated, "ending_stop", found & short(r"^[^*]*\*(\S+)$", 1)),
-        sign(translated, "ending_shift", found & short(r"(.*)tr(\S+)$", 2)),
+        sign(tid, "ending_stop", found & short(r"^[^*]*\*(\S+)$", 1)),
+        sign(tid, "ending_shift", found & short(r"(.*)tr(\S+)$", 2)),
     )
     return blocks.select(F.explode(F.array_compact(signs)).alias("x")).select("x.*").where("tid <> ''")
 

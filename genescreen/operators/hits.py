@@ -73,10 +73,15 @@ def hit_multiplicity(hits: DataFrame, order: list[str], overlap_frac: float = 0.
     """Per query its best hit (largest nmatch, first by `order`), and how many hits a greedy scan by place leaves apart.
 
     The scan goes over (tname, tstart, tend); a hit whose overlap with the current merged interval is under `overlap_frac` of the
-    shorter one opens a new interval, else it extends it. A contig always opens one, so contigs are folded apart and summed.
+    shorter one opens a new interval, else it extends it. A contig always opens one, and so does a hit that starts where all before it
+    have ended; so each island of hits is folded by itself, and no row holds more than one. overlap_frac is above 0.
     """
     passing = filter_hits(hits, **thresholds)
-    folded = passing.groupBy("qname", "tname").agg(F.array_sort(F.collect_list(F.struct("tstart", "tend"))).alias("spans"))
+    place = Window.partitionBy("qname", "tname").orderBy("tstart", "tend")
+    reach = F.max("tend").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    apart = passing.select("qname", "tname", "tstart", "tend", F.coalesce((F.col("tstart") >= reach).cast("long"), F.lit(1).cast("long")).alias("opens"))
+    islands = apart.withColumn("island", F.sum("opens").over(place.rowsBetween(Window.unboundedPreceding, 0)))
+    folded = islands.groupBy("qname", "tname", "island").agg(F.array_sort(F.collect_list(F.struct("tstart", "tend"))).alias("spans"))
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("e"))
 
     def step(acc, x):

@@ -39,6 +39,32 @@ def longest_cds_per_gene(cds: DataFrame, peptides: DataFrame) -> DataFrame:
     return best.select("gene", "x.*")
 
 
+def chosen_peptides(chosen: DataFrame, peptides: DataFrame) -> DataFrame:
+    """header and seq of the peptides that longest_cds_per_gene chose; the header is the transcript and what was chosen by."""
+    tokens = [F.concat(F.lit(f" {name}="), F.col(column).cast("string")) for name, column in (("gene", "gene"), ("ensp", "ensp"), ("gene_symbol", "gene_symbol"), ("cds_len", "cds_len"), ("pep_len", "pep_len"))]
+    # ids meet before sequences are read along
+    return peptides.select("enst", "ensp", "seq").join(chosen, ["enst", "ensp"]).select(F.concat("enst", *tokens).alias("header"), "seq")
+
+
+def longest_cds_counts(cds: DataFrame, peptides: DataFrame) -> DataFrame:
+    """name, n: records read and used on the way to the longest CDS of each gene."""
+    tagged = cds.select((F.col("gene") != "").alias("tagged"), "gene", "enst")
+    with_protein = tagged.where("tagged and enst <> ''").join(best_peptide(peptides).select("enst", F.lit(True).alias("has")), "enst")
+    picked = longest_cds_per_gene(cds, peptides)
+    rows = [
+        peptides.agg(F.count("*").alias("pep_total_records"), F.count_if(F.col("enst") != "").alias("pep_with_transcript_tag")),
+        tagged.agg(F.count("*").alias("cds_total_records"), F.count_if("tagged").alias("cds_with_gene_tag")),
+        with_protein.agg(F.count("*").alias("cds_with_protein")),
+        picked.agg(F.count("*").alias("genes_picked")),
+        peptides.select("enst", "ensp").join(picked, ["enst", "ensp"]).agg(F.count("*").alias("proteins_written")),
+    ]
+    out = None
+    for row in rows:
+        named = row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in row.columns])).alias("x")).select("x.*")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def split_patterns(patterns: str) -> list[str]:
     """Patterns apart: at |, or at commas where there is no |."""
     return [p for p in patterns.split("|" if "|" in patterns else ",") if p]
@@ -79,11 +105,12 @@ def exon_counts(exons: DataFrame) -> DataFrame:
 
 
 def intronless_or_biotype(genes: DataFrame, descriptions: DataFrame, biotypes: DataFrame, exons: DataFrame, patterns: list[str], exclude: list[str]) -> DataFrame:
-    """Report rows of genes that a pattern is found in, whose gene or transcript biotype is excluded, or that have one exon; up to three a gene."""
+    """Report rows of genes that a pattern is found in, whose gene or transcript biotype is excluded, or that have one exon; up to three a gene. Of a transcript's excluded biotypes the last by line_no counts."""
     excluded = [x.strip().lower() for x in exclude if x.strip()]
     by_gene = F.when(F.lower("gene_biotype").isin(excluded), F.concat(F.lit("gene_biotype:"), "gene_biotype"))
     by_transcript = F.when(F.lower("transcript_biotype").isin(excluded), F.concat(F.lit("transcript_biotype:"), "transcript_biotype"))
-    hit = biotypes.select("tid", F.coalesce(by_gene, by_transcript).alias("matched_pattern")).where("matched_pattern is not null").dropDuplicates(["tid"])
+    hit = biotypes.select("tid", F.coalesce(by_gene, by_transcript).alias("matched_pattern"), "line_no").where("matched_pattern is not null")
+    hit = hit.groupBy("tid").agg(F.max_by("matched_pattern", "line_no").alias("matched_pattern"))
     keys = genes.select("tid", "gene_id", "gene_symbol")
     of_type = keys.join(hit, "tid").select("tid", "gene_id", "gene_symbol", "matched_pattern", F.lit("biotype").alias("source"))
     single = keys.join(exon_counts(exons).where("intronless"), "tid", "left_semi").select("tid", "gene_id", "gene_symbol", F.lit("intronless").alias("matched_pattern"), F.lit("gtf").alias("source"))

@@ -20,6 +20,7 @@ class Thresholds:
 
     prefilter: bool = True
     family: bool = True
+    # fixed values: the default patterns, switches and thresholds
     family_patterns: str = "olfactory receptor|vomeronasal|zinc finger|^OR|^V1R|^V2R|^TAAR|^ZNF|^ZFP"
     redundancy: bool = True
     min_aln_len: int = 30

@@ -53,7 +53,8 @@ inner_reach AS (SELECT *, max(qend) OVER (PARTITION BY qname, tname, locus ORDER
 islands AS (SELECT *, sum(CASE WHEN q_far IS NULL OR qstart > q_far THEN 1 ELSE 0 END) OVER (PARTITION BY qname, tname, locus ORDER BY qstart, qend ROWS UNBOUNDED PRECEDING) AS island FROM inner_reach),
 merged AS (SELECT qname, tname, locus, island, max(qend) - min(qstart) AS size, count(*) AS n, max(qlen) AS qlen FROM islands GROUP BY ALL),
 covered AS (SELECT qname, tname, locus, sum(size) / max(qlen) AS cov, max(qlen) AS qlen, CAST(sum(n) AS BIGINT) AS n_hits FROM merged GROUP BY ALL)"""
-_IDENT = "CASE WHEN least(length(qseq), length(tseq)) > 0 THEN len(list_filter(range(1, least(length(qseq), length(tseq)) + 1), lambda i: substr(qseq, i, 1) = substr(tseq, i, 1))) / least(length(qseq), length(tseq)) ELSE 0.0 END"
+_SAME = "len(list_filter(list_zip(string_split(qseq, ''), string_split(tseq, '')), lambda x: x[1] = x[2]))"
+_IDENT = f"CASE WHEN least(length(qseq), length(tseq)) > 0 THEN {_SAME} / least(length(qseq), length(tseq)) ELSE 0.0 END"
 _COUNTS = r""", counts AS (SELECT line_no, regexp_extract(text, 'Query protein:\s+(\S+)', 1) AS tid,
   CASE WHEN contains(text, '*') THEN length(text) - length(replace(text, '*', '')) ELSE (length(text) - length(replace(text, ':X[', ''))) // 3 END AS stop,
   length(text) - length(replace(text, '!', '')) AS shift FROM blocks)"""
@@ -111,12 +112,24 @@ def _(e: Entities) -> DataFrame:
     return rd.read_prediction_blocks(e.spark, path, "line").select(F.trim("text", F.lit("\n")).alias("text"), "terminated")
 
 
+@query("src4_block_dir", "SELECT trim(text, chr(10)) AS text FROM blocks", "blocks")
+def _(e: Entities) -> DataFrame:
+    path = sk.write_lines(e.blocks.select(F.concat("text", F.lit("\n//")).alias("value")), sk.scratch_path(e.spark, "blocks"))
+    return rd.read_block_dir(e.spark, path, "*.txt").select(F.trim("text", F.lit("\n")).alias("text"))
+
+
 @query("src5_snk3_id_list", "SELECT DISTINCT tid FROM (SELECT tid FROM truth UNION ALL SELECT tid FROM whitelist)", "truth", "whitelist")
 def _(e: Entities) -> DataFrame:
     path = sk.write_id_list(e.truth.unionByName(e.whitelist), sk.scratch_path(e.spark, "ids"))
     return rd.read_id_list(e.spark, path)
 
 
+@query("src5_id_list_first_tab", "SELECT DISTINCT tid FROM truth", "truth")
+def _(e: Entities) -> DataFrame:
+    path = sk.write_lines(e.truth.select(F.concat("tid", F.lit("\tmore of the line")).alias("value")), sk.scratch_path(e.spark, "ids"))
+    return rd.read_id_list(e.spark, path, "first_tab")
+
+
 @query("src6_alignment_pairs", "SELECT tid, qseq, tseq FROM alignments WHERE tseq <> '' AND qseq <> ''", "alignments")
 def _(e: Entities) -> DataFrame:
     path = sk.write_lines(e.alignments.select(F.concat(F.lit(">"), "tid", F.lit("\n"), "qseq", F.lit("\n"), "tseq").alias("value")), sk.scratch_path(e.spark, "pairs"))
@@ -227,7 +240,7 @@ def _(e: Entities) -> DataFrame:
     return e.alignments.select("tid", X.positional_identity(F.col("qseq"), F.col("tseq")).alias("identity"))
 
 
-@query("prj10_report_identity", "SELECT tid, round(CASE WHEN length(qseq) > 0 AND length(tseq) > 0 THEN 100.0 * len(list_filter(range(1, least(length(qseq), length(tseq)) + 1), lambda i: substr(qseq, i, 1) = substr(tseq, i, 1))) / length(qseq) ELSE 0.0 END, 6) AS identity FROM alignments", "alignments")
+@query("prj10_report_identity", f"SELECT tid, round(CASE WHEN length(qseq) > 0 AND length(tseq) > 0 THEN 100.0 * {_SAME} / length(qseq) ELSE 0.0 END, 6) AS identity FROM alignments", "alignments")
 def _(e: Entities) -> DataFrame:
     return e.alignments.select("tid", F.round(X.report_identity(F.col("qseq"), F.col("tseq")), 6).alias("identity"))
 
@@ -248,8 +261,8 @@ def _(e: Entities) -> DataFrame:
 
 
 @query("prj14_mutation_positions", """, pairs AS (SELECT line_no, tid, t1 || t2 || CASE WHEN spliced THEN 'X' ELSE '' END AS t, spliced FROM aligned_blocks),
-places AS (SELECT line_no, tid, t, unnest(range(1, length(t) + 1)) AS i FROM pairs),
-found AS (SELECT line_no, tid, CASE substr(t, i, 1) WHEN '*' THEN 0 ELSE 1 END AS k, i AS position FROM places WHERE substr(t, i, 1) IN ('*', '!') UNION ALL SELECT line_no, tid, 2, NULL FROM pairs WHERE spliced)
+places AS (SELECT line_no, tid, unnest(string_split(t, '')) AS c, unnest(range(1, length(t) + 1)) AS i FROM pairs WHERE t <> ''),
+found AS (SELECT line_no, tid, CASE c WHEN '*' THEN 0 ELSE 1 END AS k, i AS position FROM places WHERE c IN ('*', '!') UNION ALL SELECT line_no, tid, 2, NULL FROM pairs WHERE spliced)
 SELECT tid, row_number() OVER (PARTITION BY line_no ORDER BY k, position) - 1 AS ordinal, position, CASE k WHEN 0 THEN 'stop' WHEN 1 THEN 'frameshift' ELSE 'splice_stop' END AS type FROM found""", "aligned_blocks")
 def _(e: Entities) -> DataFrame:
     return B.mutation_positions(B.parse_blocks(e.aligned_blocks.select("line_no", "text", "terminated")))
@@ -284,15 +297,22 @@ def _(e: Entities) -> DataFrame:
     return B.splicing_shift(e.blocks, _single(e))
 
 
-_ENDING = rf"{_SINGLE}, squeezed AS (SELECT regexp_replace(text, '\s+', '', 'g') AS s, regexp_extract(text, '>(\S+?)\.sp\.tr', 1) AS tid FROM blocks WHERE contains(text, '.sp.tr'))"
+_ENDING = rf"{_SINGLE}, squeezed AS (SELECT regexp_replace(b.text, '\s+', '', 'g') AS s, c.tid FROM blocks b JOIN counts c USING (line_no) WHERE contains(b.text, '.sp.tr') AND c.tid IN (FROM single) AND regexp_extract(b.text, '>(\S+?)\.sp\.tr', 1) = c.tid)"
+_ENDED_STOP = "contains(s, '*') AND length(s) - instr(s, '*') BETWEEN 1 AND 119"
+_ENDED_SHIFT = "length(string_split(s, 'tr')[-1]) BETWEEN 1 AND 49"
 
 
-@query("fp2_ending_stop", f"{_ENDING} SELECT DISTINCT tid FROM squeezed WHERE tid IN (FROM single) AND contains(s, '*') AND length(s) - instr(s, '*') BETWEEN 1 AND 119", "blocks")
+@query("fp2_ending_stop", f"{_ENDING} SELECT DISTINCT tid FROM squeezed WHERE {_ENDED_STOP}", "blocks")
 def _(e: Entities) -> DataFrame:
     return B.ending_stop(e.blocks, _single(e), 120, "documented")
 
 
-@query("fp4_ending_shift", f"{_ENDING} SELECT DISTINCT tid FROM squeezed WHERE tid IN (FROM single) AND length(string_split(s, 'tr')[-1]) BETWEEN 1 AND 49", "blocks")
+@query("fp2_ending_stop_as_coded", rf"{_SINGLE} SELECT DISTINCT c.tid FROM blocks b JOIN counts c USING (line_no) WHERE c.tid IN (FROM single) AND regexp_extract(b.text, '>(\S)', 1) = c.tid", "blocks")
+def _(e: Entities) -> DataFrame:
+    return B.ending_stop(e.blocks, _single(e), 120)
+
+
+@query("fp4_ending_shift", f"{_ENDING} SELECT DISTINCT tid FROM squeezed WHERE {_ENDED_SHIFT}", "blocks")
 def _(e: Entities) -> DataFrame:
     return B.ending_shift(e.blocks, _single(e), id_rule="documented")
 
@@ -339,7 +359,9 @@ def _(e: Entities) -> DataFrame:
 
 @query("joi5_intronless_or_biotype", f"""{_FAMILY}, single AS (SELECT tid FROM exons GROUP BY tid HAVING count(*) <= 1)
 SELECT * FROM family UNION ALL
-SELECT g.tid, g.gene_id, g.gene_symbol, CASE WHEN lower(b.gene_biotype) IN ('pseudogene', 'lncrna') THEN 'gene_biotype:' || b.gene_biotype ELSE 'transcript_biotype:' || b.transcript_biotype END, 'biotype' FROM genes g JOIN biotypes b USING (tid) WHERE lower(b.gene_biotype) IN ('pseudogene', 'lncrna') OR lower(b.transcript_biotype) IN ('pseudogene', 'lncrna') UNION ALL
+SELECT g.tid, g.gene_id, g.gene_symbol, b.found, 'biotype' FROM genes g JOIN (
+  SELECT tid, CASE WHEN lower(gene_biotype) IN ('pseudogene', 'lncrna') THEN 'gene_biotype:' || gene_biotype ELSE 'transcript_biotype:' || transcript_biotype END AS found FROM biotypes
+  WHERE lower(gene_biotype) IN ('pseudogene', 'lncrna') OR lower(transcript_biotype) IN ('pseudogene', 'lncrna') QUALIFY row_number() OVER (PARTITION BY tid ORDER BY line_no DESC) = 1) b USING (tid) UNION ALL
 SELECT tid, gene_id, gene_symbol, 'intronless', 'gtf' FROM genes WHERE tid IN (FROM single)""", "genes", "descriptions", "biotypes", "exons")
 def _(e: Entities) -> DataFrame:
     return S.intronless_or_biotype(e.genes, e.descriptions, e.biotypes, e.exons, FAMILY, ["pseudogene", "lncRNA"])
@@ -398,6 +420,25 @@ def _(e: Entities) -> DataFrame:
     return S.longest_cds_per_gene(e.cds, e.peptides)
 
 
+_CHOSEN = f"{_PEPTIDE}, chosen AS (SELECT gene, enst, ensp, gene_symbol, cds_len, pep_len FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY cds_len DESC, pep_len DESC, enst) AS n FROM cds JOIN best USING (enst)) WHERE n = 1)"
+
+
+def _sequenced(e: Entities) -> DataFrame:
+    return e.peptides.withColumn("seq", F.expr("repeat(substr(ensp, 5, 1), cast(pep_len as int))"))
+
+
+@query("agg5_peptide_fasta", f"{_CHOSEN} SELECT enst || ' gene=' || gene || ' ensp=' || ensp || ' gene_symbol=' || gene_symbol || ' cds_len=' || cds_len || ' pep_len=' || pep_len AS header, enst AS id, repeat(substr(ensp, 5, 1), pep_len) AS seq FROM chosen", "cds", "peptides")
+def _(e: Entities) -> DataFrame:
+    path = sk.write_fasta(S.chosen_peptides(S.longest_cds_per_gene(e.cds, e.peptides), _sequenced(e)), sk.scratch_path(e.spark, "fasta"))
+    return rd.read_fasta(e.spark, path).select("header", "id", "seq")
+
+
+@query("agg5_counts", f"""{_CHOSEN} SELECT unnest(['pep_total_records', 'pep_with_transcript_tag', 'cds_total_records', 'cds_with_gene_tag', 'cds_with_protein', 'genes_picked', 'proteins_written']) AS name,
+  unnest([(SELECT count(*) FROM peptides), (SELECT count(*) FROM peptides WHERE enst <> ''), (SELECT count(*) FROM cds), (SELECT count(*) FROM cds WHERE gene <> ''), (SELECT count(*) FROM cds WHERE enst IN (SELECT enst FROM best)), (SELECT count(*) FROM chosen), (SELECT count(*) FROM chosen)]) AS n""", "cds", "peptides")
+def _(e: Entities) -> DataFrame:
+    return S.longest_cds_counts(e.cds, e.peptides)
+
+
 @query("agg6_locus_clusters", f"{_LOCI} SELECT qname, tname, tstart, tend, locus FROM loci", "hits")
 def _(e: Entities) -> DataFrame:
     return H.locus_clusters(H.filter_hits(e.hits)).select("qname", "tname", "tstart", "tend", "locus")
@@ -527,6 +568,52 @@ def _(e: Entities) -> DataFrame:
     return rows.select("tid", "unitary", "high_confidence")
 
 
+_FULL_TABLES = ("blocks", "proteins", "alignments", "genes", "descriptions", "whitelist", "hits")
+_FULL = rf"""{_COVERED}, redundant_ids AS (SELECT replace(qname, 'Q', 'T') || '.1' AS tid FROM covered GROUP BY qname HAVING count(*) FILTER (WHERE cov >= 0.8) >= 2){_LOADS}{_MUT}{_MET},
+p AS (SELECT r.tid || '.1' AS tid, coalesce(g.gene_id, '') AS gene_id, CASE WHEN length(r.tid) > 1 AND right(r.tid, 1) = '8' THEN '' ELSE coalesce(g.gene_symbol || '/' || right(r.tid, 2), r.tid) END AS gene_symbol, r.length FROM proteins r LEFT JOIN genes g ON g.tid = 'Q' || substr(r.tid, 2)),
+w AS (SELECT tid || '.1' AS tid FROM whitelist),
+valid AS (SELECT tid FROM (SELECT tid, gene_symbol, tid IN (FROM w) AS listed, row_number() OVER (PARTITION BY gene_symbol, tid IN (FROM w) ORDER BY length DESC, tid) AS n FROM p) WHERE listed OR (gene_symbol <> '' AND n = 1)),
+start AS (SELECT tid FROM loads WHERE load = 'putative' AND tid IN (FROM valid) UNION FROM w),
+named AS (SELECT p.tid, p.gene_id, p.gene_symbol, CASE WHEN i.key IS NOT NULL THEN i.text ELSE s.text END AS text FROM p LEFT JOIN descriptions i ON i.key = p.gene_id LEFT JOIN descriptions s ON s.key = p.gene_symbol),
+fam AS (SELECT tid FROM named WHERE regexp_matches(concat_ws(chr(10), gene_symbol, gene_id, text), 'plate|brand#1|red', 'i')),
+kept1 AS (SELECT tid FROM start WHERE tid NOT IN (FROM fam)), list1 AS (FROM kept1 UNION SELECT tid FROM w WHERE EXISTS (FROM kept1)),
+kept2 AS (SELECT tid FROM list1 WHERE tid NOT IN (FROM redundant_ids)), unitary AS (FROM kept2 UNION SELECT tid FROM w WHERE EXISTS (FROM kept2)),
+one AS (SELECT tid FROM loads WHERE load = 'single' AND tid IN (FROM unitary)), many AS (SELECT tid FROM loads WHERE load = 'multi' AND tid IN (FROM unitary)),
+squeezed AS (SELECT regexp_replace(b.text, '\s+', '', 'g') AS s, c.tid FROM blocks b JOIN counts c USING (line_no) WHERE contains(b.text, '.sp.tr') AND c.tid IN (FROM one) AND regexp_extract(b.text, '>(\S+?)\.sp\.tr', 1) = c.tid),
+fp AS (SELECT c.tid FROM counts c JOIN blocks b USING (line_no) WHERE c.tid IN (FROM one) AND (contains(b.text, ':X[') OR regexp_matches(b.text, '![A-Z]?\s\s\s|\s\s\s[A-Z]?!'))
+  UNION SELECT tid FROM squeezed WHERE (contains(s, '*') AND length(s) - instr(s, '*') BETWEEN 1 AND 49) OR length(string_split(s, 'tr')[-1]) BETWEEN 1 AND 49
+  UNION SELECT tid || '.1' FROM (SELECT *, {_IDENT} AS identity FROM flanks) WHERE tid || '.1' IN (FROM one) AND flank_before < 0.2 AND flank_after < 0.2 AND identity < 0.1
+  UNION SELECT tid || '.1' FROM typed WHERE mut_pos IS NOT NULL AND (mut_pos + 1) / length(qseq) >= 0.9),
+kept3 AS (SELECT tid FROM unitary WHERE tid NOT IN (FROM fp)), list3 AS (FROM kept3 UNION SELECT tid FROM w WHERE EXISTS (FROM kept3)),
+good_many AS (SELECT tid || '.1' AS tid FROM metrics WHERE protein_len > 0 AND align_len >= 200 AND coverage >= 0.7 AND identity >= 0.05),
+kept4 AS (SELECT tid FROM list3 WHERE tid NOT IN (FROM many) OR tid IN (FROM good_many)), list4 AS (FROM kept4 UNION SELECT tid FROM w WHERE EXISTS (FROM kept4)),
+kept5 AS (SELECT tid FROM list4 WHERE tid IN (SELECT tid || '.1' FROM metrics WHERE align_len >= 400 AND coverage >= 0.7 AND identity >= 0.3)), high AS (FROM kept5 UNION SELECT tid FROM w WHERE EXISTS (FROM kept5))
+"""
+
+
+def _full_funnel(e: Entities) -> DataFrame:
+    """The funnel with all six switches on, over blocks, proteins, alignments and descriptions of one id space."""
+    named = lambda df: df.withColumn("tid", F.concat("tid", F.lit(".1")))
+    genes = e.genes.select(F.regexp_replace("tid", "^Q", "T").alias("tid"), "gene_id", F.col("gene_symbol").alias("symbol"))
+    proteins = e.proteins.select("tid", "length").join(genes, "tid", "left")
+    proteins = named(proteins.select("tid", F.coalesce("gene_id", F.lit("")).alias("gene_id"), F.when((F.length("tid") > 1) & (F.substring("tid", -1, 1) == "8"), "").otherwise(F.coalesce(F.concat("symbol", F.lit("/"), F.substring("tid", -2, 2)), "tid")).alias("gene_symbol"), "length"))
+    hits = e.hits.withColumn("qname", F.concat(F.regexp_replace("qname", "Q", "T"), F.lit(".1")))
+    return run_funnel(Inputs(e.blocks, proteins, hits, named(e.alignments), e.descriptions, named(e.whitelist)), Thresholds(family_patterns="plate|brand#1|red", id_rule="documented", global_min_aln_len=400))
+
+
+@query("fun1_funnel_all_filters", f"""{_FULL} SELECT tid, tid IN (SELECT tid FROM loads WHERE load = 'putative') AS putative, tid IN (FROM valid) AND tid IN (SELECT tid FROM loads) AS valid, tid IN (FROM w) AS listed, tid IN (FROM fam) AS family, tid IN (FROM redundant_ids) AS redundant, tid IN (FROM unitary) AS unitary,
+  tid IN (FROM fp) AS false_positive, tid IN (FROM many) AND tid NOT IN (FROM good_many) AS low_multi, tid IN (FROM high) AS high_confidence FROM (SELECT tid FROM loads UNION SELECT tid FROM w)""", *_FULL_TABLES)
+def _(e: Entities) -> DataFrame:
+    return _full_funnel(e).select("tid", "putative", "valid", "listed", "family", "redundant", "unitary", "false_positive", "low_multi", "high_confidence")
+
+
+@query("agg15_funnel_stages", f"""{_FULL} SELECT 'putative' AS stage, count(DISTINCT tid) AS n FROM loads WHERE load = 'putative' UNION ALL SELECT 'unitary', count(*) FROM unitary UNION ALL SELECT 'high_confidence', count(*) FROM high""", *_FULL_TABLES)
+def _(e: Entities) -> DataFrame:
+    stages = ("putative", "unitary", "high_confidence")
+    rows = _full_funnel(e).select("tid", F.explode(F.array_compact(F.array(*[F.when(F.col(c), c) for c in stages]))).alias("stage"))
+    return R.funnel_counts(rows)
+
+
 # evaluation and tuning
 
 
@@ -566,6 +653,20 @@ def _(e: Entities) -> DataFrame:
     return V.apply_params(_tuning(e), V.parameter_grid(e.spark))
 
 
+_SIGNED = ", signed AS (SELECT c.species, c.tid FROM candidates c JOIN (SELECT DISTINCT replace(regexp_extract(text, 'Query protein: (\\S+)', 1), '.1', '') AS tid FROM blocks WHERE contains(text, ':X[')) b USING (tid))"
+
+
+def _signed(e: Entities) -> DataFrame:
+    """(species, tid) of candidates with a splicing sign."""
+    signs = B.block_signs(e.blocks).where("kind = 'splicing_stop'").select(F.regexp_replace("tid", r"\.1$", "").alias("tid")).distinct()
+    return e.candidates.join(signs, "tid").select("species", "tid")
+
+
+@query("eva3_apply_params_signs", f"{_APPLY}{_SIGNED} SELECT combo, species, tid FROM survivors WHERE (species, tid) NOT IN (SELECT (species, tid) FROM signed)", "candidates", "alignments", "proteins", "blocks")
+def _(e: Entities) -> DataFrame:
+    return V.apply_params(_tuning(e), V.parameter_grid(e.spark), _signed(e))
+
+
 _SEARCH = f"""{_APPLY}, sums AS (SELECT combo, count(DISTINCT tid) AS union_size, count(DISTINCT tid) FILTER (WHERE tid IN (FROM truth)) AS overlap, count(*) FILTER (WHERE species = 'sp_a') AS n_sp_a, count(*) FILTER (WHERE species = 'sp_b') AS n_sp_b FROM survivors GROUP BY combo),
 search AS (SELECT g.*, coalesce(union_size, 0) AS union_size, coalesce(overlap, 0) AS overlap, coalesce(n_sp_a, 0) AS n_sp_a, coalesce(n_sp_b, 0) AS n_sp_b, coalesce(overlap, 0) / (SELECT count(*) FROM truth) AS recall, coalesce(overlap / nullif(union_size, 0), 0.0) AS precision FROM grid g LEFT JOIN sums USING (combo))"""
 
@@ -585,15 +686,21 @@ def _(e: Entities) -> DataFrame:
     return V.grid_search(_tuning(e), V.parameter_grid(e.spark), e.truth, ("sp_a", "sp_b"), min_recall=0.1)
 
 
+@query("eva4_grid_search_max_union", f"{_SEARCH.replace('FROM survivors GROUP BY combo', 'FROM survivors WHERE (species, tid) NOT IN (SELECT (species, tid) FROM signed) GROUP BY combo').replace(', sums AS', _SIGNED + ', sums AS')} SELECT * FROM search WHERE union_size <= 520 ORDER BY recall DESC, union_size, precision DESC, combo LIMIT 20", "candidates", "alignments", "proteins", "truth", "blocks")
+def _(e: Entities) -> DataFrame:
+    return V.grid_search(_tuning(e), V.parameter_grid(e.spark), e.truth, ("sp_a", "sp_b"), max_union=520, false_positives=_signed(e))
+
+
 @query("eva5_recall", "SELECT count(*) AS n_ref, count(*) FILTER (WHERE tid IN (SELECT tid FROM candidates WHERE species = 'sp_a')) AS n_found, count(*) FILTER (WHERE tid IN (SELECT tid FROM candidates WHERE species = 'sp_a')) / count(*) AS recall FROM truth", "truth", "candidates")
 def _(e: Entities) -> DataFrame:
     return V.recall(e.candidates.where("species = 'sp_a'"), e.truth)
 
 
-_DIAGNOSE = r""", t AS (SELECT tid FROM truth WHERE tid NOT IN (SELECT tid FROM candidates WHERE CAST(substr(tid, 2) AS BIGINT) % 3 = 0)),
-raw AS (SELECT species, tid FROM candidates WHERE CAST(substr(tid, 2) AS BIGINT) % 4 > 0), seen AS (SELECT species, tid FROM candidates WHERE CAST(substr(tid, 2) AS BIGINT) % 5 > 0),
+_DIAGNOSE = r""", t AS (SELECT tid FROM truth WHERE tid NOT IN (SELECT tid FROM candidates WHERE tid IN (FROM whitelist))),
+seen AS (SELECT species, tid FROM candidates),
 best AS (SELECT gene_symbol, tid AS kept_tid, length AS kept_length FROM (SELECT *, row_number() OVER (PARTITION BY gene_symbol ORDER BY length DESC, tid) AS n FROM proteins WHERE gene_symbol <> '') WHERE n = 1),
 b AS (SELECT CASE WHEN line_no % 2 = 0 THEN 'sp_a' ELSE 'sp_b' END AS species, replace(regexp_extract(text, 'Query protein:\s+(\S+)', 1), '.1', '') AS tid, contains(text, 'X') AS stop, contains(text, '!') AS shift, CAST(regexp_extract(text, 'Score ([0-9.]+) bits', 1) AS DOUBLE) AS score, line_no FROM blocks),
+raw AS (SELECT species, tid FROM b WHERE shift),
 last AS (SELECT species, tid, max_by(stop, line_no) AS stop, max_by(shift, line_no) AS shift, max_by(score, line_no) AS score FROM b GROUP BY species, tid),
 diag AS (SELECT t.tid, coalesce(p.gene_symbol, '') AS gene_symbol, coalesce(p.length, 0) AS length, k.kept_tid, k.kept_length, t.tid IN (SELECT kept_tid FROM best) AS in_prefilter,
   ('sp_a', t.tid) IN (SELECT (species, tid) FROM raw) AS raw_sp_a, ('sp_a', t.tid) IN (SELECT (species, tid) FROM seen) AS hit_sp_a, coalesce(a.stop, false) AS stop_sp_a, coalesce(a.shift, false) AS shift_sp_a, a.score AS score_sp_a,
@@ -601,15 +708,14 @@ diag AS (SELECT t.tid, coalesce(p.gene_symbol, '') AS gene_symbol, coalesce(p.le
   FROM t LEFT JOIN proteins p USING (tid) LEFT JOIN best k ON k.gene_symbol = p.gene_symbol LEFT JOIN last a ON a.tid = t.tid AND a.species = 'sp_a' LEFT JOIN last c ON c.tid = t.tid AND c.species = 'sp_b'),
 told AS (SELECT *, coalesce(nullif(concat_ws('; ', CASE WHEN NOT in_prefilter THEN 'removed by prefilter' END, CASE WHEN NOT raw_sp_a AND NOT raw_sp_b THEN 'no disruption in any species' WHEN NOT raw_sp_a THEN 'no disruption in: sp_a' WHEN NOT raw_sp_b THEN 'no disruption in: sp_b' END), ''), 'unknown') AS reasons,
   CASE WHEN NOT in_prefilter THEN 'prefilter' WHEN NOT raw_sp_a AND NOT raw_sp_b THEN 'no_disruption' ELSE 'partial' END AS category FROM diag)"""
-_DIAGNOSE_TABLES = ("truth", "candidates", "proteins", "blocks")
+_DIAGNOSE_TABLES = ("truth", "candidates", "whitelist", "proteins", "blocks")
 
 
 def _diagnosis(e: Entities) -> DataFrame:
-    n = F.substring("tid", 2, 20).cast("long")
     kept = S.longest_per_symbol(e.proteins).where("status = 'kept'")
     text = F.col("text")
     blocks = e.blocks.select(F.when(F.col("line_no") % 2 == 0, "sp_a").otherwise("sp_b").alias("species"), F.regexp_replace(X.query_id(text), r"\.1$", "").alias("tid"), text.contains("X").alias("stop"), text.contains("!").alias("shift"), X.block_score(text).alias("score"), "line_no")
-    return V.diagnose_missing(e.truth, e.candidates.where(n % 3 == 0), e.candidates.where(n % 4 > 0), e.candidates.where(n % 5 > 0), blocks, e.proteins, kept, ("sp_a", "sp_b"))
+    return V.diagnose_missing(e.truth, S.keep_listed(e.candidates, e.whitelist), blocks.where("shift"), e.candidates, blocks, e.proteins, kept, ("sp_a", "sp_b"))
 
 
 @query("eva6_diagnose_missing", f"{_DIAGNOSE} SELECT * FROM told", *_DIAGNOSE_TABLES)

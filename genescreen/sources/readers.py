@@ -35,7 +35,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """line_no, header, id, seq, length of each record: its lines after the header joined, blanks around them dropped."""
     lines = F.split(F.regexp_replace("value", "\r", ""), "\n")
     header = F.trim(F.regexp_replace(F.get(lines, 0), "^>", ""))
-    rows = read_records(spark, path, "\n>").where(F.trim("value") != "").select("line_no", header.alias("header"), F.array_join(F.transform(F.slice(lines, 2, 1 << 30), F.trim), "").alias("seq"))
+    rows = read_records(spark, path, "\n>").where(F.trim("value") != "").select("line_no", header.alias("header"), F.array_join(F.transform(F.slice(lines, 2, 1 << 30), lambda x: F.trim(x)), "").alias("seq"))
     return rows.select("line_no", "header", F.regexp_extract("header", r"^(\S+)", 1).alias("id"), "seq", F.length("seq").cast("long").alias("length"))
 
 
@@ -54,14 +54,14 @@ def read_prediction_blocks(spark: SparkSession, path: str, delimiter: str = "any
     if delimiter == "anywhere":
         return read_records(spark, path, "//").where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").select(F.col("value").alias("text"), F.lit(True).alias("terminated"), "line_no")
     rows = read_records(spark, path, "\n//")
-    last = rows.groupBy("line_no.file").agg(F.max("line_no").alias("last"))
-    rows = rows.join(F.broadcast(last.select(F.col("last").alias("line_no"), F.lit(True).alias("is_last"))), "line_no", "left")  # a row a file
+    last = rows.groupBy("line_no.file").agg(F.max("line_no").alias("last"))  # a row a file; its size decides how it is joined
+    rows = rows.join(last.select(F.col("last").alias("line_no"), F.lit(True).alias("is_last")), "line_no", "left")
     return rows.select(F.regexp_replace("value", r"^[ \t\r]*\n", "").alias("text"), F.col("is_last").isNull().alias("terminated"), "line_no").where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
 
 
-def read_block_dir(spark: SparkSession, folder: str) -> DataFrame:
-    """Blocks of all non-empty *.gw.txt files of a folder in path order; a file's end ends its last block."""
-    rows = read_records(spark, folder, glob="*.gw.txt", whole=True).where(F.length("value") > 0)
+def read_block_dir(spark: SparkSession, folder: str, glob: str = "*.gw.txt") -> DataFrame:
+    """Blocks of all non-empty files of a folder whose names match, in path order; a file's end ends its last block."""
+    rows = read_records(spark, folder, glob=glob, whole=True).where(F.length("value") > 0)
     pieces = rows.select("line_no", F.posexplode(F.split("value", "//")).alias("k", "text"))
     return pieces.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "").select("text", F.struct(F.col("line_no.file").alias("file"), F.col("k").cast("long").alias("block"), F.lit(0).cast("long").alias("n")).alias("line_no"))
 
@@ -91,7 +91,7 @@ def read_mutation_counts(spark: SparkSession, path: str) -> DataFrame:
 def read_descriptions(spark: SparkSession, path: str) -> DataFrame:
     """key and text: the rest of the line after the first tab, tabs included; the last of a key counts."""
     parts = F.split("value", "\t", 2)
-    return last_of(read_records(spark, path).where(F.size(parts) == 2).select(F.trim(F.get(parts, 0)).alias("key"), F.get(parts, 1).alias("text"), "line_no"), "key")
+    return last_of(read_records(spark, path).where(F.size(parts) == 2).select(F.get(parts, 0).alias("key"), F.get(parts, 1).alias("text"), "line_no"), "key")
 
 
 def read_biotypes(spark: SparkSession, path: str) -> DataFrame:

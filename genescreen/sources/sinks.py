@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +9,9 @@ from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one where spark.checkpoint.dir is unset."""
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or where it is unset a folder of the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="genescreen-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{root or spark.conf.get('spark.sql.warehouse.dir').rstrip('/') + '/genescreen-intermediate'}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
