@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from genescreen.llm.common import ALNUM, complete_groups, documents, planes, read, split_words, stored, text_pieces, translated, unplaned
 
 #: Bytes of text whose n-grams are asked for together.
-BATCH = 1 << 23
+BATCH = 1 << 21
 #: Weight of the unigram model within the bigram model, in tokens, and count that every word has in the unigram model beforehand.
 MIX, ADD = 20.0, 0.1
 #: Hash of the mark before a document's first word.
@@ -150,7 +150,7 @@ def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     latter never of the target. Without documents in the target all scores are 0. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    n_parts = min(1 << 16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = min(1 << 16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     held = batches(docs)
     wanted = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     hits = held.select("batch", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted, "doc_id").groupBy("batch").agg(F.collect_list("place").alias("hits"))

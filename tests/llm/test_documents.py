@@ -345,7 +345,7 @@ def test_repeats_equal_brute_force(spark):
     substrings.BATCH, substrings.MANY = 1_500_000, 64
 
 
-@pytest.mark.parametrize("batch", [1 << 23, 5000])
+@pytest.mark.parametrize("batch", [1 << 21, 5000])
 def test_lm_query_equals_brute_force(spark, batch):
     docs = [(r.doc_id, decontaminate.words_of((r.text or "").encode())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     target = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
