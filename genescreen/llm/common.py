@@ -109,6 +109,20 @@ def unplaned(b: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Numbers that aren't negative in as many bytes each as the largest needs, by significance."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    """The numbers that packed() wrote, as unsigned 64-bit ones."""
+    rows = np.frombuffer(b, np.uint8)[1:].reshape(b[0], -1)
+    out = np.zeros((rows.shape[1], 8), np.uint8)
+    out[:, : b[0]] = rows.T
+    return out.reshape(-1).view("<u8")
+
+
 def map_docs(df: DataFrame, make: Callable[[np.ndarray, list[bytes | None]], dict | None], schema: str, extra: Callable | None = None) -> DataFrame:
     """Apply `make` to pieces of (doc_id, text) and return its columns (a dict of arrays or lists) as rows."""
     from pyspark.sql.types import StructType

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import ALNUM, complete_groups, documents, planes, read, split_words, stored, text_pieces, translated, unplaned
+from genescreen.llm.common import ALNUM, complete_groups, documents, packed, read, split_words, stored, text_pieces, translated, unpacked
 
 #: Bytes of text whose n-grams are asked for together.
 BATCH = 1 << 21
@@ -66,7 +66,7 @@ def batches(docs: DataFrame) -> DataFrame:
             ids, texts = (pa.concat_arrays(x) for x in zip(*held))
             sizes, at, words = split_words(translated(texts, ALNUM))
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
-            row = [[number], [ids.to_pylist()], [planes(sizes.astype("<u4"))], [hashes.tobytes()], [planes(at.astype("<u4"))]]
+            row = [[number], [ids.to_pylist()], [packed(sizes)], [hashes.tobytes()], [packed(at)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()))], ["batch", "doc_ids", "sizes", "words", "at"])
 
         for part, texts in text_pieces(parts, BATCH):
@@ -87,8 +87,8 @@ def _read(batch: pa.RecordBatch, n_parts: int) -> Iterator[tuple[int, list, np.n
         target = np.zeros(len(ids), bool)
         if batch.column("hits")[k].is_valid:
             target[batch.column("hits")[k].as_py()] = True
-        sizes = unplaned(batch.column("sizes")[k].as_py(), "<u4").astype(np.int64)
-        yield k, ids, target, Grams(np.frombuffer(batch.column("words")[k].as_py(), "<u8"), unplaned(batch.column("at")[k].as_py(), "<u4"), sizes, n_parts)
+        sizes = unpacked(batch.column("sizes")[k].as_py()).astype(np.int64)
+        yield k, ids, target, Grams(np.frombuffer(batch.column("words")[k].as_py(), "<u8"), unpacked(batch.column("at")[k].as_py()).astype(np.int32), sizes, n_parts)
 
 
 def _sums(marked: DataFrame, n_parts: int) -> DataFrame:
@@ -104,7 +104,7 @@ def _sums(marked: DataFrame, n_parts: int) -> DataFrame:
                 number, sums = batch.column("batch")[k].as_py(), [grams.counts(x) for x in (target, np.ones(len(ids), bool))]
                 part = (grams.code >> np.uint64(48)).astype(np.int64)
                 starts = np.flatnonzero(np.diff(part, prepend=-1))
-                out = [(int(part[a]), number, planes(np.diff(grams.code[a:b] & _LOW, prepend=np.uint64(0))), *(planes(x[a:b].astype("<u4")) for x in sums)) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)])]
+                out = [(int(part[a]), number, packed(np.diff(grams.code[a:b] & _LOW, prepend=np.uint64(0))), *(packed(x[a:b]) for x in sums)) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)])]
                 columns = list(zip(*out)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["part", "batch", "codes", "target", "whole"])
 
@@ -114,16 +114,16 @@ def _sums(marked: DataFrame, n_parts: int) -> DataFrame:
         types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
         names = ["batch", "part", "target", "whole", "n_words", "n_target", "n_whole"]
         for group in complete_groups(rows, ["part"]):
-            codes = [np.cumsum(unplaned(x, "<u8")) for x in group["codes"].to_pylist()]
+            codes = [np.cumsum(unpacked(x)) for x in group["codes"].to_pylist()]
             distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-            sums = [np.bincount(place, np.concatenate([unplaned(x, "<u4") for x in group[c].to_pylist()]), len(distinct)).astype("<u8") for c in ("target", "whole")]
+            sums = [np.bincount(place, np.concatenate([unpacked(x) for x in group[c].to_pylist()]), len(distinct)).astype("<u8") for c in ("target", "whole")]
             word = (distinct & np.uint64(1) == 0) & (distinct != start)
             part, at = group["part"][0].as_py(), 0
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, part, None, None, int(word.sum()), *(int(s[word].sum()) for s in sums)), types)], names)
             for number, own in zip(group["batch"].to_pylist(), map(len, codes)):
                 mine = place[at : at + own]
                 at += own
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number, part, *(planes(s[mine]) for s in sums), None, None, None), types)], names)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number, part, *(packed(s[mine]) for s in sums), None, None, None), types)], names)
 
     asked = marked.mapInArrow(ask, "part int, batch long, codes binary, target binary, whole binary").repartition("part").sortWithinPartitions("part")
     return stored(asked.mapInArrow(answer, "batch long, part int, target binary, whole binary, n_words long, n_target long, n_whole long"))
@@ -171,7 +171,7 @@ def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
                 own_context = np.where(first, 1, np.concatenate([[0], own_word[:-1]])[: len(first)])
                 for side, of, by in (("target", target, 1.0), ("whole", np.ones(len(ids), bool), scale)):
                     counts = np.empty(len(grams.order))
-                    counts[grams.order] = np.concatenate([unplaned(x[side], "<u8") for x in found]) if found else 0
+                    counts[grams.order] = np.concatenate([unpacked(x[side]) for x in found]) if found else 0
                     mine = of[doc]
                     loss = _losses(counts[n:][grams.pair] - mine * own_pair, counts[grams.before] - mine * own_context, counts[grams.at] - mine * own_word, tokens[side == "whole"] - (of * grams.sizes)[doc], n_words, by)
                     losses.append(np.bincount(doc, loss, len(ids)) / np.maximum(1, grams.sizes))

@@ -18,7 +18,7 @@ from genescreen.llm.common import documents, read, split_words, stored, taken, t
 #: For each tokenizer file what a worker has loaded and met: token ids (little-endian unsigned 32 bits) of parts of chunks.
 _CACHES: dict[str, tuple] = {}
 #: Parts beyond which a cache is emptied but for what the batch at hand needs.
-CACHED = 800_000
+CACHED = 250_000
 #: ASCII punctuation but for what may begin or end a special token or a contraction.
 _PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genescreen.llm.common import LOWER, complete_groups, complete_tables, doc_batches, documents, map_docs, read, stored
-from genescreen.llm.decontaminate import gram_hashes, id_filter, in_filter, word_hashes
+from genescreen.llm.decontaminate import _KNOWN, gram_hashes, id_filter, in_filter, word_hashes
 from genescreen.llm.graph import components
 
 #: Groups of more members than this are compared in blocks by several tasks.
@@ -23,8 +23,6 @@ SMALL = 32
 SHARD, HUBS = 1024, 8
 #: Chance with which two texts at the least similarity meet.
 RECALL = 0.98
-#: Word hashes that a worker has met.
-_KNOWN: dict[bytes, int] = {}
 
 
 def fingerprint(text: bytes | None, width: int) -> int:

@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genescreen.llm.common import complete_groups, documents, planes, read, stored, unplaned
-from genescreen.llm.decontaminate import gram_hashes, word_hashes
+from genescreen.llm.decontaminate import _KNOWN, gram_hashes, word_hashes
 
-#: Word hashes that a worker has met.
-_KNOWN: dict[bytes, int] = {}
 #: Places of one anchor in one batch from which on they are taken as repeated without asking other batches.
 MANY = 64
 #: Words of text that are compared with each other before they are sent.
