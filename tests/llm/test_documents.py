@@ -119,6 +119,16 @@ def test_components(spark):
     edges = [(5, 4), (4, 3), (9, 8), (3, 1), (7, 7), *[(k, 100) for k in range(101, 140)]]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {5: 1, 4: 1, 3: 1, 1: 1, 9: 8, 8: 8} | {k: 100 for k in range(100, 140)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_links_in_many_pieces(spark):
+    rng = np.random.default_rng(8)
+    order = rng.permutation(600)
+    edges = [(int(a), int(b)) for a, b in zip(order[:200], order[1:201])] + [(int(order[300]), int(k)) for k in order[301:500]]  # a path and a star
+    edges = [edges[k] for k in rng.permutation(len(edges))]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()))
+    assert got == {int(k): int(min(group)) for group in (order[:201], order[300:500]) for k in group}
 
 
 @pytest.mark.parametrize("k", [5, 9])
