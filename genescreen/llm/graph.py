@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from genescreen.llm.common import stored
 
-#: Links that a task contracts at once.
-PIECE = 1_000_000
+#: Links that a task contracts at once, 16 bytes each.
+PIECE = 500_000
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,15 +56,16 @@ def _settled(links: DataFrame) -> bool:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Smallest node reachable from each node of (a, b) links, as (node, root); nodes without a link are absent.
 
-    Each task turns the links that it reads into stars. Until these are stars as a whole, a round takes a large-star and a small-star
+    Tasks of about PIECE links each turn these into stars. Until they are stars as a whole, a round takes a large-star and a small-star
     step (Kiveris et al. 2014) over all links, each a grouped minimum and a join. A node with very many neighbours is only ever
     aggregated map-side or joined, never gathered in one task. Each step is written to the shared folder before another one reads it
     twice. An empty table gives an empty one; a = b is ignored.
     """
     links = stored(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
     for _ in range(most_rounds):
-        links = stored(links.mapInArrow(_contracted, "a long, b long"))
-        if _settled(links):
+        n_tasks = -(-max(1, links.count()) // PIECE)
+        links = stored(links.coalesce(n_tasks).mapInArrow(_contracted, "a long, b long"))
+        if n_tasks == 1 or _settled(links):
             break
         # large-star: each node's larger neighbours point to the smallest of its neighbours and itself
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

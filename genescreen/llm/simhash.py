@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from genescreen.llm.common import LOWER, complete_groups, complete_tables, doc_batches, documents, map_docs, read, stored
 from genescreen.llm.decontaminate import _KNOWN, gram_hashes, id_filter, in_filter, word_hashes
-from genescreen.llm.graph import components
+from genescreen.llm.graph import components, stars
 
 #: Groups of more members than this are compared in blocks by several tasks.
 BLOCK = 8192
@@ -119,7 +119,8 @@ def links(fps: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
 
     fps: node (long, distinct) and fp, a fingerprint's segments of `sizes` bits as unsigned 32-bit numbers. Of two segments that differ in
     one bit at most one half is the same in both, so a fingerprint is sent once for each half of each segment, keyed by that half; there
-    the other half's one-wildcard variants are indexed, joined by equality, and what meets is verified on all bits. Groups of over
+    the other half's one-wildcard variants are indexed, joined by equality, and what meets is verified on all bits. A task returns stars
+    of what its groups link, a row a node at most, not the pairs. Groups of over
     BLOCK members are dealt to blocks by hash, each pair of blocks to one task, so no task holds more than about two blocks of a group.
     """
     halves = [(s, low, size // 2 if low else size - size // 2, 0 if low else size // 2) for s, size in enumerate(sizes) for low in (1, 0)]  # segment, its low half?, bits, shift
@@ -155,11 +156,14 @@ def links(fps: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
         for table in complete_tables(batches, ["key", "i", "j"]):
             key, i, j, block, node = (table[c].to_numpy() for c in ("key", "i", "j", "block", "node"))
             fp, group = segments_of(table["fp"]), np.cumsum((np.diff(key, prepend=0) != 0) | (np.diff(i, prepend=0) != 0) | (np.diff(j, prepend=0) != 0))
+            found = []
             for k in np.unique(key >> 32).tolist():  # rows of one half of one segment
                 own = np.flatnonzero(key >> 32 == k)
                 pairs = _meeting(fp[own], group[own], half(fp[own], k ^ 1), halves[k ^ 1][2], (i != j)[own], (i != j)[own] & (block == j)[own], max_bits)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[own][pairs // len(own)]), pa.array(node[own][pairs % len(own)])], ["a", "b"])
+                found.append(np.stack([node[own][pairs // len(own)], node[own][pairs % len(own)]]))
+            a, b = stars(*np.concatenate(found, axis=1))
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return met.mapInArrow(near, "a long, b long")
 
@@ -285,13 +289,14 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     made = docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(again, "first_doc long, node long, grams array<long>")
     sets = stored(members.join(made, ["first_doc", "node"]).dropDuplicates(["node"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("n_shards"))))
 
-    def compare(keys: list[str], across: bool):
+    def compare(keys: list[str]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for group in complete_groups(batches, keys):
                 node = group["node"].to_numpy()
                 fp = np.frombuffer(b"".join(group["fp"].to_pylist()), "<u4").reshape(len(node), n_segments)
                 grams = [np.asarray(x.values) for x in group["grams"]]
-                side = group["side"].to_numpy(zero_copy_only=False) if across else None
+                apart = "side" in group and group["i"][0] != group["j"][0]
+                side = group["side"].to_numpy(zero_copy_only=False) if apart else None
                 found = _similar(node, fp, grams, group["label"].to_numpy(), side, max_bits, least)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
@@ -303,7 +308,7 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     hubs = hubs.select("n_shards", F.explode(F.array_distinct(F.array(*[f"hub_{k}" for k in range(HUBS)]))).alias("node"))
     dealt = sets.select(*columns, "shard").unionByName(sets.join(hubs.select("node", F.col("n_shards").alias("n")), "node").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1).cast("array<long>"))).select(*columns, "shard")).dropDuplicates(["node", "shard"])
     dealt = dealt.withColumn("label", F.col("node")).repartition("cluster", "shard").sortWithinPartitions("cluster", "shard")
-    found = stored(dealt.mapInArrow(compare(["cluster", "shard"], False), "a long, b long"))
+    found = stored(dealt.mapInArrow(compare(["cluster", "shard"]), "a long, b long"))
 
     # clusters of several shards: what isn't of the cluster's largest component meets all the rest of it
     labels = sets.where("n_shards > 1").select("cluster", "node").join(stored(components(found)), "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("label"))
@@ -319,8 +324,7 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     from_main = F.transform(F.sequence(F.lit(0), n_rest - 1), lambda k: task(k, n_rest + own, F.lit(True)))
     shaped = shaped.withColumn("task", F.explode(F.when(F.col("side"), from_main).otherwise(F.concat(with_rest, with_main)))).select("node", "label", "task.*")
     shaped = sets.select(*columns).join(shaped, "node").withColumnRenamed("second", "side").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    same, other = shaped.where("i = j"), shaped.where("i <> j")
-    again_found = same.mapInArrow(compare(["cluster", "i", "j"], False), "a long, b long").unionByName(other.mapInArrow(compare(["cluster", "i", "j"], True), "a long, b long"))
+    again_found = shaped.mapInArrow(compare(["cluster", "i", "j"]), "a long, b long")
 
     roots = stored(components(found.unionByName(again_found)))
     named = nodes.join(roots, "node", "left").select("node", "first_doc", F.coalesce("root", "node").alias("root"))
