@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from genescreen.llm import alignment as _op11
 from genescreen.llm import decontaminate as _op5
 from genescreen.llm import language as _op3
 from genescreen.llm import licenses as _op9
 from genescreen.llm import line_dedup as _op4
 from genescreen.llm import lm_score as _op1
+from genescreen.llm import merkle as _op12
 from genescreen.llm import packing as _op10
+from genescreen.llm import sentencepieces as _op13
 from genescreen.llm import simhash as _op2
 from genescreen.llm import substrings as _op6
 from genescreen.llm import toxicity as _op7
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_embedding_near_dedup": _op8.op8_embedding_near_dedup,
     "op9_license_scan": _op9.op9_license_scan,
     "op10_packing": _op10.op10_packing,
+    "op11_token_alignment": _op11.op11_token_alignment,
+    "op12_merkle_manifest": _op12.op12_merkle_manifest,
+    "op13_sentencepiece": _op13.op13_sentencepiece,
 }
 
 ORACLES = {
@@ -32,4 +38,5 @@ ORACLES = {
     "op6_substring_dedup": _op6.OP6_SQL,
     "op8_embedding_near_dedup": _op8.OP8_SQL,
     "op9_license_scan": _op9.OP9_SQL,
+    "op12_merkle_manifest": _op12.OP12_SQL,
 }
