@@ -1,4 +1,4 @@
-"""SentencePiece ids of whole texts and back, by a table of distinct chunks."""
+"""SentencePiece ids of whole texts and back, by tables of distinct chunks."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.chunks import BATCH, opened, rejoined, split_chunks, squeezed, text_batches
-from genescreen.llm.common import documents, read, stored, taken
+from genescreen.llm.chunks import BATCH, split_chunks, text_batches
+from genescreen.llm.common import documents, read, taken
 
 #: White space as pieces write it.
 MARKER = "\u2581"
@@ -49,67 +49,49 @@ def segmented(chunks: list[str], path: str) -> list[list[int]]:
     return [[marker] if c == " " else x if c[0] == " " else x[1:] for c, x in zip(chunks, ids)]
 
 
-def _coder(most: int):
-    """Batches of documents as places of chunks among the batch's distinct ones."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, texts in text_batches(batches, most):
-            counts, at, distinct = split_chunks(pc.replace_substring(texts, MARKER, " "))
-            columns = [pa.array([number], pa.int64()), *(pa.ListArray.from_arrays([0, len(x)], x) for x in (ids, distinct)), *(pa.array([squeezed(x)], pa.binary()) for x in (counts, at))]
-            yield pa.RecordBatch.from_arrays(columns, ["batch", "docs", "chunks", "counts", "places"])
-
-    return run
-
-
-def chunk_table(coded: DataFrame, path: str) -> DataFrame:
-    """chunk, ids, plain: each distinct chunk of the coded batches once, with its ids and the text that these decode to."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, marker = model(path)
-        for batch in batches:
-            ids = segmented(batch.column("chunk").to_pylist(), path)
-            plain = found.decode([[marker, *x] for x in ids], num_threads=1)  # the marker in front is what decoding drops
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, pa.list_(pa.int32())), pa.array(plain, pa.string())], ["chunk", "ids", "plain"])
-
-    return coded.select(F.explode("chunks").alias("chunk")).distinct().mapInArrow(run, "chunk string, ids array<int>, plain string")
-
-
-def _flat(x: pa.ListArray | pa.StringArray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values, and where the entries begin in them and how long they are."""
-    offsets = np.frombuffer(x.buffers()[1], np.int32)[x.offset : x.offset + len(x) + 1].astype(np.int64)
+def _flat(x: pa.Array, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, and where the entries of a list or string array begin in them and how long they are."""
+    offsets = np.frombuffer(x.buffers()[1], np.int32)[: len(x) + 1].astype(np.int64)
     return values, offsets[:-1], np.diff(offsets)
 
 
-def _texts(own: dict, found: dict) -> Iterator[pa.RecordBatch]:
-    """Ids and decoded texts of a batch's documents, from those of its chunks by place."""
-    counts, at = opened(own["counts"].as_py()), opened(own["places"].as_py())
-    first = (np.cumsum(counts) - counts)[counts > 0]
-    ids, starts, sizes = _flat(found["ids"], found["ids"].values.to_numpy())
-    n_ids = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], np.cumsum(counts)])]
-    ids = pa.ListArray.from_arrays(pa.array(n_ids, pa.int32()), pa.array(taken(ids, starts[at], sizes[at]), pa.int32()))
-    data = found["plain"].buffers()[2]
-    plain, starts, sizes = _flat(found["plain"], np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8))
-    starts, sizes = starts[at], sizes[at]
-    starts[first] += 1  # the space put in front
-    sizes[first] -= 1
-    n_bytes = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-    texts = pa.StringArray.from_buffers(len(counts), pa.py_buffer(n_bytes.astype(np.int32)), pa.py_buffer(taken(plain, starts, sizes)))
-    yield pa.RecordBatch.from_arrays([own["docs"].values, ids, texts], ["doc_id", "ids", "decoded"])
+def chunk_table(distinct: pa.Array, path: str) -> tuple[pa.Array, pa.Array]:
+    """Ids of each distinct chunk, segmented once, and the text that these decode to."""
+    found, marker = model(path)
+    ids = segmented(distinct.to_pylist(), path)
+    plain = found.decode([[marker, *x] for x in ids], num_threads=1)  # the marker in front is what decoding drops
+    return pa.array(ids, pa.list_(pa.int32())), pa.array(plain, pa.string())
 
 
 def encode(docs: DataFrame, path: str, batch: int = BATCH) -> DataFrame:
     """doc_id, ids, decoded: every whole text's ids, as the library encodes it, and the text that they decode to.
 
-    For models whose pieces cross no white space. Batches of documents are written as places of chunks among the batch's distinct
-    ones. All batches' distinct chunks make one table, each segmented once; it meets the batches' chunks by equality, and ids are
-    joined by place within each batch. A chunk that every batch has is one row a batch, which Spark splits if it is too many.
+    For models whose pieces cross no white space. Texts are cut into chunks of white space and what follows. The distinct chunks of
+    about `batch` bytes of text make a table, each segmented and decoded once; ids and decoded bytes are joined back by place.
+    Nothing is shuffled or kept from batch to batch, so memory is that of a batch, or of a single longer text.
     A null or empty text has no ids and decodes to an empty one. Repeated rows and rows of null doc_id stay, each for itself. An empty
     table gives an empty one. Other columns don't matter.
     """
-    coded = stored(documents(docs).mapInArrow(_coder(batch), "batch long, docs array<long>, chunks array<string>, counts binary, places binary"))
-    table = stored(chunk_table(coded, path))
-    entries = coded.select("batch", F.posexplode("chunks").alias("code", "chunk")).join(table, "chunk").select("batch", "code", "ids", "plain")
-    return rejoined(coded.select("batch", "docs", "counts", "places"), entries, _texts, "doc_id long, ids array<int>, decoded string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, doc_ids, texts in text_batches(batches, batch):
+            counts, at, distinct = split_chunks(pc.replace_substring(texts, MARKER, " "))
+            of_ids, of_plain = chunk_table(distinct, path)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            first = ends[:-1][counts > 0]
+            ids, starts, sizes = _flat(of_ids, of_ids.values.to_numpy())
+            n_ids = np.concatenate([[0], np.cumsum(sizes[at])])[ends]
+            lists = pa.ListArray.from_arrays(pa.array(n_ids, pa.int32()), pa.array(taken(ids, starts[at], sizes[at]), pa.int32()))
+            data = of_plain.buffers()[2]
+            plain, starts, sizes = _flat(of_plain, np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8))
+            starts, sizes = starts[at], sizes[at]
+            starts[first] += 1  # the space put in front
+            sizes[first] -= 1
+            n_bytes = np.concatenate([[0], np.cumsum(sizes)])[ends]
+            decoded = pa.StringArray.from_buffers(len(counts), pa.py_buffer(n_bytes.astype(np.int32)), pa.py_buffer(taken(plain, starts, sizes)))
+            yield pa.RecordBatch.from_arrays([doc_ids, lists, decoded], ["doc_id", "ids", "decoded"])
+
+    return documents(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
