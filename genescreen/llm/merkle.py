@@ -203,7 +203,7 @@ def manifest(docs: DataFrame, changed: Column | None = None, fanout: int = FANOU
     Leaves are ordered by source and doc_id, rows that share both by their digests. While a source has several nodes, each `fanout`
     successive ones become their parent; a lone leaf is its source's subroot itself. Subroots in order of source, null first, make the
     root in the same way. `changed` is a text in place of the row's own, evaluated with it.
-    Texts are hashed where they are read; what is shuffled after are digests. Sweeps go `levels` levels up at a time over blocks of
+    Texts are hashed once, where they are read; what is written, sampled for ranges and shuffled are digests. Sweeps go `levels` levels up at a time over blocks of
     nodes, and down again with the proofs of the blocks' tops, so a source of any size is dealt to many tasks.
     Null values are `-`; rows of null doc_id come first. Repeated rows are leaves of their own. An empty table gives an empty one. Other
     columns don't matter.
@@ -211,7 +211,7 @@ def manifest(docs: DataFrame, changed: Column | None = None, fanout: int = FANOU
     names = ["doc_id", "source", "lang", "n_chars", "text"]
     rows = docs.select(*names)
     after = F.lit(None).cast("binary") if changed is None else F.when(changed.isNotNull(), leaf(changed))
-    leaves = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("tree"), leaf(F.col("text")).alias("digest"), after.alias("changed"))
+    leaves = stored(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("tree"), leaf(F.col("text")).alias("digest"), after.alias("changed")))
     nodes = grow(stored(ranked(leaves, "tree", ["doc_id", "digest"])), fanout, levels)
     tops = nodes[-1].select(F.lit("").alias("all"), F.col("tree").alias("source"), "digest")
     sources = ranked(tops, "all", ["source"]).select(F.col("all").alias("tree"), "at", "n", "digest", "source")
