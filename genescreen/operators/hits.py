@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genescreen.sources.sinks import stored
+
 
 def hit_metrics(hits: DataFrame) -> DataFrame:
     """qcov and ident of hits with positive lengths; the others are dropped."""
@@ -42,54 +48,129 @@ def safe_id(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("safe_id", F.regexp_replace(column, "[^A-Za-z0-9_.-]", "_"))
 
 
-def locus_clusters(hits: DataFrame, target_gap: int = 10_000) -> DataFrame:
+def reach_before(rows: DataFrame, keys: list[str], start: str, end: str, size: int) -> DataFrame:
+    """The rows with `tile` and `reach`: the furthest end of all rows before one in order of start and end within its keys (null: none is).
+
+    A prefix maximum on two levels: rows are dealt by keys and tile (starts within `size` of each other), each tile's furthest end is
+    taken map-side, a scan over these, a row a tile, says what reaches each tile from the ones before, and that joins its rows as one
+    more row in front. So a group of any size spreads over its tiles.
+    """
+    tiled = rows.withColumn("tile", F.floor(F.col(start) / size).cast("long"))
+    scan = Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+    far = tiled.groupBy(*keys, "tile").agg(F.max(end).alias("far")).withColumn("reach", F.max("far").over(scan)).where("reach is not null")
+    both = tiled.withColumn("carried", F.lit(False)).unionByName(far.select(*keys, "tile", F.col("reach").alias(end), F.lit(True).alias("carried")), allowMissingColumns=True)
+    place = Window.partitionBy(*keys, "tile").orderBy(F.desc("carried"), start, end)
+    return both.withColumn("reach", F.max(end).over(place.rowsBetween(Window.unboundedPreceding, -1))).where("not carried").drop("carried")
+
+
+def islands(rows: DataFrame, keys: list[str], start: str, end: str, gap: int, size: int, name: str) -> DataFrame:
+    """The rows with the number of their island within their keys, from 1: a new one starts beyond the furthest end so far plus the gap.
+
+    Numbers are counted within tiles of `size` and added up over tiles, a row a tile. Rows without keys or places are left out; the
+    gap isn't negative.
+    """
+    opens = F.coalesce((F.col(start) > F.col("reach") + gap).cast("long"), F.lit(1).cast("long"))
+    flagged = reach_before(rows, keys, start, end, size).withColumn("opens", opens)
+    scan = Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+    first = flagged.groupBy(*keys, "tile").agg(F.sum("opens").alias("own")).withColumn("first", F.coalesce(F.sum("own").over(scan), F.lit(0))).drop("own")
+    within = Window.partitionBy(*keys, "tile").orderBy(start, end)  # rows of one place together: only one of them can open an island
+    return flagged.join(first, [*keys, "tile"]).withColumn(name, F.sum("opens").over(within) + F.col("first")).drop("tile", "reach", "opens", "first")
+
+
+def locus_clusters(hits: DataFrame, target_gap: int = 10_000, tile: int = 1 << 20) -> DataFrame:
     """Hits with their locus number within query and contig: a new one starts beyond the furthest end so far plus the gap."""
-    place = Window.partitionBy("qname", "tname").orderBy("tstart", "tend")
-    reach = F.max("tend").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    new = (F.col("tstart") > F.coalesce(reach, F.col("tstart") - target_gap - 1) + target_gap).cast("long")
-    return hits.withColumn("new_locus", new).withColumn("locus", F.sum("new_locus").over(place.rowsBetween(Window.unboundedPreceding, 0))).drop("new_locus")
+    return islands(hits, ["qname", "tname"], "tstart", "tend", target_gap, tile, "locus")
+
 
+def merged_query_coverage(loci: DataFrame, tile: int = 1 << 14) -> DataFrame:
+    """Per locus the share of the query that its hits cover together; gaps and islands over query intervals, touching ones merged.
 
-def merged_query_coverage(loci: DataFrame) -> DataFrame:
-    """Per locus the share of the query that its hits cover together; gaps and islands over query intervals, touching ones merged."""
-    place = Window.partitionBy("qname", "tname", "locus").orderBy("qstart", "qend")
-    reach = F.max("qend").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    # what a hit adds beyond the furthest end so far; its interval starts no earlier than those before it
-    added = F.greatest(F.lit(0), F.col("qend") - F.greatest(F.col("qstart"), F.coalesce(reach, F.col("qstart"))))
-    return loci.withColumn("added", added).groupBy("qname", "tname", "locus").agg((F.sum("added") / F.max("qlen")).alias("cov"), F.max("qlen").alias("qlen"), F.count("*").alias("n_hits"))
+    Of hits that start at one place of the query only the furthest counts, so a locus has at most qlen rows after a map-side maximum.
+    """
+    key = ["qname", "tname", "locus"]
+    starts = loci.groupBy(*key, "qstart").agg(F.max("qend").alias("qend"), F.max("qlen").alias("qlen"), F.count("*").alias("n"))
+    # what an interval adds beyond the furthest end so far; it starts no earlier than those before it
+    added = F.greatest(F.lit(0), F.col("qend") - F.greatest(F.col("qstart"), F.coalesce("reach", "qstart")))
+    rows = reach_before(starts, key, "qstart", "qend", tile).withColumn("added", added)
+    return rows.groupBy(*key).agg((F.sum("added") / F.max("qlen")).alias("cov"), F.max("qlen").alias("qlen"), F.sum("n").alias("n_hits"))
 
 
-def functional_redundancy(hits: DataFrame, copy_cov: float = 0.8, target_gap: int = 10_000, **thresholds) -> DataFrame:
+def functional_redundancy(hits: DataFrame, copy_cov: float = 0.8, target_gap: int = 10_000, tile: int = 1 << 20, **thresholds) -> DataFrame:
     """Per query with a passing hit: best_cov, best_id, full_copy_count (loci that cover copy_cov of it), redundant (two or more)."""
     passing = filter_hits(hits, **thresholds).select("qname", "tname", "tstart", "tend", "qstart", "qend", "qlen", "qcov", "ident")
-    # loci and best values come from one pass: the windows' partitioning by query and contig serves both aggregations
-    loci = locus_clusters(passing, target_gap)
+    loci = locus_clusters(passing, target_gap, tile)
     copies = merged_query_coverage(loci).groupBy("qname").agg(F.count_if(F.col("cov") >= copy_cov).alias("full_copy_count"))
     best = passing.groupBy("qname").agg(F.max("qcov").alias("best_cov"), F.max("ident").alias("best_id"))
     return best.join(copies, "qname").select(F.col("qname").alias("query"), "best_cov", "best_id", "full_copy_count", (F.col("full_copy_count") >= 2).alias("redundant"))
 
 
-def hit_multiplicity(hits: DataFrame, order: list[str], overlap_frac: float = 0.5, max_hits: int = 1, **thresholds) -> DataFrame:
-    """Per query its best hit (largest nmatch, first by `order`), and how many hits a greedy scan by place leaves apart.
+def _fold(batches: Iterator[pa.RecordBatch], overlap_frac: float, part: int | None, with_rows: bool) -> Iterator[pa.RecordBatch]:
+    """Hits in order of query, contig and place, and after each stretch of one query and contig a row with what the scan left.
 
-    The scan goes over (tname, tstart, tend); a hit whose overlap with the current merged interval is under `overlap_frac` of the
-    shorter one opens a new interval, else it extends it. A contig always opens one, and so does a hit that starts where all before it
-    have ended; so each island of hits is folded by itself, and no row holds more than one. overlap_frac is above 0.
+    A hit whose overlap with the current interval is under overlap_frac of the shorter one opens a new interval, else it extends it.
+    A batch may bring the interval (s, e) that a stretch starts with. Only the current interval is held.
     """
+    names = ["part", "qname", "tname", "tstart", "tend", "stretch", "n", "s", "e", "used_s", "used_e"]
+    types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 5]
+    key, state = None, ()
+
+    def ended(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+
+    for batch in batches:
+        rows, left = [], []
+        columns = [batch.column(c).to_pylist() for c in batch.schema.names]
+        for at, q, t, start, end, s0, e0 in zip(*columns):
+            if (at, q, t) != key:
+                if key:
+                    left.append((part if part is not None else key[0], *key[1:], None, None, True, *state))
+                key, (n, s, e, used_s, used_e) = (at, q, t), (0, s0, e0, s0, e0)
+            overlap = -1.0 if e is None else max(0, min(e, end) - max(s, start)) / max(1, min(e - s, end - start))
+            if overlap < overlap_frac:
+                n, s, e = n + 1, start, end
+            else:
+                e = max(e, end)
+            state = (n, s, e, used_s, used_e)
+        if with_rows and batch.num_rows:
+            blank = [pa.nulls(batch.num_rows, pa.int64())] * 5
+            own = pa.array([part] * batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([own, *(batch.column(c) for c in names[1:5]), pa.array([False] * batch.num_rows), *blank], names)
+        if left:
+            yield ended(left)
+    if key:
+        yield ended([(part if part is not None else key[0], *key[1:], None, None, True, *state)])
+
+
+def greedy_counts(hits: DataFrame, overlap_frac: float = 0.5) -> DataFrame:
+    """qname, hit_count: how many intervals a greedy scan over (tname, tstart, tend) leaves of each query's hits; a contig starts anew.
+
+    Hits are dealt by ranges of query, contig and place and each task folds its own, so a query of any size, and an island of hits that
+    overlap on end, spread over tasks, and no row holds more than a hit. Where a task goes on with another's query and contig the fold
+    started without the interval that comes in. Such stretches are folded again with what the one before left, in rounds, until each
+    one had what came in. A stretch mostly forgets what came in within a few hits, so one round is common.
+    """
+    order = ["qname", "tname", "tstart", "tend"]
+    fields = "part int, qname string, tname string, tstart long, tend long, stretch boolean, n long, s long, e long, used_s long, used_e long"
+    none = F.lit(None).cast("long")
+    dealt = hits.select(*[F.col(c).cast("long" if c in ("tstart", "tend") else "string").alias(c) for c in order]).repartitionByRange(*order).sortWithinPartitions(*order)
+    first = dealt.select(F.lit(0).alias("part"), *order, none.alias("s0"), none.alias("e0"))
+    held = stored(first.mapInArrow(lambda batches: _fold(batches, overlap_frac, TaskContext.get().partitionId(), True), fields))
+    keys, state = ["part", "qname", "tname"], ["n", "s", "e", "used_s", "used_e"]
+    stretches = held.where("stretch").select(*keys, *state)
+    chain = Window.partitionBy("qname", "tname").orderBy("part")
+    while True:
+        come = stretches.withColumn("s0", F.lag("s").over(chain)).withColumn("e0", F.lag("e").over(chain))
+        again = stored(come.where(~(F.col("s0").eqNullSafe(F.col("used_s")) & F.col("e0").eqNullSafe(F.col("used_e")))).select(*keys, "s0", "e0"))
+        if again.isEmpty():
+            return stretches.groupBy("qname").agg(F.sum("n").alias("hit_count"))
+        rows = held.where("not stretch").select(*keys, "tstart", "tend").join(again, keys).select(*keys, "tstart", "tend", "s0", "e0")
+        folded = rows.repartition(*keys).sortWithinPartitions(*keys, "tstart", "tend").mapInArrow(lambda batches: _fold(batches, overlap_frac, None, False), fields)
+        stretches = stored(stretches.join(again.select(*keys), keys, "left_anti").unionByName(folded.select(*keys, *state)))
+
+
+def hit_multiplicity(hits: DataFrame, order: list[str], overlap_frac: float = 0.5, max_hits: int = 1, **thresholds) -> DataFrame:
+    """Per query its best hit (largest nmatch, first by `order`), and how many hits a greedy scan by place leaves apart."""
     passing = filter_hits(hits, **thresholds)
-    place = Window.partitionBy("qname", "tname").orderBy("tstart", "tend")
-    reach = F.max("tend").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    apart = passing.select("qname", "tname", "tstart", "tend", F.coalesce((F.col("tstart") >= reach).cast("long"), F.lit(1).cast("long")).alias("opens"))
-    islands = apart.withColumn("island", F.sum("opens").over(place.rowsBetween(Window.unboundedPreceding, 0)))
-    folded = islands.groupBy("qname", "tname", "island").agg(F.array_sort(F.collect_list(F.struct("tstart", "tend"))).alias("spans"))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("e"))
-
-    def step(acc, x):
-        overlap = F.greatest(F.lit(0), F.least(acc.e, x.tend) - F.greatest(acc.s, x.tstart))
-        shorter = F.greatest(F.lit(1), F.least(acc.e - acc.s, x.tend - x.tstart))
-        opens = acc.e.isNull() | (overlap / shorter < overlap_frac)
-        return F.struct((acc.n + opens.cast("long")).alias("n"), F.when(opens, x.tstart).otherwise(acc.s).alias("s"), F.when(opens, x.tend).otherwise(F.greatest(acc.e, x.tend)).alias("e"))
-
-    counts = folded.select("qname", F.aggregate("spans", start, step, lambda acc: acc.n).alias("n")).groupBy("qname").agg(F.sum("n").alias("hit_count"))
+    counts = greedy_counts(passing, overlap_frac)
     best = passing.groupBy("qname").agg(F.min_by(F.struct(F.col("qcov").alias("best_cov"), F.col("ident").alias("best_id"), F.col("alen").alias("best_alen"), F.col("tname").alias("best_tname"), F.col("tstart").alias("best_tstart"), F.col("tend").alias("best_tend")), F.struct(-F.col("nmatch"), *order)).alias("x"))
     return best.join(counts, "qname").select(F.col("qname").alias("query"), "x.*", "hit_count", F.col("hit_count").between(1, max_hits).alias("passes"))
