@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genescreen.functions.sequences import first_mutation, flank_identities, positional_identity
@@ -26,16 +27,22 @@ def candidate_features(unitary: DataFrame, counts: DataFrame, alignments: DataFr
 def threshold_suggestions(features: DataFrame, aln: tuple = (50.0, 100.0, 150.0, 200.0), cov: tuple = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8), ident: tuple = (0.3, 0.4, 0.5, 0.6, 0.7)) -> DataFrame:
     """Per combination of thresholds, what of the truth among multi-disruption candidates is kept and what of the rest is dropped.
 
-    The grid is fixed by its parameters and goes to the rows; a task's rows are counted per combination before anything is shuffled.
+    A cumulative cube: each candidate is in one cell, that of how many thresholds of each kind it reaches. Cells are counted map-side
+    and their sums over all cells from one on, kind by kind, are what reaches a combination. Sizes follow from the thresholds alone.
     """
     spark = features.sparkSession
-    grid = spark.createDataFrame(list(product(aln, cov, ident)), "min_aln_len double, min_cov double, min_id double")
-    rows = features.where("multi").crossJoin(F.broadcast(grid))
-    keeps = (F.col("align_len") >= F.col("min_aln_len")) & (F.col("coverage") >= F.col("min_cov")) & (F.col("identity") >= F.col("min_id"))
-    sums = rows.groupBy("min_aln_len", "min_cov", "min_id").agg(
-        F.count_if(F.col("in_ref") & keeps).alias("ref_kept"), F.count_if("in_ref").alias("ref_total"), F.count_if(~F.col("in_ref") & ~keeps).alias("nonref_dropped"), F.count_if(~F.col("in_ref")).alias("nonref_total")
-    )
-    sums = grid.join(sums, ["min_aln_len", "min_cov", "min_id"], "left").na.fill(0)
+    kinds = [("align_len", "min_aln_len", sorted(set(aln))), ("coverage", "min_cov", sorted(set(cov))), ("identity", "min_id", sorted(set(ident)))]
+    cell = [sum((F.coalesce(F.col(c) >= x, F.lit(False)).cast("int") for x in values), F.lit(0)).alias(f"k{n}") for n, (c, _, values) in enumerate(kinds)]
+    names = [f"k{n}" for n in range(len(kinds))]
+    cells = features.where("multi").groupBy(*cell).agg(F.count_if("in_ref").alias("ref"), F.count_if(~F.col("in_ref")).alias("nonref"))
+    every = spark.createDataFrame(list(product(*(range(len(values) + 1) for *_, values in kinds))), ", ".join(f"{n} int" for n in names))
+    cube = every.join(cells, names, "left").na.fill(0)
+    for n in names:
+        reached = Window.partitionBy(*(x for x in names if x != n)).orderBy(F.desc(n)).rowsBetween(Window.unboundedPreceding, 0)
+        cube = cube.withColumn("ref", F.sum("ref").over(reached)).withColumn("nonref", F.sum("nonref").over(reached))
+    totals = cells.agg(F.coalesce(F.sum("ref"), F.lit(0)).alias("ref_total"), F.coalesce(F.sum("nonref"), F.lit(0)).alias("nonref_total"))
+    grid = spark.createDataFrame([(*(values.index(x) + 1 for x, (*_, values) in zip(g, kinds)), *g) for g in product(aln, cov, ident)], ", ".join([*(f"{n} int" for n in names), *(f"{c} double" for _, c, _ in kinds)]))
+    sums = grid.join(cube, names).crossJoin(F.broadcast(totals)).select("min_aln_len", "min_cov", "min_id", F.col("ref").alias("ref_kept"), "ref_total", (F.col("nonref_total") - F.col("nonref")).alias("nonref_dropped"), "nonref_total")
     rate = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     kept, dropped = rate("ref_kept", "ref_total"), rate("nonref_dropped", "nonref_total")
     return sums.select("min_aln_len", "min_cov", "min_id", kept.alias("keep_ref"), dropped.alias("drop_nonref"), "ref_kept", "ref_total", "nonref_dropped", "nonref_total", (kept + dropped).alias("score"))
@@ -87,19 +94,76 @@ def apply_params(features: DataFrame, grid: DataFrame, false_positives: DataFram
     return rows.crossJoin(F.broadcast(grid)).where(survives()).select("combo", "species", "tid")
 
 
+def survival_bits(grid: list) -> list[Column]:
+    """Per 64 rows of a collected parameter_grid() a long: bit k is set if a candidate is kept under row k.
+
+    Parameters that are tested together are tested once for each of their values; the rows that such a test rules out are constants.
+    """
+
+    def ruled_out(parameters: list[str], fails: Callable[..., Column]) -> list[tuple[Column, list[int]]]:
+        rows: dict[tuple, list[int]] = {}
+        for k, g in enumerate(grid):
+            rows.setdefault(tuple(g[c] for c in parameters), []).append(k)
+        return [(fails(*values), ks) for values, ks in rows.items()]
+
+    def low(mode: str, flank: float, overall: float) -> Column:
+        before, after = F.col("flank_bef") < flank, F.col("flank_aft") < flank
+        return F.col("is_one") & ((before | after) if mode == "or" else (before & after)) & (F.col("ident") < overall) & (F.col("mut_pos") >= 0)
+
+    def short(aln: float | None, cov: float, ident: float) -> Column:
+        return F.lit(False) if aln is None else ~((F.col("aln_len") >= aln) & (F.col("cov") >= cov) & (F.col("ident") >= ident))
+
+    tests = ruled_out(["low_mode", "low_flank", "low_overall"], low)
+    tests += ruled_out(["end_frac"], lambda x: F.col("is_one") & (F.col("mut_frac") >= x))
+    tests += ruled_out(["multi_aln", "multi_cov", "multi_id"], lambda *x: F.col("is_multi") & short(*x))
+    tests += ruled_out(["g_aln", "g_cov", "g_id"], short)
+
+    def signed(ks: list[int], word: int) -> int:
+        bits = sum(1 << k % 64 for k in ks if k // 64 == word)
+        return bits - (1 << 64) if bits >> 63 else bits
+
+    out = []
+    for word in range(-(-len(grid) // 64)):
+        gone = F.lit(0).cast("long")
+        for fails, ks in tests:
+            if any(k // 64 == word for k in ks):
+                gone = gone.bitwiseOR(F.when(fails, F.lit(signed(ks, word)).cast("long")).otherwise(F.lit(0).cast("long")))
+        out.append(F.bitwise_not(gone).bitwiseAND(F.lit(signed(list(range(len(grid))), word)).cast("long")))
+    return out
+
+
+def grid_counts(rows: DataFrame, grid: list, species: tuple[str, ...]) -> DataFrame:
+    """combo, union_size, overlap and each species' size, of candidates (species, tid, in_ref, ...) that are kept under it.
+
+    A candidate's row holds all combinations as bits. Those of a tid are merged with bit_or, map-side first, so what is shuffled is a
+    row a tid whatever the size of the grid; equal bit vectors are counted before combinations are told apart.
+    """
+    bits = survival_bits(grid)
+    words = [f"w{k}" for k in range(len(bits))]
+    held = rows.select("tid", "species", "in_ref", *(b.alias(w) for b, w in zip(bits, words)))
+    of_species = [F.bit_or(F.when(F.col("species") == s, F.col(w))).alias(f"{w}_{k}") for k, s in enumerate(species) for w in words]
+    per_tid = held.groupBy("tid").agg(F.max("in_ref").alias("in_ref"), *(F.bit_or(w).alias(w) for w in words), *of_species)
+    every = [w for w in per_tid.columns if w != "tid"]
+    vectors = per_tid.groupBy(*every).agg(F.count("*").alias("n"))
+    array = lambda end: F.array(*(F.coalesce(w + end, F.lit(0).cast("long")) for w in words))
+    each = vectors.select("n", "in_ref", array("").alias("all"), *(array(f"_{k}").alias(f"all_{k}") for k in range(len(species))), F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("k"))
+    kept = lambda c: F.call_function("shiftright", F.get(c, (F.col("k") / 64).cast("int")), F.col("k") % 64).bitwiseAND(1)
+    sums = each.groupBy("k").agg(F.sum(F.col("n") * kept("all")).alias("union_size"), F.sum(F.when(F.col("in_ref"), F.col("n") * kept("all")).otherwise(0)).alias("overlap"), *[F.sum(F.col("n") * kept(f"all_{k}")).alias(f"n_{s}") for k, s in enumerate(species)])
+    numbers = rows.sparkSession.createDataFrame([(k, g["combo"]) for k, g in enumerate(grid)], "k int, combo int")
+    return numbers.join(sums, "k").drop("k")
+
+
 def grid_search(features: DataFrame, grid: DataFrame, truth: DataFrame, species: tuple[str, ...], top: int = 20, max_union: int = 0, target_union: int = 0, min_recall: float = 0.0, false_positives: DataFrame | None = None) -> DataFrame:
     """The best combinations with the size of the species' union, overlap, recall, precision and each species' size.
 
-    Truth is joined before the grid, and survivors of one tid under one combination are merged first, so the counts by combination are
-    of flags alone. Ranked by recall, union (smaller first), precision; with target_union by closeness to it, recall, precision; else
+    Truth is joined before combinations are tried, and all are tried at once as bits, see grid_counts(); the grid, whose size is its
+    parameters' alone, is read on the driver. Ranked by recall, union (smaller first), precision; with target_union by closeness to it, recall, precision; else
     with min_recall by union, precision, recall; ties by the combination's number.
     """
     truth = truth.select("tid").distinct()
     flagged = _flag(features, truth, "in_ref", ["tid"])
     rows = flagged if false_positives is None else flagged.join(false_positives.select("species", "tid"), ["species", "tid"], "left_anti")
-    rows = rows.repartition("tid").crossJoin(F.broadcast(grid)).where(survives())
-    per_tid = rows.groupBy("combo", "tid").agg(F.max("in_ref").alias("in_ref"), *[F.max(F.col("species") == s).alias(f"in_{k}") for k, s in enumerate(species)])
-    sums = per_tid.groupBy("combo").agg(F.count("*").alias("union_size"), F.count_if("in_ref").alias("overlap"), *[F.count_if(f"in_{k}").alias(f"n_{s}") for k, s in enumerate(species)])
+    sums = grid_counts(rows, grid.orderBy("combo").collect(), species)
     size = truth.agg(F.count("*").alias("n_ref"))
     table = grid.drop("g_aln", "g_cov", "g_id").join(sums, "combo", "left").na.fill(0).crossJoin(F.broadcast(size))
     table = table.withColumn("recall", F.when(F.col("n_ref") > 0, F.col("overlap") / F.col("n_ref")).otherwise(F.lit(0.0))).withColumn("precision", F.when(F.col("union_size") > 0, F.col("overlap") / F.col("union_size")).otherwise(F.lit(0.0))).drop("n_ref")
