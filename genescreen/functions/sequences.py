@@ -59,6 +59,11 @@ def query_id(text: Column) -> Column:
     return F.regexp_extract(text, r"Query protein:\s+(\S+)", 1)
 
 
+def query_lines(text: Column) -> Column:
+    """The lines of a block that begin with `Query protein:`."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: x.startswith("Query protein:")), "\n")
+
+
 def stop_count(text: Column) -> Column:
     """Number of *, or of :X[ if there is no *."""
     stars = F.regexp_count(text, F.lit(r"\*"))

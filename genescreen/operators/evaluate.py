@@ -187,10 +187,36 @@ def recall(found: DataFrame, truth: DataFrame) -> DataFrame:
     return sums.withColumn("recall", F.when(F.col("n_ref") > 0, F.col("n_found") / F.col("n_ref")).otherwise(F.lit(0.0)))
 
 
-def diagnose_missing(truth: DataFrame, putative: DataFrame, raw: DataFrame, hits: DataFrame, blocks: DataFrame, proteins: DataFrame, valid: DataFrame, species: tuple[str, ...]) -> DataFrame:
+def substring_matches(ids: DataFrame, rows: DataFrame, column: str, q: int = 6) -> DataFrame:
+    """The rows whose text in `column` holds an id of (tid) anywhere, once for each such id; no row meets an id whose anchor it lacks.
+
+    An index of grams: an id's anchor is the one of its grams of q characters that the fewest texts have, so that what all ids begin
+    with brings nothing together. Texts meet anchors by equality, and what meets is verified. Ids of under q characters are their own
+    anchor, and texts are cut to such lengths only where there are such ids.
+    """
+    ids = ids.select("tid").where("tid <> ''").distinct()
+    sizes = sorted(r[0] for r in ids.select(F.least(F.length("tid"), F.lit(q)).alias("n")).distinct().collect())  # at most q numbers
+
+    def grams(text: Column, size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+        return F.when(F.length(text) >= size, F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+    if not sizes:
+        return rows.withColumn("tid", F.lit("")).where("false")
+    of_text = F.array_distinct(F.concat(*(grams(F.col(column), n) for n in sizes)))
+    held = rows.withColumn("gram", F.explode(of_text))
+    own = F.when(F.length("tid") >= q, F.array_distinct(grams(F.col("tid"), q))).otherwise(F.array("tid"))
+    common = held.groupBy("gram").agg(F.count("*").alias("n"))
+    anchors = ids.withColumn("gram", F.explode(own)).join(common, "gram", "left").groupBy("tid").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return held.join(anchors, "gram").where(F.col(column).contains(F.col("tid"))).drop("gram")
+
+
+def diagnose_missing(truth: DataFrame, putative: DataFrame, raw: DataFrame, hits: DataFrame, blocks: DataFrame, proteins: DataFrame, valid: DataFrame, species: tuple[str, ...], match: str = "equal") -> DataFrame:
     """Per truth id that no species' putative list has: symbol, length, the transcript kept for its symbol, per species flags, and reasons.
 
     putative, raw and hits have (species, tid); blocks (species, tid, stop, shift, score), the last of a tid last in line_no.
+    match: `equal` takes a block's tid; `substring` needs its `label`, the lines that name its query, and takes every block whose
+    label holds the id anywhere; with a column `terminated`, blocks that aren't are left out.
     """
     missing = truth.select("tid").distinct().join(putative.select("tid").distinct(), "tid", "left_anti")
     best = proteins.where("gene_symbol <> ''").groupBy("gene_symbol").agg(F.min_by(F.struct(F.col("tid").alias("kept_tid"), F.col("length").alias("kept_length")), F.struct(-F.col("length"), "tid")).alias("x")).select("gene_symbol", "x.*")
@@ -198,7 +224,12 @@ def diagnose_missing(truth: DataFrame, putative: DataFrame, raw: DataFrame, hits
     rows = _flag(rows, valid, "in_prefilter", ["tid"])
     seen = raw.select("species", "tid", F.lit("raw").alias("kind")).unionByName(hits.select("species", "tid", F.lit("hit").alias("kind"))).join(missing, "tid", "left_semi")
     flags = seen.groupBy("tid").agg(*[F.max((F.col("species") == s) & (F.col("kind") == k)).alias(f"{k}_{s}") for s in species for k in ("raw", "hit")])
-    last = blocks.join(missing, "tid", "left_semi").groupBy("tid").agg(*[F.max_by(F.when(F.col("species") == s, F.struct("stop", "shift", "score")), F.when(F.col("species") == s, F.col("line_no"))).alias(f"block_{s}") for s in species])
+    if match == "substring":
+        whole = blocks.where("terminated") if "terminated" in blocks.columns else blocks
+        own = substring_matches(missing, whole.drop("tid"), "label")
+    else:
+        own = blocks.join(missing, "tid", "left_semi")
+    last = own.groupBy("tid").agg(*[F.max_by(F.when(F.col("species") == s, F.struct("stop", "shift", "score")), F.when(F.col("species") == s, F.col("line_no"))).alias(f"block_{s}") for s in species])
     rows = rows.join(flags, "tid", "left").join(last, "tid", "left")
     in_raw = [F.coalesce(f"raw_{s}", F.lit(False)) for s in species]
     any_raw, all_raw = in_raw[0], in_raw[0]

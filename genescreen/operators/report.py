@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genescreen.sources.sinks import stored
+
 
 def report_summary(parsed: DataFrame) -> DataFrame:
     """One row: blocks in all, with stops, frameshifts and both, mean score, total stops and frameshifts."""
@@ -34,6 +36,38 @@ def funnel_counts(stages: DataFrame) -> DataFrame:
     return stages.groupBy("stage").agg(F.countDistinct("tid").alias("n"))
 
 
+def paged(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """The rows written once in ranges of `order`, with `part`, the number of the range, and `row`, a row's place in it, for page_of().
+
+    Ranges are sorted by themselves and kept in folders by part, so a page reads the ranges that hold it and no others.
+    """
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    own = F.monotonically_increasing_id()
+    rows = dealt.sortWithinPartitions(*order).withColumn("part", F.shiftright(own, 33).cast("int")).withColumn("row", own.bitwiseAND((1 << 33) - 1))
+    return stored(rows, partition_by="part")
+
+
+def page_of(pages: DataFrame, number: int, size: int = 50) -> DataFrame:
+    """Page `number` (from 1) of a paged() table, in order: a count a range tells which ranges hold it; only these are read."""
+    counts = sorted(map(tuple, pages.groupBy("part").count().collect()))  # a row a range
+    first, before, wanted = (number - 1) * size, 0, []
+    for part, n in counts:
+        if before < first + size and before + n > first:
+            wanted.append((part, first - before, first + size - before))
+        before += n
+    rows = pages.where(F.col("part").isin([p for p, *_ in wanted]))
+    held = F.lit(False)
+    for part, low, high in wanted:
+        held = held | ((F.col("part") == part) & (F.col("row") >= low) & (F.col("row") < high))
+    return rows.where(held).orderBy("part", "row").drop("part", "row")
+
+
+#: Rows up to the end of a page for which all that come before may be gathered in one task.
+SHALLOW = 10_000
+
+
 def page(df: DataFrame, order: list[str], number: int, size: int = 50) -> DataFrame:
-    """Page `number` (from 1) of the rows in order."""
+    """Page `number` (from 1) of the rows in order; a page that ends beyond SHALLOW rows is taken from ranges, see paged()."""
+    if number * size > SHALLOW:
+        return page_of(paged(df, order), number, size)
     return df.orderBy(*order).offset((number - 1) * size).limit(size)

@@ -346,6 +346,12 @@ def _(e: Entities) -> DataFrame:
     return rows
 
 
+@query("joi3_src1_from_fasta", "SELECT r.gene, r.tname, r.start1, r.end1, r.strand, substr(c.seq, r.start1, r.end1 - r.start1 + 1) AS dna, p.seq AS protein FROM regions r JOIN contigs c USING (tname) JOIN proteins p ON p.tid = r.gene WHERE substr(c.seq, r.start1, r.end1 - r.start1 + 1) <> ''", "regions", "contigs", "proteins")
+def _(e: Entities) -> DataFrame:
+    path = sk.write_fasta(e.contigs.select("tname", F.concat("tname", F.lit(" of documents")).alias("header"), "seq"), sk.scratch_path(e.spark, "fasta"))
+    return G.extract_regions(e.regions, rd.read_contig_tiles(e.spark, path, 128), e.proteins, 128)[0]
+
+
 @query("joi3_agg11_failures", "SELECT reason, count(*) AS n FROM (SELECT CASE WHEN p.tid IS NULL THEN 'pep_missing' ELSE 'dna_missing' END AS reason FROM regions r LEFT JOIN contigs c USING (tname) LEFT JOIN proteins p ON p.tid = r.gene WHERE p.tid IS NULL OR coalesce(substr(c.seq, r.start1, r.end1 - r.start1 + 1), '') = '') GROUP BY reason", "regions", "contigs", "proteins")
 def _(e: Entities) -> DataFrame:
     return S.failure_counts(G.extract_regions(e.regions, G.tile_contigs(e.contigs, 128), e.proteins, 128)[1])
@@ -502,6 +508,11 @@ def _(e: Entities) -> DataFrame:
 # quality filters, set algebra, funnel
 
 
+@query("top1_deep_page", "SELECT o1, o2, o3, o4, o5 FROM hits ORDER BY ALL LIMIT 50 OFFSET 50000", "hits")
+def _(e: Entities) -> DataFrame:
+    return R.page(e.hits.select(*ORDER), ORDER, 1001)
+
+
 @query("qua1_multi_quality", f"""{_FEATURES}, joined AS (SELECT f.tid, f.stop, f.shift, m.align_len, coalesce(p.length, 0) AS protein_len, m.coverage, m.identity FROM features f LEFT JOIN metrics m USING (tid) LEFT JOIN proteins p USING (tid) WHERE f.multi)
 SELECT tid, stop, shift, coalesce(align_len, 0) AS align_len, protein_len, coalesce(coverage, 0.0) AS coverage, coalesce(identity, 0.0) AS identity,
   CASE WHEN align_len IS NULL THEN 'missing_alignment' WHEN protein_len = 0 THEN 'missing_length' WHEN align_len >= 200 AND coverage >= 0.7 AND identity >= 0.05 THEN 'pass'
@@ -711,11 +722,11 @@ told AS (SELECT *, coalesce(nullif(concat_ws('; ', CASE WHEN NOT in_prefilter TH
 _DIAGNOSE_TABLES = ("truth", "candidates", "whitelist", "proteins", "blocks")
 
 
-def _diagnosis(e: Entities) -> DataFrame:
+def _diagnosis(e: Entities, match: str = "equal") -> DataFrame:
     kept = S.longest_per_symbol(e.proteins).where("status = 'kept'")
     text = F.col("text")
-    blocks = e.blocks.select(F.when(F.col("line_no") % 2 == 0, "sp_a").otherwise("sp_b").alias("species"), F.regexp_replace(X.query_id(text), r"\.1$", "").alias("tid"), text.contains("X").alias("stop"), text.contains("!").alias("shift"), X.block_score(text).alias("score"), "line_no")
-    return V.diagnose_missing(e.truth, S.keep_listed(e.candidates, e.whitelist), blocks.where("shift"), e.candidates, blocks, e.proteins, kept, ("sp_a", "sp_b"))
+    blocks = e.blocks.select(F.when(F.col("line_no") % 2 == 0, "sp_a").otherwise("sp_b").alias("species"), F.regexp_replace(X.query_id(text), r"\.1$", "").alias("tid"), text.contains("X").alias("stop"), text.contains("!").alias("shift"), X.block_score(text).alias("score"), X.query_lines(text).alias("label"), "terminated", "line_no")
+    return V.diagnose_missing(e.truth, S.keep_listed(e.candidates, e.whitelist), blocks.where("shift"), e.candidates, blocks, e.proteins, kept, ("sp_a", "sp_b"), match)
 
 
 @query("eva6_diagnose_missing", f"{_DIAGNOSE} SELECT * FROM told", *_DIAGNOSE_TABLES)
@@ -723,6 +734,15 @@ def _(e: Entities) -> DataFrame:
     return _diagnosis(e)
 
 
+_BY_SUBSTRING = _DIAGNOSE.replace("raw AS (", """found AS (SELECT b.species, t.tid, b.stop, b.shift, b.score, b.line_no FROM t JOIN (SELECT b.*, 'Query protein: ' || b.tid || '.1' AS label FROM b) b ON contains(b.label, t.tid)),
+raw AS (""").replace("FROM b GROUP BY species, tid", "FROM found GROUP BY species, tid")
+
+
+@query("eva6_diagnose_missing_substring", f"{_BY_SUBSTRING} SELECT * FROM told", *_DIAGNOSE_TABLES)
+def _(e: Entities) -> DataFrame:
+    return _diagnosis(e, "substring")
+
+
 @query("eva7_missing_categories", f"{_DIAGNOSE} SELECT category, count(*) AS n FROM told GROUP BY category", *_DIAGNOSE_TABLES)
 def _(e: Entities) -> DataFrame:
     return V.missing_categories(_diagnosis(e))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from genescreen.sources.sinks import stored
+
 #: The columns of a hit, in order, and their types.
 HIT_COLUMNS = [("qname", "string"), ("qlen", "long"), ("qstart", "long"), ("qend", "long"), ("strand", "string"), ("tname", "string"), ("tlen", "long"), ("tstart", "long"), ("tend", "long"), ("nmatch", "long"), ("alen", "long"), ("mapq", "long")]
 
@@ -39,6 +44,70 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("line_no", "header", F.regexp_extract("header", r"^(\S+)", 1).alias("id"), "seq", F.length("seq").cast("long").alias("length"))
 
 
+def _sequence_pieces(size: int):
+    """Lines of a split, in order, to (file, block, stretch, name, at, seq): up to `size` letters or some more from place `at` of a stretch.
+
+    A stretch is what a split has of one record; number 0 goes on with the record that the split before ended in.
+    """
+    names = ["file", "block", "stretch", "name", "at", "seq"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, stretch, name, at, held, n, rows = None, 0, None, 0, [], 0, []
+
+        def close() -> None:
+            nonlocal at, held, n
+            if split and (n or (name is not None and at == 0)):
+                rows.append((*split, stretch, name, at, "".join(held)))
+            at, held, n = at + n, [], 0
+
+        for batch in batches:
+            for file, block, line in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value"))):
+                if (file, block) != split:
+                    close()
+                    split, stretch, name, at = (file, block), 0, None, 0
+                if line.startswith(">"):
+                    close()
+                    stretch, name, at = stretch + 1, (line[1:].split() or [""])[0], 0
+                    continue
+                held.append(line.replace("\r", "").strip(" "))
+                n += len(held[-1])
+                if n >= size:
+                    close()
+                if len(rows) >= 100:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+                    rows = []
+        close()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+
+    return run
+
+
+def read_contig_tiles(spark: SparkSession, path: str, size: int = 65_536) -> DataFrame:
+    """tname, tile_no, seq: the sequences of FASTA records as pieces of `size` letters; a record is never one string.
+
+    Files are read in splits. What a split has of a record goes on where the splits before left it: a prefix sum over a row a split
+    and record. Lines are put together to pieces before anything is shuffled, and pieces meet by tile. A line itself is one string,
+    so the file's sequence lines should be wrapped. Lines before a file's first header are left out; blanks around lines are dropped.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    pieces = stored(lines.mapInArrow(_sequence_pieces(size), "file string, block long, stretch long, name string, at long, seq string"))
+    key = ["file", "block", "stretch"]
+    ordered = Window.partitionBy("file").orderBy("block", "stretch")
+    stretches = pieces.groupBy(*key).agg(F.max("name").alias("tname"), F.sum(F.length("seq")).alias("letters")).withColumn("record", F.sum((F.col("stretch") > 0).cast("long")).over(ordered))
+    within = Window.partitionBy("file", "record").orderBy("block", "stretch")
+    stretches = stretches.select(*key, "record", F.first("tname").over(within).alias("tname"), F.coalesce(F.sum("letters").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rows = pieces.join(stretches.where("record > 0"), key).where("seq <> ''").select("file", "record", "tname", (F.col("at") + F.col("before")).alias("at"), "seq")
+    first, last = F.floor(F.col("at") / size), F.floor((F.col("at") + F.length("seq") - 1) / size)
+    rows = rows.withColumn("tile_no", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    start = F.greatest(F.col("tile_no") * size - F.col("at"), F.lit(0))
+    end = F.least((F.col("tile_no") + 1) * size - F.col("at"), F.length("seq"))
+    cut = rows.select("file", "record", "tname", "tile_no", F.struct((F.col("at") + start).alias("at"), F.substring("seq", (start + 1).cast("int"), (end - start).cast("int")).alias("cut")).alias("x"))
+    tiles = cut.groupBy("file", "record", "tname", "tile_no").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return tiles.select("tname", "tile_no", F.array_join(F.transform("x", lambda x: x.cut), "").alias("seq"))
+
+
 def read_paf(spark: SparkSession, path: str) -> DataFrame:
     """Hits: the first twelve tab-separated columns; blank lines and lines of fewer columns are dropped, further columns ignored."""
     parts, usable = _tabs(F.col("value"), 12)

@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or where it is unset a folder of the warehouse."""
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or where it is unset a folder of the warehouse.
+
+    On a cluster a warehouse that is a folder of each machine is refused; a local master has one machine, whose folders are shared.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{root or spark.conf.get('spark.sql.warehouse.dir').rstrip('/') + '/genescreen-intermediate'}/{name}-{uuid.uuid4().hex}"
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/genescreen-intermediate"
+        master = spark.sparkContext.master
+        if root.startswith(("file:", "/")) and not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write rows as a Parquet table in the shared folder and read them again, so that what uses them several times computes them once."""
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
