@@ -66,15 +66,15 @@ def reach_before(rows: DataFrame, keys: list[str], start: str, end: str, size: i
 def islands(rows: DataFrame, keys: list[str], start: str, end: str, gap: int, size: int, name: str) -> DataFrame:
     """The rows with the number of their island within their keys, from 1: a new one starts beyond the furthest end so far plus the gap.
 
-    Numbers are counted within tiles of `size` and added up over tiles, a row a tile. Rows without keys or places are left out; the
-    gap isn't negative.
+    Numbers are counted within tiles of `size` and added up over tiles, a row a tile. The gap isn't negative.
     """
     opens = F.coalesce((F.col(start) > F.col("reach") + gap).cast("long"), F.lit(1).cast("long"))
-    flagged = reach_before(rows, keys, start, end, size).withColumn("opens", opens)
-    scan = Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
-    first = flagged.groupBy(*keys, "tile").agg(F.sum("opens").alias("own")).withColumn("first", F.coalesce(F.sum("own").over(scan), F.lit(0))).drop("own")
     within = Window.partitionBy(*keys, "tile").orderBy(start, end)  # rows of one place together: only one of them can open an island
-    return flagged.join(first, [*keys, "tile"]).withColumn(name, F.sum("opens").over(within) + F.col("first")).drop("tile", "reach", "opens", "first")
+    numbered = stored(reach_before(rows, keys, start, end, size).withColumn("opens", opens).withColumn(name, F.sum("opens").over(within)).drop("reach", "opens"))
+    scan = Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+    first = numbered.groupBy(*keys, "tile").agg(F.max(name).alias("own")).withColumn("first", F.sum("own").over(scan)).where("first is not null").drop("own")
+    # a group's first tile has nothing before it, and most groups have no other
+    return numbered.join(first, [*keys, "tile"], "left").withColumn(name, F.col(name) + F.coalesce("first", F.lit(0))).drop("tile", "first")
 
 
 def locus_clusters(hits: DataFrame, target_gap: int = 10_000, tile: int = 1 << 20) -> DataFrame:
