@@ -121,13 +121,15 @@ def _steps(value: np.ndarray, scores: np.ndarray, starts: np.ndarray, sizes: np.
     return n_at
 
 
-def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch: float, chunk: int = 256) -> np.ndarray:
+def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch: float, chunk: int | None = None) -> np.ndarray:
     """Best language of each word of documents whose words stand one after the other; exact, with `chunk` steps however long they are.
 
     Documents are cut to chunks. For every chunk and every state before it the best score of each state at its end is found, all chunks
     at once; these are put together chunk by chunk, which gives the states at the borders; with those known, all chunks are traced back.
+    A chunk's states before and after are languages squared, so chunks grow with the languages and memory is words by languages.
     """
     own, n_langs = scores[places], scores.shape[1]
+    chunk = chunk or max(256, 4 * n_langs)
     n_chunks = -(-lengths // chunk)
     doc = np.repeat(np.arange(len(lengths)), n_chunks)
     first = np.cumsum(n_chunks) - n_chunks
@@ -135,7 +137,7 @@ def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch:
     starts = (np.cumsum(lengths) - lengths)[doc] + number * chunk
     sizes = np.minimum(chunk, lengths[doc] - number * chunk)
     if not len(doc):
-        return np.empty(0, np.int8)
+        return np.empty(0, np.int32)
     order = np.argsort(-sizes, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -147,7 +149,7 @@ def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch:
     # documents by number of chunks, and chunk after chunk of each
     docs = np.argsort(-n_chunks, kind="stable")
     reached = np.zeros((len(docs), n_langs), np.float32)
-    before = np.zeros((len(doc), n_langs), np.int8)
+    before = np.zeros((len(doc), n_langs), np.int32)
     n_docs = np.searchsorted(-n_chunks[docs], -np.arange(int(n_chunks.max())), side="left").tolist()
     for k, n in enumerate(n_docs):
         at = first[docs[:n]] + k
@@ -164,9 +166,9 @@ def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch:
     value = np.full((len(order), n_langs), -1e9, np.float32)
     value[np.arange(len(order)), entry[order]] = 0
     value[begins] = 0
-    stay, best = np.zeros((len(own), n_langs), bool), np.zeros(len(own), np.int8)
+    stay, best = np.zeros((len(own), n_langs), bool), np.zeros(len(own), np.int32)
     n_at = _steps(value, own, starts[order], sizes[order], switch, (stay, best))
-    out, state, ends = np.zeros(len(own), np.int8), exits[order], starts[order]
+    out, state, ends = np.zeros(len(own), np.int32), exits[order], starts[order]
     for t in range(len(n_at) - 1, -1, -1):
         n = n_at[t]
         at = ends[:n] + t
@@ -176,15 +178,15 @@ def viterbi(scores: np.ndarray, places: np.ndarray, lengths: np.ndarray, switch:
 
 
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS) -> Model | None:
-    """Model from (doc_id, text, lang) rows; about `sample_docs` of each language, chosen by hashed doc_id. None without usable rows.
+    """Model from (doc_id, text, lang) rows; about `sample_docs` of each language, chosen by hashed doc_id (text where that is null). None without usable rows.
 
     Languages are sampled, and their letter sequences chosen, each by itself, so a rare one is as well known as a frequent one.
     """
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null")
-    # a row a language
+    # a row a language, written so that Spark knows its size
     parts = rows.groupBy("lang").agg(F.least(F.lit(1 << 20), F.floor(F.lit((1 << 20) * sample_docs) / F.count("*")) + 1).alias("part"))
-    rows = rows.join(F.broadcast(stored(parts)), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("part"))
+    rows = rows.join(stored(parts), "lang").where(F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(1 << 20)) < F.col("part"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}

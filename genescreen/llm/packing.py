@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -99,6 +100,18 @@ def part_ids(parts: pa.Array, path: str) -> list[bytes]:
     return list(map(cache.__getitem__, names))
 
 
+def _stays_letters(stems: pa.Array) -> np.ndarray:
+    """Is each stem all letters, also as the tokenizer sees it: composed and in lower case?
+
+    The lower case of a letter may end in a combining mark (that of a dotted capital I does), as may the composed form, and the
+    tokenizer joins such a mark to punctuation that follows.
+    """
+    letters = pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False).copy()
+    foreign = np.flatnonzero(letters & ~pc.string_is_ascii(stems).to_numpy(zero_copy_only=False))
+    letters[foreign] = [unicodedata.normalize("NFC", x).lower().isalpha() for x in stems.take(pa.array(foreign)).to_pylist()]
+    return letters
+
+
 def _cut(words: pa.Array, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """Bytes `starts` to `starts + sizes` of each word."""
     whole = pa.concat_arrays([words])
@@ -112,7 +125,7 @@ def encode(texts: pa.Array, path: str, end: np.ndarray) -> tuple[np.ndarray, np.
     """Token ids of whole texts one after the other, each followed by `end`, and how many each text has with that.
 
     For tokenizers that drop white space and end every word with an id of its own (byte-level merges with word ends, lower case): a
-    text's ids are those of its blank-separated chunks. A chunk of letters between ASCII punctuation splits further, as the tokenizer
+    text's ids are those of its blank-separated chunks. A chunk of letters (that stay letters) between ASCII punctuation splits further, as the tokenizer
     itself splits it; any other chunk, and so one that holds a special token, goes through the tokenizer whole. Distinct chunks are
     split and distinct parts encoded, then all ids are taken from them at once.
     """
@@ -120,10 +133,10 @@ def encode(texts: pa.Array, path: str, end: np.ndarray) -> tuple[np.ndarray, np.
     size = lambda x: pc.binary_length(x).to_numpy().astype(np.int64)
     left = pc.utf8_ltrim(words, characters=_PUNCTUATION)
     stems = pc.utf8_rtrim(left, characters=_PUNCTUATION)
-    letters = pc.utf8_is_alpha(stems)
+    plain = _stays_letters(stems)
     # ASCII letters are lower-cased here; other letters are, where they are encoded
-    own = pc.if_else(letters, pc.ascii_lower(stems), words).dictionary_encode()
-    plain, sizes = letters.to_numpy(zero_copy_only=False), size(words)
+    own = pc.if_else(pa.array(plain), pc.ascii_lower(stems), words).dictionary_encode()
+    sizes = size(words)
     before = np.where(plain, sizes - size(left), 0)
     after = np.where(plain, size(left) - size(stems), 0)
     marks = pa.concat_arrays([_cut(words, np.zeros(len(words), np.int64), before), _cut(words, sizes - after, after)]).dictionary_encode()

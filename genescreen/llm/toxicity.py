@@ -59,7 +59,7 @@ def statistics(texts: list[bytes | None], model: Model) -> list[tuple[list[tuple
         # n clean tokens have a segment of score S or more scale n exp(-rate S) times by chance
         size = np.log(model.scale * max(1, len(words)))
         excess = sorted((model.rate * s - size for _, _, s in found), reverse=True)
-        best = max(excess[0], -10.0) if excess else -10.0
+        best = excess[0] if excess else -size  # no segment: a score of 0
         out.append((found, best, float(sum(x for x in excess if x > 0)), float(size)))
     return out
 
@@ -82,12 +82,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, by: np.ndarray, rounds: int = 30, ri
 
 
 def positive_root(values: np.ndarray, share: np.ndarray) -> float:
-    """The rate > 0 at which scores with these shares have E[exp(rate score)] = 1; their mean is negative."""
-    low, high = 1e-3, 50.0
+    """The rate > 0 at which scores with these shares have E[exp(rate score)] = 1; 0, no law, where there is none.
+
+    There is one if the mean is negative and some score that occurs is positive.
+    """
+    values, share = values[share > 0], share[share > 0]
+    if not len(values) or values.max() <= 0 or float(np.sum(share * values)) >= 0:
+        return 0.0
+    above = lambda rate: float(np.log(np.sum(share * np.exp(rate * (values - values.max())))) + rate * values.max()) > 0
+    low, high = 0.0, 1.0
+    while not above(high):
+        low, high = high, 2 * high
     for _ in range(80):
         middle = (low + high) / 2
-        low, high = (middle, high) if np.sum(share * np.exp(np.minimum(middle * values, 700))) < 1 else (low, middle)
-    return low
+        low, high = (low, middle) if above(middle) else (middle, high)
+    return high
+
+
+def law_scale(best: np.ndarray) -> float:
+    """The most likely scale of the law, from clean texts' rate S - log n, S being the best segment's score and n the tokens: one over the mean of n exp(-rate S).
+
+    A text without a segment has S = 0, so its term is n.
+    """
+    return 1 / float(np.exp(-best).mean())
 
 
 def _token_model(counts: DataFrame, folds: tuple[int, ...]) -> Model | None:
@@ -102,10 +119,11 @@ def _token_model(counts: DataFrame, folds: tuple[int, ...]) -> Model | None:
     side = lambda n, own: F.log((n + prior) / (own + all_prior - n - prior))
     odds = (side(F.col("toxic"), whole.toxic) - side(F.col("clean"), whole.clean)).alias("odds")
     z = odds / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    top = counts.select("word", "tokens", odds, z.alias("z")).where(F.abs("z") >= LEAST_Z).orderBy("word").collect()
+    top = counts.select("word", "tokens", prior.alias("prior"), odds, z.alias("z")).where(F.abs("z") >= LEAST_Z).orderBy("word").collect()
     scores = {bytes(r.word): float(r.odds) if r.z > 0 else min(DRIFT, float(r.odds)) for r in top}
-    # shares of the tokens of clean texts, as often as they stand there
-    share = np.array([r.tokens for r in top] + [whole.tokens - sum(r.tokens for r in top)]) / max(1, whole.tokens)
+    # shares of the tokens of clean texts, with the prior that the log-odds have: a token that no clean text holds may stand in one
+    own = np.array([r.tokens + r.prior for r in top])
+    share = np.append(own, whole.tokens + all_prior - own.sum()) / (whole.tokens + all_prior)
     return Model(scores, positive_root(np.array([scores[bytes(r.word)] for r in top] + [DRIFT]), share))
 
 
@@ -115,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
     The labels are sampled before they meet the texts, each label by itself, so a rare one is whole and what is broadcast is bounded by
     the parameter; where a label's rows repeat, the largest counts. Token scores are log-odds of the shares of documents with the token.
     The rate of the extreme-value law comes from how often tokens stand in clean texts, its scale from the best segments of clean
-    texts, most likely under that law. Scale and calibration are fitted on texts scored by a model of the other half of the sample,
+    texts, most likely under that law; where scores allow no law the rate is 0, no passage is significant and the prior decides. Scale and calibration are fitted on texts scored by a model of the other half of the sample,
     each row weighted by how many of its label it stands for.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
@@ -159,10 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
 
         return rows.mapInArrow(measure, "toxic int, fold int, best double, total double, size double").toPandas()
 
-    # with a scale of one a text's best excess is rate S - log n; the most likely scale of clean texts is one over the mean of n exp(-rate S)
+    # with a scale of one a text's best excess is rate S - log n
     table = measured()
+    clean = table.best[table.toxic == 0].to_numpy()
     for half in halves:
-        half.scale = model.scale = 1 / max(1e-9, float(np.exp(-np.maximum(table.best[table.toxic == 0], -10)).mean()))
+        half.scale = model.scale = law_scale(clean)
     table = measured()
     by = np.where(table.toxic == 1, (1 << 20) / parts[1], (1 << 20) / parts[0])
     model.weights = _logistic(_features(table.best.to_numpy(), table.total.to_numpy(), table["size"].to_numpy()), table.toxic.to_numpy(), by)
@@ -207,4 +226,5 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels").where(~held_out()))
-    return score(docs, model, passages=False).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    found = score(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.coalesce(F.size("passages"), F.lit(0)).cast("long").alias("n_passages"), "passages")
