@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -23,10 +27,40 @@ def tagged_id(header: Column, tag: str, prefix: str) -> Column:
     return F.regexp_extract(header, rf"{tag}:({prefix}\w*\d(?:\.\d+)?)" if prefix else rf"{tag}:(\S+)", 1)
 
 
+def _bytes_of(x: pa.Array, unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of all strings end to end, where each string begins and how many it has; unit: 1 for ASCII strings as they lie, 4 for code points."""
+    if unit == 4:
+        parts = [s.encode("utf-32-le", "surrogatepass") for s in x.to_pylist()]
+        sizes = np.array([len(p) // 4 for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes, sizes
+    whole = pa.concat_arrays([x.cast(pa.large_string())])
+    _, offsets, data = whole.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8), offsets[:-1], np.diff(offsets)
+
+
+def _equal_places(q: pa.Array, t: pa.Array, unit: int) -> list[int]:
+    """Per pair the places of the shorter one at which both have the same character, a slice of either against one of the other."""
+    (a, a_at, a_n), (b, b_at, b_n) = _bytes_of(q, unit), _bytes_of(t, unit)
+    return [int(np.count_nonzero(a[i : i + n] == b[j : j + n])) for i, j, n in zip(a_at.tolist(), b_at.tolist(), np.minimum(a_n, b_n).tolist())]
+
+
+@F.arrow_udf(IntegerType())
+def _matches(q: pa.Array, t: pa.Array) -> pa.Array:
+    """Equal characters at equal places: bytes of ASCII pairs, code points of others; 0 where either is empty, null where either is null."""
+    known = pc.and_(pc.is_valid(q), pc.is_valid(t))
+    ascii_ = pc.and_(pc.string_is_ascii(q), pc.string_is_ascii(t)).fill_null(False)
+    out = np.zeros(len(q), np.int32)
+    for unit, those in ((1, ascii_), (4, pc.and_not(known, ascii_))):
+        at = np.flatnonzero(those.to_numpy(zero_copy_only=False))
+        if len(at):
+            out[at] = _equal_places(q.take(pa.array(at)), t.take(pa.array(at)), unit)
+    return pa.array(out, pa.int32(), mask=~known.to_numpy(zero_copy_only=False))
+
+
 def matches(q: Column, t: Column) -> Column:
-    """Places at which both have the same character."""
-    same = F.zip_with(F.split(q, ""), F.split(t, ""), lambda a, b: a == b)
-    return F.when((q == "") | (t == ""), 0).otherwise(F.size(F.filter(same, lambda x: x)))
+    """Places at which both have the same character: by columns of bytes, as an array of one string a character is many times the sequence."""
+    return _matches(q, t)
 
 
 def positional_identity(q: Column, t: Column) -> Column:

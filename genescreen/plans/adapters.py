@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["lineitem", "orders", "part", "documents", "labels"]
+# the letters of a text; what uses them more than once takes them from a subquery, as both engines would fold them anew each time
 _LETTERS = "upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''<G>))"
 _QSTART = "(l_orderkey * 13 + l_linenumber * 37) % 200"
 _QLEN = "300 + l_partkey % 7 * 50"
 _ALEN = "180 + l_suppkey * 37 % 900"
 _TSTART = "(l_orderkey * 7919 + l_linenumber * 104729) % 200000"
 _TID = "'T' || cast(doc_id - doc_id % 2 as string)"  # two blocks an id
-_Q = _LETTERS
-_HALF = f"cast(floor(length({_LETTERS}) / 2) as int)"
 _TAIL = "CASE WHEN doc_id % 4 < 2 THEN 20 ELSE 80 END"
 
 SQL = {
@@ -22,7 +21,7 @@ SQL = {
         {_TSTART} AS tstart, {_TSTART} + {_ALEN} AS tend, cast(floor(({_ALEN}) * (20 + (l_orderkey * 7 + l_linenumber) % 80) / 100.0) as bigint) AS nmatch, {_ALEN} AS alen,
         l_orderkey % 61 AS mapq, l_orderkey AS o1, cast(l_linenumber as bigint) AS o2, l_partkey AS o3, l_suppkey AS o4, l_extendedprice AS o5 FROM {{lineitem}}""",
     "proteins": f"""SELECT 'T' || cast(doc_id as string) AS tid, 'G' || cast(doc_id % 97 as string) AS gene_id,
-        CASE WHEN doc_id % 10 = 0 THEN '' ELSE upper(lang) || '_' || source END AS gene_symbol, {_LETTERS} AS seq, cast(length({_LETTERS}) as bigint) AS length FROM {{documents}}""",
+        CASE WHEN doc_id % 10 = 0 THEN '' ELSE upper(lang) || '_' || source END AS gene_symbol, q AS seq, cast(length(q) as bigint) AS length FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d""",
     "genes": "SELECT 'Q' || cast(p_partkey as string) AS tid, p_brand || '/' || cast(p_size as string) AS gene_id, p_type AS gene_symbol, p_name AS name FROM {part}",
     "descriptions": "SELECT CASE WHEN p_size % 2 = 0 THEN p_brand || '/' || cast(p_size as string) ELSE p_type END AS key, min(p_name) AS text FROM {part} GROUP BY 1",
     "biotypes": """SELECT p_brand AS gene_id, 'Q' || cast(p_partkey as string) AS tid, CASE WHEN p_size % 5 = 0 THEN 'Pseudogene' ELSE 'protein_coding' END AS gene_biotype,
@@ -32,17 +31,17 @@ SQL = {
         CASE WHEN o_custkey % 20 = 0 THEN '' ELSE 'S' || cast(o_custkey % 300 as string) END AS gene_symbol, 300 + o_orderkey * 31 % 900 AS cds_len FROM {orders}""",
     "peptides": """SELECT 'ENST' || cast(l_orderkey as string) AS enst, 'ENSP' || cast(l_partkey as string) || '_' || cast(l_suppkey as string) AS ensp,
         max(cast(l_quantity as bigint) * 7) AS pep_len FROM {lineitem} GROUP BY 1, 2""",
-    "blocks": f"""SELECT doc_id AS line_no, 'Query protein: ' || {_TID} || '.1' || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10) || substr({_LETTERS}, 1, cast(greatest(0, length({_LETTERS}) - {_TAIL}) as int))
+    "blocks": f"""SELECT doc_id AS line_no, 'Query protein: ' || {_TID} || '.1' || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10) || substr(q, 1, cast(greatest(0, length(q) - {_TAIL}) as int))
         || CASE doc_id % 5 WHEN 0 THEN '*' WHEN 1 THEN '!' WHEN 2 THEN ':X[' WHEN 3 THEN '   !' ELSE '*!!' END || chr(10)
-        || CASE WHEN doc_id % 7 < 2 THEN '>' || CASE WHEN doc_id % 3 = 0 THEN 'T9' ELSE {_TID} END || '.1.sp.tr' || chr(10) ELSE '' END || substr({_LETTERS}, cast(greatest(0, length({_LETTERS}) - {_TAIL}) as int) + 1) AS text, true AS terminated FROM {{documents}}""",
+        || CASE WHEN doc_id % 7 < 2 THEN '>' || CASE WHEN doc_id % 3 = 0 THEN 'T9' ELSE {_TID} END || '.1.sp.tr' || chr(10) ELSE '' END || substr(q, cast(greatest(0, length(q) - {_TAIL}) as int) + 1) AS text, true AS terminated FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d""",
     "aligned_blocks": f"""SELECT doc_id AS line_no, 'Query protein: ' || {_TID} || '.1' || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10)
-        || {_TID} || ' 1 ' || substr({_Q}, 1, {_HALF}) || ' 40' || chr(10) || chr(10) || translate(substr({_Q}, 1, {_HALF}), 'QZ', '!*') || chr(10)
-        || {_TID} || ' 41 ' || substr({_Q}, {_HALF} + 1) || ' 80' || chr(10) || chr(10) || translate(substr({_Q}, {_HALF} + 1), 'K', '-') || CASE WHEN doc_id % 4 = 0 THEN '   :X[' ELSE '' END || chr(10) AS text, true AS terminated,
-        {_TID} || '.1' AS tid, {_Q} AS q, translate(substr({_Q}, 1, {_HALF}), 'QZ', '!*') AS t1, translate(substr({_Q}, {_HALF} + 1), 'K', '-') AS t2, doc_id % 4 = 0 AS spliced
-        FROM {{documents}} WHERE length({_Q}) >= 2""",
-    "alignments": f"""SELECT 'T' || cast(doc_id as string) AS tid, doc_id, {_Q} AS qseq,
-        CASE doc_id % 3 WHEN 0 THEN translate({_Q}, 'QZ', '!X') WHEN 1 THEN substr({_Q}, 2)
-        ELSE substr(translate({_Q}, 'K', 'X'), 1, cast(greatest(0, length({_Q}) - doc_id % 5) as int)) END AS tseq FROM {{documents}} WHERE length({_Q}) >= 2""",
+        || {_TID} || ' 1 ' || substr(q, 1, cast(floor(length(q) / 2) as int)) || ' 40' || chr(10) || chr(10) || translate(substr(q, 1, cast(floor(length(q) / 2) as int)), 'QZ', '!*') || chr(10)
+        || {_TID} || ' 41 ' || substr(q, cast(floor(length(q) / 2) as int) + 1) || ' 80' || chr(10) || chr(10) || translate(substr(q, cast(floor(length(q) / 2) as int) + 1), 'K', '-') || CASE WHEN doc_id % 4 = 0 THEN '   :X[' ELSE '' END || chr(10) AS text, true AS terminated,
+        {_TID} || '.1' AS tid, q, translate(substr(q, 1, cast(floor(length(q) / 2) as int)), 'QZ', '!*') AS t1, translate(substr(q, cast(floor(length(q) / 2) as int) + 1), 'K', '-') AS t2, doc_id % 4 = 0 AS spliced
+        FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d WHERE length(q) >= 2""",
+    "alignments": f"""SELECT 'T' || cast(doc_id as string) AS tid, doc_id, q AS qseq,
+        CASE doc_id % 3 WHEN 0 THEN translate(q, 'QZ', '!X') WHEN 1 THEN substr(q, 2)
+        ELSE substr(translate(q, 'K', 'X'), 1, cast(greatest(0, length(q) - doc_id % 5) as int)) END AS tseq FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d WHERE length(q) >= 2""",
     "candidates": """SELECT DISTINCT species, 'T' || cast(doc_id as string) AS tid FROM (
         SELECT doc_id, explode(CASE doc_id % 3 WHEN 0 THEN array('sp_a') WHEN 1 THEN array('sp_b') ELSE array('sp_a', 'sp_b') END) AS species FROM {documents}) AS x""",
     "truth": "SELECT DISTINCT 'T' || cast(doc_id as string) AS tid FROM {labels} WHERE quality = 1",
