@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genescreen.sources.sinks import scratch_path
+
 #: Rows of an Arrow batch of documents.
 ROWS = 1000
 #: Byte table: A-Z to a-z, everything else unchanged.
@@ -25,13 +27,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as spark.checkpoint.dir names it.
-
-    Where it is unset it is a folder of the warehouse, which Spark writes tables to and so shares too; never a machine's own
-    temporary folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return path or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/genescreen-intermediate"
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset one of the warehouse; never a machine's own on a cluster."""
+    return scratch_path(spark, "").rsplit("/", 1)[0]
 
 
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
