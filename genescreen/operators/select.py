@@ -104,16 +104,21 @@ def exon_counts(exons: DataFrame) -> DataFrame:
     return exons.groupBy("tid").agg(F.count("*").alias("n_exons")).withColumn("intronless", F.col("n_exons") <= 1)
 
 
-def intronless_or_biotype(genes: DataFrame, descriptions: DataFrame, biotypes: DataFrame, exons: DataFrame, patterns: list[str], exclude: list[str]) -> DataFrame:
-    """Report rows of genes that a pattern is found in, whose gene or transcript biotype is excluded, or that have one exon; up to three a gene. Of a transcript's excluded biotypes the last by line_no counts."""
+def intronless_or_biotype(genes: DataFrame, descriptions: DataFrame, biotypes: DataFrame, exons: DataFrame, patterns: list[str], exclude: list[str], strip_version: bool = False) -> DataFrame:
+    """Report rows of genes that a pattern is found in, whose gene or transcript biotype is excluded, or that have one exon; up to three a gene. Of a transcript's excluded biotypes the last by line_no counts.
+
+    strip_version: ids meet without a last `.` and digits, as those of sequences have versions where annotation has none.
+    """
+    plain = lambda df: df.withColumn("tid", F.regexp_replace("tid", r"\.\d+$", "")) if strip_version else df
+    biotypes, exons = plain(biotypes), plain(exons)
     excluded = [x.strip().lower() for x in exclude if x.strip()]
     by_gene = F.when(F.lower("gene_biotype").isin(excluded), F.concat(F.lit("gene_biotype:"), "gene_biotype"))
     by_transcript = F.when(F.lower("transcript_biotype").isin(excluded), F.concat(F.lit("transcript_biotype:"), "transcript_biotype"))
     hit = biotypes.select("tid", F.coalesce(by_gene, by_transcript).alias("matched_pattern"), "line_no").where("matched_pattern is not null")
     hit = hit.groupBy("tid").agg(F.max_by("matched_pattern", "line_no").alias("matched_pattern"))
-    keys = genes.select("tid", "gene_id", "gene_symbol")
-    of_type = keys.join(hit, "tid").select("tid", "gene_id", "gene_symbol", "matched_pattern", F.lit("biotype").alias("source"))
-    single = keys.join(exon_counts(exons).where("intronless"), "tid", "left_semi").select("tid", "gene_id", "gene_symbol", F.lit("intronless").alias("matched_pattern"), F.lit("gtf").alias("source"))
+    keys = plain(genes.select("tid", "gene_id", "gene_symbol", F.col("tid").alias("own")))
+    of_type = keys.join(hit, "tid").select(F.col("own").alias("tid"), "gene_id", "gene_symbol", "matched_pattern", F.lit("biotype").alias("source"))
+    single = keys.join(exon_counts(exons).where("intronless"), "tid", "left_semi").select(F.col("own").alias("tid"), "gene_id", "gene_symbol", F.lit("intronless").alias("matched_pattern"), F.lit("gtf").alias("source"))
     return match_patterns(genes, patterns, descriptions).unionByName(of_type).unionByName(single)
 
 

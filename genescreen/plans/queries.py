@@ -363,16 +363,25 @@ def _(e: Entities) -> DataFrame:
     return S.conserved_synteny(H.best_hit(e.hits, ORDER), e.synteny)
 
 
-@query("joi5_intronless_or_biotype", f"""{_FAMILY}, single AS (SELECT tid FROM exons GROUP BY tid HAVING count(*) <= 1)
-SELECT * FROM family UNION ALL
+_REPORT = f"""{_FAMILY}, single AS (SELECT tid FROM exons GROUP BY tid HAVING count(*) <= 1),
+report AS (SELECT * FROM family UNION ALL
 SELECT g.tid, g.gene_id, g.gene_symbol, b.found, 'biotype' FROM genes g JOIN (
   SELECT tid, CASE WHEN lower(gene_biotype) IN ('pseudogene', 'lncrna') THEN 'gene_biotype:' || gene_biotype ELSE 'transcript_biotype:' || transcript_biotype END AS found FROM biotypes
   WHERE lower(gene_biotype) IN ('pseudogene', 'lncrna') OR lower(transcript_biotype) IN ('pseudogene', 'lncrna') QUALIFY row_number() OVER (PARTITION BY tid ORDER BY line_no DESC) = 1) b USING (tid) UNION ALL
-SELECT tid, gene_id, gene_symbol, 'intronless', 'gtf' FROM genes WHERE tid IN (FROM single)""", "genes", "descriptions", "biotypes", "exons")
+SELECT tid, gene_id, gene_symbol, 'intronless', 'gtf' FROM genes WHERE tid IN (FROM single))"""
+
+
+@query("joi5_intronless_or_biotype", f"{_REPORT} SELECT * FROM report", "genes", "descriptions", "biotypes", "exons")
 def _(e: Entities) -> DataFrame:
     return S.intronless_or_biotype(e.genes, e.descriptions, e.biotypes, e.exons, FAMILY, ["pseudogene", "lncRNA"])
 
 
+@query("joi5_without_versions", f"{_REPORT} SELECT * REPLACE (tid || '.2' AS tid) FROM report", "genes", "descriptions", "biotypes", "exons")
+def _(e: Entities) -> DataFrame:
+    genes, biotypes = (df.withColumn("tid", F.concat("tid", F.lit(v))) for df, v in ((e.genes, ".2"), (e.biotypes, ".11")))
+    return S.intronless_or_biotype(genes, e.descriptions, biotypes, e.exons, FAMILY, ["pseudogene", "lncRNA"], strip_version=True)
+
+
 _FEATURES = f"""{_MET}, features AS (SELECT c.tid, c.tid IN (FROM truth) AS in_ref, c.n % 3 AS stop, c.n % 2 AS shift, c.n % 3 + c.n % 2 AS total, coalesce(m.align_len, 0) AS align_len, coalesce(p.length, 0) AS protein_len,
   coalesce(m.coverage, 0.0) AS coverage, coalesce(m.identity, 0.0) AS identity, c.n % 3 + c.n % 2 >= 2 AS multi
   FROM (SELECT DISTINCT tid, CAST(substr(tid, 2) AS BIGINT) AS n FROM candidates) c LEFT JOIN metrics m USING (tid) LEFT JOIN proteins p USING (tid))"""
