@@ -13,6 +13,15 @@ _ALEN = "180 + l_suppkey * 37 % 900"
 _TSTART = "(l_orderkey * 7919 + l_linenumber * 104729) % 200000"
 _TID = "'T' || cast(doc_id - doc_id % 2 as string)"  # two blocks an id
 _TAIL = "CASE WHEN doc_id % 4 < 2 THEN 20 ELSE 80 END"
+_LETTER = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', cast(doc_id % 62 as int) + 1, 1)"  # ids of one character
+
+
+def _blocks(line_no: str, tid: str, other: str) -> str:
+    """Prediction blocks of queries `tid`; some have a translation, of which a third is named `other`."""
+    return f"""SELECT {line_no} AS line_no, 'Query protein: ' || {tid} || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10) || substr(q, 1, cast(greatest(0, length(q) - {_TAIL}) as int))
+        || CASE doc_id % 5 WHEN 0 THEN '*' WHEN 1 THEN '!' WHEN 2 THEN ':X[' WHEN 3 THEN '   !' ELSE '*!!' END || chr(10)
+        || CASE WHEN doc_id % 7 < 2 THEN '>' || CASE WHEN doc_id % 3 = 0 THEN {other} ELSE {tid} END || '.sp.tr' || chr(10) ELSE '' END || substr(q, cast(greatest(0, length(q) - {_TAIL}) as int) + 1) AS text, true AS terminated FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d"""
+
 
 SQL = {
     "hits": f"""SELECT 'Q' || cast(l_partkey as string) AS qname, {_QLEN} AS qlen, {_QSTART} AS qstart,
@@ -31,9 +40,8 @@ SQL = {
         CASE WHEN o_custkey % 20 = 0 THEN '' ELSE 'S' || cast(o_custkey % 300 as string) END AS gene_symbol, 300 + o_orderkey * 31 % 900 AS cds_len FROM {orders}""",
     "peptides": """SELECT 'ENST' || cast(l_orderkey as string) AS enst, 'ENSP' || cast(l_partkey as string) || '_' || cast(l_suppkey as string) AS ensp,
         max(cast(l_quantity as bigint) * 7) AS pep_len FROM {lineitem} GROUP BY 1, 2""",
-    "blocks": f"""SELECT doc_id AS line_no, 'Query protein: ' || {_TID} || '.1' || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10) || substr(q, 1, cast(greatest(0, length(q) - {_TAIL}) as int))
-        || CASE doc_id % 5 WHEN 0 THEN '*' WHEN 1 THEN '!' WHEN 2 THEN ':X[' WHEN 3 THEN '   !' ELSE '*!!' END || chr(10)
-        || CASE WHEN doc_id % 7 < 2 THEN '>' || CASE WHEN doc_id % 3 = 0 THEN 'T9' ELSE {_TID} END || '.1.sp.tr' || chr(10) ELSE '' END || substr(q, cast(greatest(0, length(q) - {_TAIL}) as int) + 1) AS text, true AS terminated FROM (SELECT *, {_LETTERS} AS q FROM {{documents}}) AS d""",
+    "blocks": _blocks("doc_id", f"{_TID} || '.1'", "'T9.1'"),
+    "letter_blocks": _blocks("-1 - doc_id", _LETTER, "'-'"),
     "aligned_blocks": f"""SELECT doc_id AS line_no, 'Query protein: ' || {_TID} || '.1' || chr(10) || 'Score ' || cast(doc_id % 200 as string) || '.5 bits' || chr(10)
         || {_TID} || ' 1 ' || substr(q, 1, cast(floor(length(q) / 2) as int)) || ' 40' || chr(10) || chr(10) || translate(substr(q, 1, cast(floor(length(q) / 2) as int)), 'QZ', '!*') || chr(10)
         || {_TID} || ' 41 ' || substr(q, cast(floor(length(q) / 2) as int) + 1) || ' 80' || chr(10) || chr(10) || translate(substr(q, cast(floor(length(q) / 2) as int) + 1), 'K', '-') || CASE WHEN doc_id % 4 = 0 THEN '   :X[' ELSE '' END || chr(10) AS text, true AS terminated,

@@ -307,9 +307,22 @@ def _(e: Entities) -> DataFrame:
     return B.ending_stop(e.blocks, _single(e), 120, "documented")
 
 
-@query("fp2_ending_stop_as_coded", rf"{_SINGLE} SELECT DISTINCT c.tid FROM blocks b JOIN counts c USING (line_no) WHERE c.tid IN (FROM single) AND regexp_extract(b.text, '>(\S)', 1) = c.tid", "blocks")
+# `as_coded` finds queries of one character alone, so it runs over blocks of such; it takes what follows a text's first > for the id
+_CODED = (", blocks AS (FROM letter_blocks)" + _ENDING).replace(r"'>(\S+?)\.sp\.tr'", r"'>(\S)'")
+
+
+def _letters(e: Entities) -> tuple[DataFrame, DataFrame]:
+    return e.letter_blocks, B.classify_mutation_load(B.count_mutations(e.letter_blocks)).where("load = 'single'").select("tid")
+
+
+@query("fp2_ending_stop_as_coded", f"{_CODED} SELECT DISTINCT tid FROM squeezed WHERE {_ENDED_STOP}", "letter_blocks")
+def _(e: Entities) -> DataFrame:
+    return B.ending_stop(*_letters(e), 120)
+
+
+@query("fp4_ending_shift_as_coded", f"{_CODED} SELECT DISTINCT tid FROM squeezed WHERE {_ENDED_SHIFT}", "letter_blocks")
 def _(e: Entities) -> DataFrame:
-    return B.ending_stop(e.blocks, _single(e), 120)
+    return B.ending_shift(*_letters(e))
 
 
 @query("fp4_ending_shift", f"{_ENDING} SELECT DISTINCT tid FROM squeezed WHERE {_ENDED_SHIFT}", "blocks")
@@ -607,24 +620,48 @@ fp AS (SELECT c.tid FROM counts c JOIN blocks b USING (line_no) WHERE c.tid IN (
 kept3 AS (SELECT tid FROM unitary WHERE tid NOT IN (FROM fp)), list3 AS (FROM kept3 UNION SELECT tid FROM w WHERE EXISTS (FROM kept3)),
 good_many AS (SELECT tid || '.1' AS tid FROM metrics WHERE protein_len > 0 AND align_len >= 200 AND coverage >= 0.7 AND identity >= 0.05),
 kept4 AS (SELECT tid FROM list3 WHERE tid NOT IN (FROM many) OR tid IN (FROM good_many)), list4 AS (FROM kept4 UNION SELECT tid FROM w WHERE EXISTS (FROM kept4)),
-kept5 AS (SELECT tid FROM list4 WHERE tid IN (SELECT tid || '.1' FROM metrics WHERE align_len >= 400 AND coverage >= 0.7 AND identity >= 0.3)), high AS (FROM kept5 UNION SELECT tid FROM w WHERE EXISTS (FROM kept5))
+good AS (SELECT tid || '.1' AS tid FROM metrics WHERE align_len >= 400 AND coverage >= 0.7 AND identity >= 0.3),
+kept5 AS (SELECT tid FROM list4 WHERE tid IN (FROM good)), high AS (FROM kept5 UNION SELECT tid FROM w WHERE EXISTS (FROM kept5))
 """
 
 
-def _full_funnel(e: Entities) -> DataFrame:
-    """The funnel with all six switches on, over blocks, proteins, alignments and descriptions of one id space."""
+def _full_funnel(e: Entities, **switches: bool) -> DataFrame:
+    """The funnel over blocks, proteins, alignments and descriptions of one id space; all six switches are on but for what `switches` says."""
     named = lambda df: df.withColumn("tid", F.concat("tid", F.lit(".1")))
     genes = e.genes.select(F.regexp_replace("tid", "^Q", "T").alias("tid"), "gene_id", F.col("gene_symbol").alias("symbol"))
     proteins = e.proteins.select("tid", "length").join(genes, "tid", "left")
     proteins = named(proteins.select("tid", F.coalesce("gene_id", F.lit("")).alias("gene_id"), F.when((F.length("tid") > 1) & (F.substring("tid", -1, 1) == "8"), "").otherwise(F.coalesce(F.concat("symbol", F.lit("/"), F.substring("tid", -2, 2)), "tid")).alias("gene_symbol"), "length"))
     hits = e.hits.withColumn("qname", F.concat(F.regexp_replace("qname", "Q", "T"), F.lit(".1")))
-    return run_funnel(Inputs(e.blocks, proteins, hits, named(e.alignments), e.descriptions, named(e.whitelist)), Thresholds(family_patterns="plate|brand#1|red", id_rule="documented", global_min_aln_len=400))
+    return run_funnel(Inputs(e.blocks, proteins, hits, named(e.alignments), e.descriptions, named(e.whitelist)), Thresholds(family_patterns="plate|brand#1|red", id_rule="documented", global_min_aln_len=400, **switches))
 
 
 @query("fun1_funnel_all_filters", f"""{_FULL} SELECT tid, tid IN (SELECT tid FROM loads WHERE load = 'putative') AS putative, tid IN (FROM valid) AND tid IN (SELECT tid FROM loads) AS valid, tid IN (FROM w) AS listed, tid IN (FROM fam) AS family, tid IN (FROM redundant_ids) AS redundant, tid IN (FROM unitary) AS unitary,
-  tid IN (FROM fp) AS false_positive, tid IN (FROM many) AND tid NOT IN (FROM good_many) AS low_multi, tid IN (FROM high) AS high_confidence FROM (SELECT tid FROM loads UNION SELECT tid FROM w)""", *_FULL_TABLES)
+  tid IN (FROM fp) AS false_positive, tid IN (FROM many) AND tid NOT IN (FROM good_many) AS low_multi, tid IN (FROM unitary) AND tid NOT IN (FROM good) AS low_global, tid IN (FROM high) AS high_confidence FROM (SELECT tid FROM loads UNION SELECT tid FROM w)""", *_FULL_TABLES)
 def _(e: Entities) -> DataFrame:
-    return _full_funnel(e).select("tid", "putative", "valid", "listed", "family", "redundant", "unitary", "false_positive", "low_multi", "high_confidence")
+    return _full_funnel(e).select("tid", "putative", "valid", "listed", "family", "redundant", "unitary", "false_positive", "low_multi", "low_global", "high_confidence")
+
+
+#: Each switch, and what of the funnel's SQL stands for it, on and off.
+SWITCHES = {
+    "prefilter": ("listed OR (gene_symbol <> '' AND n = 1)", "true"),
+    "family": ("WHERE regexp_matches(concat_ws(", "WHERE false AND regexp_matches(concat_ws("),
+    "redundancy": ("FROM covered GROUP BY", "FROM covered WHERE false GROUP BY"),
+    "false_positive": ("FROM unitary WHERE tid NOT IN (FROM fp)", "FROM unitary"),
+    "multi_quality": ("FROM list3 WHERE tid NOT IN (FROM many) OR tid IN (FROM good_many)", "FROM list3"),
+    "global_quality": ("FROM list4 WHERE tid IN (FROM good)", "FROM list4"),
+}
+
+
+def _without(switch: str) -> None:
+    on, off = SWITCHES[switch]
+
+    @query(f"fun1_funnel_without_{switch}", f"{_FULL.replace(on, off)} SELECT tid, tid IN (FROM unitary) AS unitary, tid IN (FROM high) AS high_confidence FROM (SELECT tid FROM loads UNION SELECT tid FROM w)", *_FULL_TABLES)
+    def _(e: Entities) -> DataFrame:
+        return _full_funnel(e, **{switch: False}).select("tid", "unitary", "high_confidence")
+
+
+for _switch in SWITCHES:
+    _without(_switch)
 
 
 @query("agg15_funnel_stages", f"""{_FULL} SELECT 'putative' AS stage, count(DISTINCT tid) AS n FROM loads WHERE load = 'putative' UNION ALL SELECT 'unitary', count(*) FROM unitary UNION ALL SELECT 'high_confidence', count(*) FROM high""", *_FULL_TABLES)

@@ -14,15 +14,15 @@ from genescreen.sources.sinks import stored
 HIT_COLUMNS = [("qname", "string"), ("qlen", "long"), ("qstart", "long"), ("qend", "long"), ("strand", "string"), ("tname", "string"), ("tlen", "long"), ("tstart", "long"), ("tend", "long"), ("nmatch", "long"), ("alen", "long"), ("mapq", "long")]
 
 
-def read_records(spark: SparkSession, path: str, separator: str | None = None, glob: str | None = None, whole: bool = False) -> DataFrame:
-    """value and line_no of each line, or of each piece between separators; files are split among tasks unless `whole`."""
+def read_records(spark: SparkSession, path: str, separator: str | None = None, glob: str | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """value and line_no of each line, or of each piece between separators, and `extra` fields of its file; files are split among tasks."""
     reader = spark.read
     if separator:
         reader = reader.option("lineSep", separator)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
-    return reader.text(path, wholetext=whole).select("value", order.alias("line_no"))
+    return reader.text(path).select("value", order.alias("line_no"), *[F.col(f"_metadata.{c}").alias(c) for c in extra])
 
 
 def last_of(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
@@ -114,25 +114,32 @@ def read_paf(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path).where(usable).select(*[F.get(parts, k).cast(t).alias(c) for k, (c, t) in enumerate(HIT_COLUMNS)], "line_no")
 
 
-def read_prediction_blocks(spark: SparkSession, path: str, delimiter: str = "anywhere") -> DataFrame:
+def read_prediction_blocks(spark: SparkSession, path: str, delimiter: str = "anywhere", glob: str | None = None) -> DataFrame:
     """text, terminated, line_no of each block. delimiter: `anywhere` cuts at any //, `line` at lines that are //.
 
     Text keeps no // line; terminated is false for what stands after a file's last one. A line that begins with // ends a block too, and
-    what else it has begins the next. Both forms are read in splits.
+    what else it has begins the next. Both forms are read in splits. For `line` the pieces are written once; whether a file's last piece
+    is ended by a // without a line end follows from the file's size and that of its pieces (a compressed file's never is).
     """
     if delimiter == "anywhere":
-        return read_records(spark, path, "//").where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").select(F.col("value").alias("text"), F.lit(True).alias("terminated"), "line_no")
-    rows = read_records(spark, path, "\n//")
-    last = rows.groupBy("line_no.file").agg(F.max("line_no").alias("last"))  # a row a file; its size decides how it is joined
-    rows = rows.join(last.select(F.col("last").alias("line_no"), F.lit(True).alias("is_last")), "line_no", "left")
-    return rows.select(F.regexp_replace("value", r"^[ \t\r]*\n", "").alias("text"), F.col("is_last").isNull().alias("terminated"), "line_no").where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
+        return read_records(spark, path, "//", glob).where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").select(F.col("value").alias("text"), F.lit(True).alias("terminated"), "line_no")
+    rows = read_records(spark, path, "\n//", glob, extra=("file_size",))
+    rows = stored(rows.withColumn("bytes", F.octet_length("value").cast("long") + 3))
+    # a row a file, from three narrow columns of the written pieces; its size decides how it is joined
+    ends = rows.groupBy("line_no.file").agg(F.min("line_no").alias("first"), F.max("line_no").alias("last"), (F.sum("bytes") > F.max("file_size")).alias("open"))
+    edges = ends.select(F.explode(F.array(F.struct(F.col("first").alias("line_no"), F.lit(True).alias("opens"), (F.col("open") & (F.col("first") == F.col("last"))).alias("open")), F.struct(F.col("last").alias("line_no"), F.lit(False).alias("opens"), F.col("open")))).alias("x")).select("x.*")
+    edges = edges.groupBy("line_no").agg(F.max("opens").alias("opens"), F.max("open").alias("open"))
+    rows = rows.join(edges, "line_no", "left")
+    value = F.when(F.coalesce("opens", F.lit(False)), F.regexp_replace("value", "^//", "")).otherwise(F.col("value"))
+    return rows.select(F.regexp_replace(value, r"^[ \t\r]*\n", "").alias("text"), (~F.coalesce("open", F.lit(False))).alias("terminated"), "line_no").where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
 
 
 def read_block_dir(spark: SparkSession, folder: str, glob: str = "*.gw.txt") -> DataFrame:
-    """Blocks of all non-empty files of a folder whose names match, in path order; a file's end ends its last block."""
-    rows = read_records(spark, folder, glob=glob, whole=True).where(F.length("value") > 0)
-    pieces = rows.select("line_no", F.posexplode(F.split("value", "//")).alias("k", "text"))
-    return pieces.where(F.trim(F.regexp_replace("text", r"\s+", " ")) != "").select("text", F.struct(F.col("line_no.file").alias("file"), F.col("k").cast("long").alias("block"), F.lit(0).cast("long").alias("n")).alias("line_no"))
+    """Blocks of all files of a folder whose names match, in path order; a file's end ends its last block. Files are read in splits.
+
+    Of more than two slashes in a row the first two end the block, but for a split that begins among them.
+    """
+    return read_prediction_blocks(spark, folder, "anywhere", glob).select("text", "line_no")
 
 
 def read_id_list(spark: SparkSession, path: str, mode: str = "line") -> DataFrame:
