@@ -15,11 +15,12 @@ from genescreen.llm.common import ALNUM, complete_groups, documents, packed, rea
 
 #: Bytes of text whose n-grams are asked for together.
 BATCH = 1 << 21
+#: Bytes of text whose n-grams a part of the table of counts holds at most on average; a part is held in memory.
+PART = 1 << 25
 #: Weight of the unigram model within the bigram model, in tokens, and count that every word has in the unigram model beforehand.
 MIX, ADD = 20.0, 0.1
 #: Hash of the mark before a document's first word.
 START = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64((1 << 48) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -28,10 +29,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def part_bits(n_parts: int) -> np.uint64:
+    """Bits of a gram's hash that its part is taken from; the others stand beside it in the code."""
+    return np.uint64(max(16, (n_parts - 1).bit_length()))
+
+
+def low_bits(n_parts: int) -> np.uint64:
+    """Mask of the bits of a code beside the part."""
+    return (np.uint64(1) << (np.uint64(64) - part_bits(n_parts))) - np.uint64(1)
+
+
 class Grams:
     """The distinct words and word pairs of a batch of documents, in the order in which they are asked for.
 
-    A gram's code is its part and 48 bits of a hash, the lowest of which tells pairs from words; the mark before a document is a word.
+    A gram's code is its part and the bits of a hash that the part isn't taken from (48 up to 65,536 parts), the lowest of which tells
+    pairs from words; the mark before a document is a word.
     """
 
     def __init__(self, words: np.ndarray, at: np.ndarray, sizes: np.ndarray, n_parts: int) -> None:
@@ -43,8 +55,9 @@ class Grams:
         known = np.append(words, START)
         keys = _mixed(np.concatenate([known, known[pairs // n] * np.uint64(0xD6E8FEB86659FD93) + known[pairs % n]]))
         tag = np.repeat(np.array([0, 1], np.uint64), [n, len(pairs)])
-        part = ((keys >> np.uint64(48)) * np.uint64(n_parts)) >> np.uint64(16)
-        code = (part << np.uint64(48)) | (keys & _LOW & ~np.uint64(1)) | tag
+        bits = part_bits(n_parts)
+        part = ((keys >> (np.uint64(64) - bits)) * np.uint64(n_parts)) >> bits
+        code = (part << (np.uint64(64) - bits)) | (keys & low_bits(n_parts) & ~np.uint64(1)) | tag
         self.order = np.argsort(code)
         self.code, self.n_words = code[self.order], n
 
@@ -98,17 +111,19 @@ def _sums(marked: DataFrame, n_parts: int) -> DataFrame:
     asks of a part is one row of packed numbers, and so is the answer.
     """
 
+    shift, low = np.uint64(64) - part_bits(n_parts), low_bits(n_parts)
+
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for k, ids, target, grams in _read(batch, n_parts):
                 number, sums = batch.column("batch")[k].as_py(), [grams.counts(x) for x in (target, np.ones(len(ids), bool))]
-                part = (grams.code >> np.uint64(48)).astype(np.int64)
+                part = (grams.code >> shift).astype(np.int64)
                 starts = np.flatnonzero(np.diff(part, prepend=-1))
-                out = [(int(part[a]), number, packed(np.diff(grams.code[a:b] & _LOW, prepend=np.uint64(0))), *(packed(x[a:b]) for x in sums)) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)])]
+                out = [(int(part[a]), number, packed(np.diff(grams.code[a:b] & low, prepend=np.uint64(0))), *(packed(x[a:b]) for x in sums)) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)])]
                 columns = list(zip(*out)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["part", "batch", "codes", "target", "whole"])
 
-    start = int(_mixed(np.array([START]))[0] & _LOW & ~np.uint64(1))
+    start = int(_mixed(np.array([START]))[0] & low & ~np.uint64(1))
 
     def answer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
@@ -144,14 +159,15 @@ def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     its own counts are taken off, from the target's too if it is one of its documents.
 
     Counts are a table by gram in parts, which grows with the corpus; texts are read once and not shuffled, and no count passes the
-    driver but the numbers of words and tokens. Grams are told apart by 48 bits of a hash beside their part's number.
+    driver but the numbers of words and tokens. A part holds the n-grams of about PART bytes of text, so there are as many parts as the
+    corpus needs. Grams are told apart by 48 bits of a hash beside their part's number, or by 63 bits with it beyond 65,536 parts.
 
     A text without tokens (null, empty) has losses and score 0. Repeated rows and rows of null doc_id are documents of their own, the
     latter never of the target. Without documents in the target all scores are 0. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    n_parts = min(1 << 16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     held = batches(docs)
+    n_parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), held.count() * BATCH // PART)
     wanted = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     hits = held.select("batch", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted, "doc_id").groupBy("batch").agg(F.collect_list("place").alias("hits"))
     marked = held.join(stored(hits), "batch", "left")

@@ -16,6 +16,8 @@ from genescreen.llm.decontaminate import _KNOWN, gram_hashes, word_hashes
 MANY = 64
 #: Words of text that are compared with each other before they are sent.
 BATCH = 1_500_000
+#: Bytes of text whose probes or windows a part holds at most on average; a part is held in memory.
+PART = 1 << 24
 _COLUMNS = "part int, sent boolean, code binary, check binary, doc binary, alt binary, n binary, at binary"
 _NAMES = ["part", "sent", "code", "check", "doc", "alt", "n", "at"]
 _TYPES = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
@@ -215,13 +217,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     Null and empty texts have no words. A document is a doc_id with one text: rows that repeat it each get the same result, and texts of
     one doc_id that differ are documents of their own, ordered by a hash. Rows of null doc_id keep all their words and take none from
-    others. An empty table gives an empty one. Kept words are joined by one space. Windows are matched by 128 bits of hashes of their
+    others. An empty table gives an empty one. There is a part for each PART bytes of text, so what a task holds doesn't grow with the corpus. Kept words are joined by one space. Windows are matched by 128 bits of hashes of their
     words, not word by word.
     """
     spark, docs, block = docs.sparkSession, documents(docs), window // 2
-    n_parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = docs.where("doc_id is not null and text is not null")
-    hashes = known.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most"))
+    hashes = known.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))
+    hashes = stored(hashes.groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most"), F.sum("size").alias("size")))
+    n_parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), (hashes.agg(F.sum("size")).first()[0] or 0) // PART)
     several = stored(hashes.where("least < most").select("doc_id", F.lit(True).alias("several")))
     if several.isEmpty():
         docs = docs.withColumn("alt", F.lit(0).cast("long"))

@@ -15,6 +15,8 @@ from genescreen.llm.graph import components
 
 #: Vectors that the quantisers are fitted on at most: those of the smallest hashed vec_id.
 SAMPLE = 16_384
+#: Bytes of them at most, and how many different lengths of vectors get quantisers: the most frequent ones of at least LEAST vectors.
+SAMPLE_BYTES, LENGTHS, LEAST = 1 << 27, 16, 64
 #: Longer inverted lists are dealt to blocks of this size at most on average, and their probes to parts of a few times as many.
 BLOCK = 2048
 #: Slack of all bounds, far above the rounding of sums of doubles and far below any distance that matters.
@@ -71,23 +73,26 @@ class Quantiser:
         return np.sqrt(out)
 
 
-def _vectors(column: pa.ListArray, dims: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of unit length, padded with zeros to `dims`, and which rows are such; the others are zero."""
+def _quantiser(fitted: dict[int, Quantiser], dims: int) -> Quantiser:
+    """The quantiser of a length; a length without one has a single list, all of whose members are reranked."""
+    return fitted.get(dims) or Quantiser(np.zeros((1, dims)), 1)
+
+
+def _units(column: pa.ListArray) -> list[bytes | None]:
+    """Rows of unit length as doubles; None for those that are null, zero or hold null or non-finite components. None is padded."""
     offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False).astype(np.float64)
-    lengths = np.diff(offsets)
-    out = np.zeros((len(column), dims if dims is not None else int(lengths.max(initial=0))))
-    valid = np.asarray(column.is_valid().to_numpy(zero_copy_only=False), bool)
-    for k in range(len(column)):
-        if valid[k]:
-            out[k, : lengths[k]] = flat[offsets[k] : offsets[k + 1]]
-    valid &= np.isfinite(out).all(axis=1)
-    out[~valid] = 0
-    largest = np.abs(out).max(axis=1, initial=0)
-    valid &= largest > 0
-    out[valid] /= largest[valid, None]  # so that squares neither vanish nor overflow
-    out[valid] /= np.sqrt((out[valid] ** 2).sum(1))[:, None]
-    out[~valid] = 0
-    return out, valid
+    lengths = np.where(column.is_valid().to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets), 0)
+    out: list[bytes | None] = [None] * len(column)
+    for n in np.unique(lengths[lengths > 0]).tolist():
+        at = np.flatnonzero(lengths == n)
+        x = flat[offsets[at][:, None] + np.arange(n)]
+        largest = np.abs(x).max(axis=1)
+        good = np.isfinite(largest) & (largest > 0)
+        at, x = at[good], x[good] / largest[good, None]  # so that squares neither vanish nor overflow
+        x /= np.sqrt((x**2).sum(1))[:, None]
+        for k, row in zip(at.tolist(), x):
+            out[k] = row.tobytes()
+    return out
 
 
 def _spanning(near: np.ndarray) -> list[tuple[int, int]]:
@@ -118,46 +123,47 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     returns weights and a spanning forest, never its pairs. Quantisers are fitted on SAMPLE vectors; any fit gives the same links.
 
     Null labels, null or zero vectors and such with null or non-finite components link with nothing: n_links 0, their own component.
-    Vectors of other lengths don't link. Repeated rows count once; rows of one vec_id with other vectors are one node that links where
+    So do rows of null vec_id, whose component is null and which are kept. Vectors of other lengths don't link and are never padded: each
+    frequent length has quantisers of its own, the others a single list a label. Repeated rows count once; rows of one vec_id with other vectors are one node that links where
     any of them does. An empty table gives an empty one.
     """
     spark, radius = vectors.sparkSession, float(np.sqrt(max(0.0, 2 - 2 * least)))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    dims = rows.agg(F.max(F.size("embedding")).alias("n")).first().n or 0
+    # a row of null vec_id has no name that others could link with
+    label = F.when(F.col("vec_id").isNotNull(), F.col("label").cast("string"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("embedding")
-            x, valid = _vectors(column, max(dims, 1))
-            labels, sizes = batch.column("label").to_pylist(), np.diff(column.offsets.to_numpy()).tolist()
-            valid = [bool(v) and label is not None for v, label in zip(valid, labels)]
-            raw = [x[k].tobytes() if v else None for k, v in enumerate(valid)]
-            group = [f"{n}:{label}" if v else None for n, label, v in zip(sizes, labels, valid)]
-            same = [xxhash.xxh3_128_digest(g.encode() + b"\0" + r) if v else None for g, r, v in zip(group, raw, valid)]
+            raw = [u if label is not None else None for u, label in zip(_units(batch.column("embedding")), batch.column("label").to_pylist())]
+            group = [f"{len(u) // 8}:{label}" if u else None for u, label in zip(raw, batch.column("label").to_pylist())]
+            same = [xxhash.xxh3_128_digest(g.encode() + b"\0" + u) if u else None for g, u in zip(group, raw)]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(group, pa.string()), pa.array(same, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "group", "same", "unit"])
 
     held = stored(rows.mapInArrow(units, "vec_id long, group string, same binary, unit binary"))
     classes = held.where("same is not null").select("vec_id", "group", "same", "unit").dropDuplicates(["vec_id", "same"]).groupBy("same").agg(F.first("group").alias("group"), F.first("unit").alias("unit"), F.min("vec_id").alias("node"), F.count("*").alias("weight"))
     classes = stored(classes)
-    total = classes.count()
-    fitted = np.array([np.frombuffer(r.unit) for r in classes.orderBy(F.xxhash64("node")).select("unit").limit(SAMPLE).collect()]).reshape(-1, max(dims, 1))
-    quantiser = spark.sparkContext.broadcast(Quantiser(fitted, int(min(1024, max(8, total // 1000)))) if total else None)
+    fitted = {}
+    for size, total in classes.groupBy(F.octet_length("unit").alias("size")).count().where(F.col("count") >= LEAST).orderBy(F.desc("count"), "size").limit(LENGTHS).collect():
+        if SAMPLE_BYTES // size >= LEAST:
+            sample = classes.where(F.octet_length("unit") == size).orderBy(F.xxhash64("node")).select("unit").limit(min(SAMPLE, SAMPLE_BYTES // size)).collect()
+            fitted[size // 8] = Quantiser(np.array([np.frombuffer(r.unit) for r in sample]), int(min(1024, max(8, total // 1000))))
+    quantisers = spark.sparkContext.broadcast(fitted)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = quantiser.value
         for batch in batches:
-            x = np.array([np.frombuffer(u) for u in batch.column("unit").to_pylist()]).reshape(batch.num_rows, -1)
-            if not len(x):
-                continue
-            own = nearest(x, q.centres)
-            codes, error = q.encode(x, own)
-            probes = q.probes(x, own, radius) & (np.arange(len(q.centres)) > own[:, None])
-            at = np.concatenate([np.arange(len(x)), np.nonzero(probes)[0]])
-            number = np.concatenate([own, np.nonzero(probes)[1]])
-            member = np.arange(len(at)) < len(x)
-            taken = pa.Table.from_batches([batch]).take(pa.array(at)).combine_chunks()
-            coded = [codes[k].tobytes() if m else None for k, m in zip(at.tolist(), member.tolist())]
-            yield from pa.table({"group": taken["group"], "list": pa.array(number, pa.int32()), "member": pa.array(member), "node": taken["node"], "weight": taken["weight"], "unit": taken["unit"], "code": pa.array(coded, pa.binary()), "error": pa.array(error[at])}).to_batches()
+            sizes = np.array([len(u) // 8 for u in batch.column("unit").to_pylist()])
+            for dims in np.unique(sizes).tolist():
+                own_size = batch.take(pa.array(np.flatnonzero(sizes == dims)))
+                q, x = _quantiser(quantisers.value, dims), np.array([np.frombuffer(u) for u in own_size.column("unit").to_pylist()])
+                own = nearest(x, q.centres)
+                codes, error = q.encode(x, own)
+                probes = q.probes(x, own, radius) & (np.arange(len(q.centres)) > own[:, None])
+                at = np.concatenate([np.arange(len(x)), np.nonzero(probes)[0]])
+                number = np.concatenate([own, np.nonzero(probes)[1]])
+                member = np.arange(len(at)) < len(x)
+                taken = pa.Table.from_batches([own_size]).take(pa.array(at)).combine_chunks()
+                coded = [codes[k].tobytes() if m else None for k, m in zip(at.tolist(), member.tolist())]
+                yield from pa.table({"group": taken["group"], "list": pa.array(number, pa.int32()), "member": pa.array(member), "node": taken["node"], "weight": taken["weight"], "unit": taken["unit"], "code": pa.array(coded, pa.binary()), "error": pa.array(error[at])}).to_batches()
 
     met = stored(classes.select("group", "unit", "node", "weight").mapInArrow(listed, "group string, list int, member boolean, node long, weight long, unit binary, code binary, error double"))
     met = met.withColumn("cell", F.xxhash64("group", "list"))
@@ -176,7 +182,6 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     met = met.repartition("cell", "i", "j", "part").sortWithinPartitions("cell", "i", "j", "part")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = quantiser.value
         for group in complete_groups(batches, ["cell", "i", "j", "part"]):
             if len(group["node"]) < 2:
                 continue
@@ -187,6 +192,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
             if not len(members) or not len(queries):
                 continue
             x = np.frombuffer(b"".join(group["unit"].to_pylist())).reshape(len(nodes), -1)
+            q = _quantiser(quantisers.value, x.shape[1])
             names = np.unique(np.array(group["group"].to_pylist()), return_inverse=True)[1]
             codes = np.frombuffer(b"".join(group["code"].take(pa.array(members)).to_pylist()), np.uint8).reshape(len(members), -1)
             error, at = group["error"].to_numpy()[members], group["list"][0].as_py()
@@ -224,7 +230,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     named = classes.select("same", "node", "weight").join(links, "node", "left").join(roots, "node", "left")
     named = named.select("same", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
     out = held.select("vec_id", "same").join(named, "same", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
