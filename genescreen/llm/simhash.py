@@ -86,82 +86,132 @@ def _spanning(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> Iter
                 waiting = waiting[~near]
 
 
-def _meeting(fp: np.ndarray, group: np.ndarray, wild: np.ndarray, size: int, across: np.ndarray, second: np.ndarray, max_bits: int) -> np.ndarray:
-    """Places (a, b) of links among rows of segments `fp` of one group that agree in `wild` but for one wildcard bit of `size`; where `across`, between both sides only."""
+def _linked(fp: np.ndarray, bucket: np.ndarray, across: np.ndarray, second: np.ndarray, max_bits: int) -> np.ndarray:
+    """Places (a, b), a row each, of links among rows of segments `fp` in one bucket; where `across`, between both sides only."""
     found: list[np.ndarray] = [np.empty((2, 0), np.int64)]
-    for place in range(size):
-        variant = group << np.int64(32) | (wild & ~np.uint32(1 << place))
-        order = np.argsort(variant, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], variant[order][1:] != variant[order][:-1]]))
-        n = np.diff(np.append(starts, len(order)))
-        left = np.repeat(np.where(n <= SMALL, starts + n, 0), n) - np.arange(len(order))  # members of a small bucket from each on
-        first = np.flatnonzero(left > 1)
-        for step in range(1, SMALL):
-            first = first[left[first] > step]
-            if not len(first):
-                break
-            a, b = order[first], order[first + step]
-            near = (np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= max_bits) & (~across[a] | (second[a] != second[b]))
-            found.append(np.stack([a[near], b[near]]))
-        for s, e in zip(starts[n > SMALL].tolist(), (starts + n)[n > SMALL].tolist()):
-            own = order[s:e]
-            left_side = own[~second[own]]
-            right_side = own[second[own]] if across[own[0]] else None
-            own = own if right_side is None else np.concatenate([left_side, right_side])
-            for a, b in _spanning(fp[own] if right_side is None else fp[left_side], None if right_side is None else fp[right_side], max_bits):
-                found.append(np.stack([own[a], own[b]]))
-    pairs = np.sort(np.concatenate(found, axis=1), axis=0)
-    return np.unique(pairs[0] * len(fp) + pairs[1])
-
-
-def links(fps: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
+    n = np.diff(np.append(starts, len(order)))
+    left = np.repeat(np.where(n <= SMALL, starts + n, 0), n) - np.arange(len(order))  # members of a small bucket from each on
+    first = np.flatnonzero(left > 1)
+    for step in range(1, SMALL):
+        first = first[left[first] > step]
+        if not len(first):
+            break
+        a, b = order[first], order[first + step]
+        near = (np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= max_bits) & (~across[a] | (second[a] != second[b]))
+        found.append(np.stack([a[near], b[near]]))
+    for s, e in zip(starts[n > SMALL].tolist(), (starts + n)[n > SMALL].tolist()):
+        own = order[s:e]
+        left_side = own[~second[own]]
+        right_side = own[second[own]] if across[own[0]] else None
+        own = own if right_side is None else np.concatenate([left_side, right_side])
+        for a, b in _spanning(fp[own] if right_side is None else fp[left_side], None if right_side is None else fp[right_side], max_bits):
+            found.append(np.stack([own[a], own[b]]))
+    return np.concatenate(found, axis=1)
+
+
+def links(fps: DataFrame, sizes: list[int], max_bits: int, by_halves: bool = False) -> DataFrame:
     """Links (a, b) that connect the same nodes as all pairs within max_bits, of which some segment differs in one bit at most, do.
 
-    fps: node (long, distinct) and fp, a fingerprint's segments of `sizes` bits as unsigned 32-bit numbers. Of two segments that differ in
-    one bit at most one half is the same in both, so a fingerprint is sent once for each half of each segment, keyed by that half; there
-    the other half's one-wildcard variants are indexed, joined by equality, and what meets is verified on all bits. A task returns stars
-    of what its groups link, a row a node at most, not the pairs. Groups of over
-    BLOCK members are dealt to blocks by hash, each pair of blocks to one task, so no task holds more than about two blocks of a group.
+    fps: node (long, distinct) and fp, a fingerprint's segments of `sizes` bits as unsigned 32-bit numbers; without fp, node itself is
+    the fingerprint, 64 bits cut into the segments. A fingerprint is indexed under each one-wildcard variant of each segment, a row a bit;
+    variants are joined by equality, and what meets is verified on all bits. A task returns stars of what its groups link, a row a node
+    at most, not the pairs.
+
+    With by_halves a fingerprint is sent once for each half of each segment, as of two segments that differ in one bit at most one
+    half is the same in both, and the other half's variants are made where equal halves meet; only halves that over BLOCK fingerprints
+    share send variants. That is fewer rows for long fingerprints, never more, and gives the same links.
+
+    Variants of over BLOCK members are dealt to blocks by hash, each pair of blocks to one task, so no task holds more than about two
+    blocks of a variant. Only variants under halves of over BLOCK members are counted for that.
     """
     halves = [(s, low, size // 2 if low else size - size // 2, 0 if low else size // 2) for s, size in enumerate(sizes) for low in (1, 0)]  # segment, its low half?, bits, shift
+    lows = [sum(sizes[:s]) for s in range(len(sizes))]
+    columns = [c for c in ("node", "fp") if c in fps.columns]
+    rows = "node long, fp binary" if "fp" in columns else "node long"
 
     def half(fp: np.ndarray, k: int) -> np.ndarray:
         s, _, bits, shift = halves[k]
         return (fp[:, s] >> np.uint32(shift)) & np.uint32((1 << bits) - 1)
 
-    def segments_of(column: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), len(sizes))
+    def segments_of(table) -> np.ndarray:
+        if "fp" in columns:
+            return np.frombuffer(b"".join(table["fp"].to_pylist()), "<u4").reshape(len(table["fp"]), len(sizes))
+        whole = table["node"].to_numpy(zero_copy_only=False).view(np.uint64)
+        return np.stack([(whole >> np.uint64(lo)) & np.uint64((1 << size) - 1) for lo, size in zip(lows, sizes)], axis=1).astype("<u4")
+
+    def half_keys(fp: np.ndarray, k: int) -> np.ndarray:
+        return half(fp, k).astype(np.int64) | k << 40
+
+    def variants(fp: np.ndarray, k: int) -> np.ndarray:
+        """Keys of the variants with a wildcard in the half other than k, wildcard after wildcard."""
+        s, _, bits, shift = halves[k ^ 1]
+        return np.concatenate([(fp[:, s] & ~np.uint32(1 << bit)).astype(np.int64) | s << 40 | (bit + 1) << 32 for bit in range(shift, shift + bits)])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = segments_of(batch.column("fp"))
-            keys, n = np.unique(np.concatenate([half(fp, k).astype(np.int64) | (k << 32) for k in range(len(halves))]), return_counts=True)
+            fp = segments_of(batch)
+            keys, n = np.unique(np.concatenate([half_keys(fp, k) for k in range(len(halves))]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = segments_of(batch.column("fp"))
+            fp = segments_of(batch)
             for k in range(len(halves)):
-                yield pa.RecordBatch.from_arrays([pa.array(half(fp, k).astype(np.int64) | (k << 32)), batch.column("node"), batch.column("fp")], ["key", "node", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(half_keys(fp, k)), *[batch.column(c) for c in columns]], ["key", *columns])
 
-    large = stored(fps.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("n")))
-    met = fps.select("node", "fp").mapInArrow(sent, "key long, node long, fp binary").join(large, "key", "left")
+    def expanded(batches: Iterator[pa.RecordBatch], numbers: bool) -> Iterator[pa.RecordBatch]:
+        """Rows by variants, or numbers of them; halves that needn't be told apart by variants stay."""
+        for batch in batches:
+            fp, number = segments_of(batch), batch.column("key").to_numpy() >> 40
+            whole = ~batch.column("hot").to_numpy(zero_copy_only=False).astype(bool) & by_halves
+            keys, at = [batch.column("key").to_numpy()[whole]], [np.flatnonzero(whole)]
+            for k in np.unique(number[~whole]).tolist():
+                own = np.flatnonzero((number == k) & ~whole)
+                keys.append(variants(fp[own], k))
+                at.append(np.tile(own, halves[k ^ 1][2]))
+            key, at = np.concatenate(keys), np.concatenate(at)
+            if numbers:
+                key, n = np.unique(key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+            elif len(key):
+                yield pa.RecordBatch.from_arrays([pa.array(key), *[batch.column(c).take(pa.array(at)) for c in columns]], ["key", *columns])
+
+    def often(df: DataFrame) -> DataFrame:
+        return df.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK)
+
+    hot = stored(often(fps.mapInArrow(counted, "key long, n long")).select("key", F.lit(True).alias("hot")))
+    by_half = fps.select(columns).mapInArrow(sent, "key long, " + rows).join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    large = stored(often(by_half.where("hot").mapInArrow(lambda batches: expanded(batches, True), "key long, n long")).select("key", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("n")))
+    met = by_half.mapInArrow(lambda batches: expanded(batches, False), "key long, " + rows).join(large, "key", "left")
     met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.coalesce("n", F.lit(1))).cast("int"))
     # a member of block b meets those of every block k in the task of the two
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
     met = met.withColumn("pair", F.explode(F.when(F.col("n").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)))
-    met = met.select("key", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "node", "fp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = met.select("key", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", *columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in complete_tables(batches, ["key", "i", "j"]):
             key, i, j, block, node = (table[c].to_numpy() for c in ("key", "i", "j", "block", "node"))
-            fp, group = segments_of(table["fp"]), np.cumsum((np.diff(key, prepend=0) != 0) | (np.diff(i, prepend=0) != 0) | (np.diff(j, prepend=0) != 0))
-            found = []
-            for k in np.unique(key >> 32).tolist():  # rows of one half of one segment
-                own = np.flatnonzero(key >> 32 == k)
-                pairs = _meeting(fp[own], group[own], half(fp[own], k ^ 1), halves[k ^ 1][2], (i != j)[own], (i != j)[own] & (block == j)[own], max_bits)
-                found.append(np.stack([node[own][pairs // len(own)], node[own][pairs % len(own)]]))
-            a, b = stars(*np.concatenate(found, axis=1))
+            fp, group = segments_of(table), np.cumsum((np.diff(key, prepend=0) != 0) | (np.diff(i, prepend=0) != 0) | (np.diff(j, prepend=0) != 0))
+            across, second, of_half = i != j, (i != j) & (block == j), key >> 32 & 255 == 0
+            found = [np.empty((2, 0), np.int64)]
+
+            def add(own: np.ndarray, bucket: np.ndarray) -> None:
+                pairs = np.sort(own[_linked(fp[own], bucket, across[own], second[own], max_bits)], axis=0)
+                found.append(np.stack(np.divmod(np.unique(pairs[0] * len(fp) + pairs[1]), len(fp))))
+
+            if not of_half.all():
+                own = np.flatnonzero(~of_half)
+                add(own, group[own])
+            for k in np.unique(key[of_half] >> 40).tolist():  # the other half's variants of one half of one segment
+                own = np.flatnonzero(of_half & (key >> 40 == k))
+                rest = half(fp[own], k ^ 1)
+                for bit in range(halves[k ^ 1][2]):
+                    add(own, group[own] << np.int64(32) | (rest & ~np.uint32(1 << bit)))
+            pairs = np.concatenate(found, axis=1)
+            a, b = stars(node[pairs[0]], node[pairs[1]])
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -178,16 +228,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     """
     held = stored(fingerprints(docs, width))
     nodes = held.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
-    cut = segments(max_bits)
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            rows = np.stack([(fp >> np.uint64(lo)) & np.uint64((1 << size) - 1) for lo, size in cut], axis=1).astype("<u4")
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array([r.tobytes() for r in rows], pa.binary())], ["node", "fp"])
-
-    whole = stored(nodes.select("fp").mapInArrow(split, "node long, fp binary"))
-    roots = stored(components(links(whole, [size for _, size in cut], max_bits)))
+    whole = stored(nodes.select(F.col("fp").alias("node")))
+    roots = stored(components(links(whole, [size for _, size in segments(max_bits)], max_bits)))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     return held.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
@@ -273,7 +315,7 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
 
     held = stored(map_docs(docs, make, "doc_id long, node long, fp binary"))
     nodes = stored(held.groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("fp").alias("fp")))
-    clusters = components(links(nodes.where("fp is not null").select("node", "fp"), [bits] * n_segments, max_bits)).withColumnRenamed("root", "cluster")
+    clusters = components(links(nodes.where("fp is not null").select("node", "fp"), [bits] * n_segments, max_bits, by_halves=True)).withColumnRenamed("root", "cluster")
     sized = clusters.join(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n_shards")), "cluster")
     members = stored(sized.join(nodes, "node"))
     wanted = docs.sparkSession.sparkContext.broadcast(id_filter(members.select(F.xxhash64("first_doc").alias("fp"))))

@@ -1,6 +1,7 @@
 """The pipeline's near-dedup stage against brute-force pairs."""
 
 import numpy as np
+from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -72,3 +73,49 @@ def test_segments_meet_at_the_threshold():
         differ = np.bitwise_count(a ^ b)
         met += bool((differ <= 1).any()) and differ.sum() <= max_bits
     assert met >= 0.96 * 500
+
+
+def rows_shuffled(spark, links):
+    """Rows that meet in the tasks which compare them."""
+    below = links._jdf.queryExecution().analyzed().children().head()
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, below), spark).count()
+
+
+def test_variants_are_a_row_a_bit_beside_a_large_group(spark, monkeypatch):
+    from genescreen.llm import simhash
+
+    rng = np.random.default_rng(9)
+    # 60 fingerprints around one, far from each other by twos of bits in all segments, and others that meet none
+    base, others = int(rng.integers(0, 1 << 62)), rng.integers(-(1 << 63), (1 << 63) - 1, 500).tolist()
+    group = sorted({base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 62, (60, 2))})
+    fps = [*group, *others]
+    sizes = [n for _, n in simhash.segments(4)]
+    edges = [(a, b) for k, a in enumerate(fps) for b in fps[:k] if ((a ^ b) % (1 << 64)).bit_count() <= 4]
+    want = dict(zip(*(x.tolist() for x in simhash.stars(*np.array(edges).T))))
+    whole = spark.createDataFrame([(x,) for x in fps], "node long").repartition(3)
+    cut = [(x, np.array([x % (1 << 64) >> sum(sizes[:s]) & (1 << n) - 1 for s, n in enumerate(sizes)], "<u4").tobytes()) for x in fps]
+    split = spark.createDataFrame(cut, "node long, fp binary").repartition(3)
+    assert len(want) >= len(group) - 1
+    for block in (simhash.BLOCK, 16):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        direct, halved = simhash.links(whole, sizes, 4), simhash.links(split, sizes, 4, by_halves=True)
+        for found in (direct, halved, simhash.links(split, sizes, 4)):
+            a, b = (np.array(x) for x in zip(*map(tuple, found.select("a", "b").collect())))
+            assert dict(zip(*(x.tolist() for x in simhash.stars(a, b)))) == want
+        n_direct, n_halved = rows_shuffled(spark, direct), rows_shuffled(spark, halved)
+        if block > len(fps):
+            assert n_direct == 64 * len(fps) and n_halved == 6 * len(fps)
+        else:  # only the large group's variants are in blocks: at most 60 / 8 of them
+            assert 64 * len(fps) < n_direct <= 64 * len(others) + 64 * 8 * len(group)
+            assert 6 * len(fps) < n_halved <= n_direct
+
+
+def test_components_in_rounds(spark, monkeypatch):
+    from genescreen.llm import graph
+
+    monkeypatch.setattr(graph, "PIECE", 40)
+    rng = np.random.default_rng(8)
+    order = rng.permutation(300)
+    edges = [(int(a), int(b)) for a, b in zip(order[:100], order[1:101])] + [(int(order[150]), int(k)) for k in order[151:250]]  # a path and a star
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()))
+    assert got == {int(k): int(min(part)) for part in (order[:101], order[150:250]) for k in part}
