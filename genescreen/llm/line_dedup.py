@@ -14,6 +14,8 @@ from genescreen.llm.common import LOWER, documents, map_docs, read, shared_dir,
 
 #: Documents of a batch at most, about.
 BATCH = 50_000_000
+#: Keys of a bucket at most, on average; a run of more gets more buckets as it is merged.
+BUCKET = 2_000_000
 BLANK = b" \t\n\x0b\x0c\r"
 
 
@@ -35,6 +37,10 @@ class LineRuns:
     0. As soon as a level holds `fan_in` runs they are merged, bucket by bucket too, into one run of the next level, so a batch probes
     at most fan_in - 1 runs a level and a key is rewritten once a level. The folder's log says which runs there are, so a later job
     that opens the folder goes on where an earlier one ended.
+
+    A merged run of over BUCKET keys a bucket gets twice the buckets, again and again until it hasn't, so what a task merges doesn't grow
+    with the corpus. It takes one shuffle of the runs, once each time that they outgrow their buckets. Batches, whose size is bounded,
+    keep the number they began with; a batch meets runs of fewer buckets first and is itself dealt anew for those of more, never a run.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, fan_in: int = 3) -> None:
@@ -48,6 +54,8 @@ class LineRuns:
             log = []
         self.step = len(log)
         self.buckets = log[0].buckets if log else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets_of = {row.name: row.buckets for row in log}
+        self.known: set[str] = set()  # tables that this object made known to the session
         for row in log:
             self._placed(row.name, row.level)
 
@@ -59,25 +67,34 @@ class LineRuns:
             self.levels[level - 1] = []
         self.levels[level].append(name)
 
-    def _written(self, df: DataFrame) -> str:
+    def _written(self, df: DataFrame, buckets: int) -> str:
         name = f"genescreen_lines_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.path}/{name}").saveAsTable(name)
+        df.write.bucketBy(buckets, "key").sortBy("key").option("path", f"{self.path}/{name}").saveAsTable(name)
+        self.known.add(name)
+        self.buckets_of[name] = buckets
         return name
 
     def _logged(self, name: str, level: int) -> None:
-        self.spark.createDataFrame([(self.step, name, level, self.buckets)], "step long, name string, level int, buckets int").coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        self.spark.createDataFrame([(self.step, name, level, self.buckets_of[name])], "step long, name string, level int, buckets int").coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         self.step += 1
         self._placed(name, level)
 
     def run(self, name: str) -> DataFrame:
         """One run; a run of an earlier job is made known to the session."""
         if not self.spark.catalog.tableExists(name):
-            self.spark.sql(f"CREATE TABLE {name} (key BINARY, first_doc BIGINT) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+            self.spark.sql(f"CREATE TABLE {name} (key BINARY, first_doc BIGINT) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets_of[name]} BUCKETS LOCATION '{self.path}/{name}'")
+            self.known.add(name)
         return self.spark.table(name)
 
+    def close(self) -> None:
+        """Take the tables out of the session's catalog again; their files stay."""
+        for name in self.known:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.known.clear()
+
     def runs(self) -> list[DataFrame]:
-        """All runs."""
-        return [self.run(name) for level in self.levels for name in level]
+        """All runs, those of fewer buckets first."""
+        return [self.run(name) for name in sorted((name for level in self.levels for name in level), key=self.buckets_of.get)]
 
     def unseen(self, batch: DataFrame) -> DataFrame:
         """Rows of a batch in buckets whose key no run has."""
@@ -85,22 +102,32 @@ class LineRuns:
             batch = batch.join(run.hint("merge"), "key", "left_anti")
         return batch
 
-    def merged(self, runs: list[DataFrame]) -> DataFrame:
-        """Runs as one, bucket by bucket."""
+    def merged(self, runs: list[DataFrame], deal: int | None = None) -> DataFrame:
+        """Runs as one, bucket by bucket; dealt to so many buckets if given."""
         whole = runs[0]
         for other in runs[1:]:
             whole = whole.unionByName(other)
-        return whole.groupBy("key").agg(F.min("first_doc").alias("first_doc"))
+        return (whole.repartition(deal, "key") if deal else whole).groupBy("key").agg(F.min("first_doc").alias("first_doc"))
+
+    def compacted(self, names: list[str]) -> str:
+        """A new run of all of some runs."""
+        runs, before = [self.run(name) for name in names], {self.buckets_of[name] for name in names}
+        n, buckets = sum(run.count() for run in runs), max(before)  # counts come from the files' footers
+        while n > buckets * BUCKET:
+            buckets *= 2
+        return self._written(self.merged(runs, None if before == {buckets} else buckets), buckets)
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Add what is new of a batch (key, first_doc, further columns; one row a key) as a run, then compact. Its new rows, and those that some run had."""
-        batch = self.spark.table(self._written(batch.repartition(self.buckets, "key").sortWithinPartitions("key")))
-        name = self._written(self.unseen(batch).select("key", "first_doc"))
+        batch = self.spark.table(self._written(batch.repartition(self.buckets, "key").sortWithinPartitions("key"), self.buckets))
+        unseen = self.unseen(batch).select("key", "first_doc")
+        dealt_anew = any(self.buckets_of[name] > self.buckets for level in self.levels for name in level)
+        name = self._written(unseen.repartition(self.buckets, "key") if dealt_anew else unseen, self.buckets)
         keys = self.run(name).select("key").hint("merge")
         self._logged(name, 0)
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fan_in:
-                self._logged(self._written(self.merged([self.run(n) for n in self.levels[level]])), level + 1)
+                self._logged(self.compacted(self.levels[level]), level + 1)
         return batch.join(keys, "key", "left_semi"), batch.join(keys, "key", "left_anti")
 
 
@@ -143,6 +170,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, carry: t
         repeated = new.where("last_doc > first_doc").select("key", "first_doc").unionByName(old.select("key", F.lit(None).cast("long").alias("first_doc")))
         gone = mine.join(stored(repeated), "key").where("first_doc is null or doc_id > first_doc").select("doc_id", "key")
         drops = gone if drops is None else drops.unionByName(gone)
+    runs.close()
     drops = drops.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     joined = carried.join(drops, "doc_id", "left")
     kinds = "".join(f", carried_{k} {carried.schema[f'carried_{k}'].dataType.simpleString()}" for k in range(len(carry)))

@@ -159,7 +159,7 @@ def test_line_runs(spark, tmp_path):
     for name in (name for level in runs.levels for name in level):
         spark.sql(f"DROP TABLE {name}")
     again = line_dedup.LineRuns(spark, str(tmp_path / "runs"), fan_in=2)
-    assert (again.levels, again.buckets) == (runs.levels, 3)
+    assert (again.levels, again.buckets, set(again.buckets_of.values())) == (runs.levels, 3, {3})
     assert sorted(tuple(r) for run in again.runs() for r in run.collect()) == [(bytes([k]), k) for k in range(5)]
     batch = again.run(again.levels[0][0])
     for df in (again.unseen(batch), again.merged(again.runs())):

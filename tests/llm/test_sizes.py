@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from genescreen.llm import lm_score, substrings, vectors
+from genescreen.llm import line_dedup, lm_score, substrings, vectors
 from genescreen.llm.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -59,3 +59,39 @@ def test_one_long_vector_widens_no_other(spark):
     assert rows(found.where("vec_id is null"), "component_id", "kept") == [(None, True)] * 2
     held = vectors._units(df.select("embedding").toArrow()["embedding"].combine_chunks())
     assert [len(u) // 8 if u else 0 for u in held] == [12] * 200 + [7] * 90 + [1_000_000, 12, 0]
+
+
+def test_buckets_grow_with_the_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKET", 5)
+    path, whole = str(tmp_path / "runs"), "key binary, first_doc long, last_doc long"
+    for step in range(6):  # each by a later job, with ten keys, two of which an earlier batch had
+        runs = line_dedup.LineRuns(spark, path, buckets=2, fan_in=2)
+        keys = range(max(0, 8 * step - 2), 8 * step + 8)
+        new, old = runs.add(spark.createDataFrame([(bytes([k]), step, step) for k in keys], whole))
+        assert sorted(r.key[0] for r in new.collect()) == list(range(8 * step, 8 * step + 8))
+        assert sorted(r.key[0] for r in old.collect()) == [k for k in keys if k < 8 * step]
+        for names in runs.levels:
+            for name in names:
+                run = runs.run(name)
+                assert run.count() <= runs.buckets_of[name] * 5 or runs.buckets_of[name] == 2
+                assert len(run.inputFiles()) <= runs.buckets_of[name]
+        runs.close()
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("genescreen_lines_")]
+    again = line_dedup.LineRuns(spark, path)
+    assert max(again.buckets_of.values()) > 2 and again.buckets == 2
+    assert sorted(r.key[0] for run in again.runs() for r in run.collect()) == list(range(48))
+    again.close()
+
+
+def test_a_run_of_more_buckets_is_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKET", 4)
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "runs"), buckets=2, fan_in=2)
+    for step in range(2):
+        runs.add(spark.createDataFrame([(bytes([step, k]), step, step) for k in range(40)], "key binary, first_doc long, last_doc long"))
+    (name,) = (name for level in runs.levels for name in level)
+    batch = spark.table(runs._written(spark.createDataFrame([(bytes([1, k]), 9) for k in range(0, 80, 2)], "key binary, first_doc long"), 2))
+    found = runs.unseen(batch)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert runs.buckets_of[name] == 32 and plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(key" in plan and ", 32)" in plan
+    assert sorted(r.key[1] for r in found.collect()) == list(range(40, 80, 2))
+    runs.close()
