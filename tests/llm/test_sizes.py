@@ -95,3 +95,10 @@ def test_a_run_of_more_buckets_is_not_shuffled(spark, tmp_path, monkeypatch):
     assert runs.buckets_of[name] == 32 and plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(key" in plan and ", 32)" in plan
     assert sorted(r.key[1] for r in found.collect()) == list(range(40, 80, 2))
     runs.close()
+
+
+def test_extra_columns_of_embeddings_do_not_matter(spark):
+    plain = spark.read.parquet(f"{SF}/embeddings.parquet")
+    columns = ("vec_id", "n_links", "component_id", "kept")
+    clashing = plain.select("*", *[F.lit("x").alias(c) for c in ("unit", "same", "group", "node", "weight", "list", "cell", "n_links", "component_id", "kept")])
+    assert rows(vectors.near_duplicates(clashing), *columns) == rows(vectors.near_duplicates(plain), *columns)
