@@ -86,11 +86,15 @@ class LineRuns:
             self.known.add(name)
         return self.spark.table(name)
 
-    def close(self) -> None:
-        """Take the tables out of the session's catalog again; their files stay."""
-        for name in self.known:
+    def _forget(self, names: list[str]) -> None:
+        """Take tables that this object made known out of the session's catalog; their files stay, and so what was read from them before can still be run."""
+        for name in self.known.intersection(names):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.known.clear()
+            self.known.discard(name)
+
+    def close(self) -> None:
+        """Take the runs out of the session's catalog too; batches, and runs that were merged, left it as soon as they had been read."""
+        self._forget(list(self.known))
 
     def runs(self) -> list[DataFrame]:
         """All runs, those of fewer buckets first."""
@@ -115,11 +119,15 @@ class LineRuns:
         n, buckets = sum(run.count() for run in runs), max(before)  # counts come from the files' footers
         while n > buckets * BUCKET:
             buckets *= 2
-        return self._written(self.merged(runs, None if before == {buckets} else buckets), buckets)
+        name = self._written(self.merged(runs, None if before == {buckets} else buckets), buckets)
+        self._forget(names)
+        return name
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Add what is new of a batch (key, first_doc, further columns; one row a key) as a run, then compact. Its new rows, and those that some run had."""
-        batch = self.spark.table(self._written(batch.repartition(self.buckets, "key").sortWithinPartitions("key"), self.buckets))
+        dealt = self._written(batch.repartition(self.buckets, "key").sortWithinPartitions("key"), self.buckets)
+        batch = self.spark.table(dealt)
+        self._forget([dealt])
         unseen = self.unseen(batch).select("key", "first_doc")
         dealt_anew = any(self.buckets_of[name] > self.buckets for level in self.levels for name in level)
         name = self._written(unseen.repartition(self.buckets, "key") if dealt_anew else unseen, self.buckets)

@@ -102,3 +102,17 @@ def test_extra_columns_of_embeddings_do_not_matter(spark):
     columns = ("vec_id", "n_links", "component_id", "kept")
     clashing = plain.select("*", *[F.lit("x").alias(c) for c in ("unit", "same", "group", "node", "weight", "list", "cell", "n_links", "component_id", "kept")])
     assert rows(vectors.near_duplicates(clashing), *columns) == rows(vectors.near_duplicates(plain), *columns)
+
+
+def test_batches_and_merged_runs_leave_the_catalog_at_once(spark, tmp_path):
+    def known():
+        return {t.name for t in spark.catalog.listTables() if t.name.startswith("genescreen_lines_")}
+
+    before = known()
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "runs"), buckets=2, fan_in=2)
+    for step in range(4):
+        new, old = runs.add(spark.createDataFrame([(bytes([step, k]), step, step) for k in range(5)] + [(b"same", step, step)], "key binary, first_doc long, last_doc long"))
+        assert known() - before == {name for level in runs.levels for name in level}
+        assert new.count() == 5 + (step == 0) and old.count() == (step > 0)  # what was read before can still be run
+    runs.close()
+    assert known() == before
