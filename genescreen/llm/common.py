@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,6 +22,34 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+#: What task_cache() gave out in this process.
+_TASK_CACHES: list[dict] = []
+
+
+def task_cache() -> dict:
+    """A dictionary for what a worker meets again and again, emptied at the end of each task over texts.
+
+    Spark keeps more Python workers than tasks run at once, takes them in turn, and uses them for one stage after the other.
+    """
+    _TASK_CACHES.append({})
+    return _TASK_CACHES[-1]
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library keep for later goes back to the machine, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def end_task() -> None:
+    """Leave a worker without what its task has met, as it may be idle next or run another stage."""
+    for cache in _TASK_CACHES:
+        cache.clear()
+    give_back()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the tables under a folder."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -52,22 +81,30 @@ def documents(df: DataFrame) -> DataFrame:
 
 def doc_batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[tuple[np.ndarray, list[bytes | None]]]:
     """doc ids and texts as bytes of (doc_id, text, ...) batches, in pieces of about `most` bytes of text; null ids are None."""
-    for batch in batches:
-        size = max(1, batch.column("text").nbytes)
-        step = max(1, batch.num_rows * most // size)
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            ids = part.column("doc_id")
-            yield np.array(ids.to_pylist(), object) if ids.null_count else ids.to_numpy(zero_copy_only=False), part.column("text").cast(pa.binary()).to_pylist()
+    try:
+        for batch in batches:
+            size = max(1, batch.column("text").nbytes)
+            step = max(1, batch.num_rows * most // size)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids = part.column("doc_id")
+                yield np.array(ids.to_pylist(), object) if ids.null_count else ids.to_numpy(zero_copy_only=False), part.column("text").cast(pa.binary()).to_pylist()
+                give_back()
+    finally:
+        end_task()
 
 
 def text_pieces(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Pieces of about `most` bytes of text of (text, ...) batches, and their texts with nulls as empty ones."""
-    for batch in batches:
-        step = max(1, batch.num_rows * most // max(1, batch.column("text").nbytes))
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            yield part, pc.fill_null(part.column("text").cast(pa.string()), "")
+    try:
+        for batch in batches:
+            step = max(1, batch.num_rows * most // max(1, batch.column("text").nbytes))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                yield part, pc.fill_null(part.column("text").cast(pa.string()), "")
+                give_back()
+    finally:
+        end_task()
 
 
 def translated(texts: pa.Array, table: bytes) -> pa.Array:

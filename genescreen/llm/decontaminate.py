@@ -9,12 +9,12 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import ALNUM, documents, map_docs, read, stored
+from genescreen.llm.common import ALNUM, documents, map_docs, read, stored, task_cache
 
 #: Bits of the filter over benchmark fingerprints, 2 MB however large the benchmark is.
 FILTER_BITS = 1 << 24
-#: Word hashes that a worker has met.
-_KNOWN: dict[bytes, int] = {}
+#: Word hashes that a task has met.
+_KNOWN: dict[bytes, int] = task_cache()
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -14,12 +14,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genescreen.llm.common import documents, read, split_words, stored, taken, text_pieces
+from genescreen.llm.common import documents, read, split_words, stored, taken, task_cache, text_pieces
 
-#: For each tokenizer file what a worker has loaded and met: token ids (little-endian unsigned 32 bits) of parts of chunks.
+#: For each tokenizer file what a worker has loaded, and what its task has met: token ids (little-endian unsigned 32 bits) of parts of chunks.
 _CACHES: dict[str, tuple] = {}
 #: Parts beyond which a cache is emptied but for what the batch at hand needs.
 CACHED = 250_000
+#: Bytes of text that are encoded together: their words' places, sizes and ids take some thirty times as much.
+PIECE = 1 << 21
 #: ASCII punctuation but for what may begin or end a special token or a contraction.
 _PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
@@ -37,7 +39,7 @@ def tokenizer(path: str) -> tuple:
         vocabulary = whole.get_vocab()
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        _CACHES[path] = (whole, merges, ends, {})
+        _CACHES[path] = (whole, merges, ends, task_cache())
     return _CACHES[path]
 
 
@@ -176,7 +178,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, with_ids: boo
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_pieces(batches):
+        for part, texts in text_pieces(batches, PIECE):
             tokens, sizes = encode(texts, path, end)
             own = [cuts(n, capacity) for n in sizes.tolist()]
             doc = np.repeat(np.arange(len(own)), np.fromiter(map(len, own), np.int64, len(own)))

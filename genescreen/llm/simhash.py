@@ -322,11 +322,10 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
 
     # the shingles of one document a member are made anew; a bit map of fixed size spares the other texts
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some = batch.filter(pa.array(in_filter(wanted.value, batch.column("h").to_numpy())))
-            for ids, texts in doc_batches(iter([some] if some.num_rows else [])):
-                grams = [shingles(t, width) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([node_of(s) for s in grams], pa.int64()), pa.array([s.view(np.int64) for s in grams], pa.list_(pa.int64()))], ["first_doc", "node", "grams"])
+        some = (batch.filter(pa.array(in_filter(wanted.value, batch.column("h").to_numpy()))) for batch in batches)
+        for ids, texts in doc_batches(some):
+            grams = [shingles(t, width) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([node_of(s) for s in grams], pa.int64()), pa.array([s.view(np.int64) for s in grams], pa.list_(pa.int64()))], ["first_doc", "node", "grams"])
 
     made = docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(again, "first_doc long, node long, grams array<long>")
     sets = stored(members.join(made, ["first_doc", "node"]).dropDuplicates(["node"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("n_shards"))))

@@ -1,8 +1,12 @@
 """What a task holds follows settings of the operators, not the number of rows."""
 
+import subprocess
+import sys
+
 import numpy as np
+import pyarrow as pa
 import pytest
-from genescreen.llm import line_dedup, lm_score, substrings, vectors
+from genescreen.llm import common, decontaminate, line_dedup, lm_score, packing, simhash, substrings, vectors
 from genescreen.llm.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -116,3 +120,45 @@ def test_batches_and_merged_runs_leave_the_catalog_at_once(spark, tmp_path):
         assert new.count() == 5 + (step == 0) and old.count() == (step > 0)  # what was read before can still be run
     runs.close()
     assert known() == before
+
+
+def test_a_worker_keeps_nothing_of_a_task(spark):
+    path, batch = packing.default_tokenizer(), pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["Some words here", "and there"]})
+    for found in common.text_pieces(iter([batch, batch])):
+        packing.encode(found[1], path, np.array([2], "<u4"))
+        assert packing.tokenizer(path)[3]
+    assert not packing.tokenizer(path)[3]
+    for _, texts in common.doc_batches(iter([batch, batch])):
+        simhash.shingles(texts[0], 2)
+        assert decontaminate._KNOWN
+    assert not decontaminate._KNOWN
+
+
+#: Prints how many MB a process gains by packing 12 MB of text, whose words are mostly rare: at most, and once that is done.
+GAIN = r"""
+import re, sys, threading, time
+import numpy as np, pyarrow as pa
+from genescreen.llm import common, packing
+held = lambda: sum(map(int, re.findall(r"\nAnonymous:\s+(\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+path, end, most, done = packing.default_tokenizer(), np.array([2], "<u4"), [0], threading.Event()
+rng = np.random.default_rng(1)
+words = np.array([f"w{k:x}" for k in range(200_000)])
+batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": [" ".join(words[rng.integers(0, 200_000, 650)]) for _ in range(1000)]}) for _ in range(3)]
+packing.tokenizer(path)
+common.pa.default_memory_pool().release_unused()
+before = held()
+def watch():
+    while not done.wait(0.02):
+        most[0] = max(most[0], held() - before)
+threading.Thread(target=watch, daemon=True).start()
+for part, texts in common.text_pieces(iter(batches), getattr(packing, "PIECE", 1 << 24)):
+    packing.encode(texts, path, end)
+done.set()
+print(round(most[0]), round(held() - before))
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_packing_gives_memory_back():
+    gained, left = map(int, subprocess.run([sys.executable, "-c", GAIN], check=True, capture_output=True, text=True).stdout.split())
+    assert gained < 230 and left < 60
