@@ -52,3 +52,9 @@ def test_the_funnel_takes_each_text_once(spark):
     inputs = Inputs(counted(blocks, "text"), counted(proteins, "length"), hits, counted(alignments, "qseq"), spark.createDataFrame([], "key string, text string"), spark.createDataFrame([(ids[0],)], "tid string"))
     assert run_funnel(inputs, Thresholds(id_rule="documented")).count() == 40
     assert {name: n.value for name, n in seen.items()} == dict.fromkeys(seen, 40)
+
+
+def test_aligned_blocks_are_folded_once(spark):
+    # two: the entity itself drops texts of under two letters by a filter over its letters
+    blocks = Entities(spark, SF).aligned_blocks.select("line_no", "text", "terminated")
+    assert folds(B.extract_alignment(blocks)) == folds(B.extract_alignment(blocks, "report")) == 2
