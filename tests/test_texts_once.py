@@ -58,3 +58,19 @@ def test_aligned_blocks_are_folded_once(spark):
     # two: the entity itself drops texts of under two letters by a filter over its letters
     blocks = Entities(spark, SF).aligned_blocks.select("line_no", "text", "terminated")
     assert folds(B.extract_alignment(blocks)) == folds(B.extract_alignment(blocks, "report")) == 2
+
+
+def test_parsed_blocks_are_folded_once_and_stay_where_they_are(spark):
+    blocks = Entities(spark, SF).aligned_blocks.select("line_no", "text", "terminated")
+    rows = B.mutation_positions(B.parse_blocks(blocks))
+    assert folds(rows) == 2 and "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_block_is_parsed_once_whatever_its_line_no(spark):
+    text = lambda tid, t: f"Query protein: {tid}.1\n{tid} 1 ABCDEF 6\n\n{t}\n"
+    blocks = spark.createDataFrame([(1, text("A", "A*C!E*")), (1, text("B", "é!C**F") + ":X["), (None, text("C", "!BCDEF"))], "line_no long, text string")
+    found = B.mutation_positions(B.parse_blocks(blocks)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, [
+        ("A.1", 0, 2, "stop"), ("A.1", 1, 6, "stop"), ("A.1", 2, 4, "frameshift"),
+        ("B.1", 0, 4, "stop"), ("B.1", 1, 5, "stop"), ("B.1", 2, 2, "frameshift"), ("B.1", 3, None, "splice_stop"), ("C.1", 0, 1, "frameshift"),
+    ]))
